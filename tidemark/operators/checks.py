@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -231,10 +232,56 @@ def dataset_problems(tables: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
-def run_checks(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per named check with its number of failing rows."""
-    return reduce(DataFrame.unionByName, [
-        failing.agg(F.count("*").alias("failures")).select(
-            F.lit(name).alias("check_name"), "failures", (F.col("failures") == 0).alias("passed"))
-        for name, failing in checks.items()
-    ])
+@dataclass(frozen=True)
+class DataTest:
+    """A generic test on a column, or a singular one given by its failing rows."""
+
+    kind: str
+    table: str
+    column: str | None
+    rows: DataFrame
+    values: tuple[str, ...] = ()
+    parent: DataFrame | None = None
+
+    @property
+    def name(self) -> str:
+        return self.table if self.kind == "singular" else f"{self.kind}:{self.table}.{self.column}"
+
+    def failing(self) -> DataFrame:
+        if self.kind == "unique":
+            return unique(self.rows, self.column)
+        if self.kind == "not_null":
+            return not_null(self.rows, self.column)
+        if self.kind == "accepted_values":
+            return accepted_values(self.rows, self.column, self.values)
+        if self.kind == "relationships":
+            return relationships(self.rows, self.column, self.parent, self.column)
+        return self.rows
+
+    def row_condition(self) -> Column | None:
+        """What a failing row looks like, where one row alone can tell."""
+        if self.kind == "not_null":
+            return F.col(self.column).isNull()
+        if self.kind == "accepted_values":
+            return ~F.col(self.column).isin(*self.values)
+        return None
+
+
+def run_checks(tests: Sequence[DataTest]) -> DataFrame:
+    """One row per test: its name, its failures and whether it passed.
+
+    Tests that look at single rows share one pass over their table. For them
+    failures are rows, for the others they are rows of the failing frame.
+    """
+    per_table: dict[str, list[DataTest]] = {}
+    parts: list[DataFrame] = []
+    for test in tests:
+        if test.row_condition() is not None:
+            per_table.setdefault(test.table, []).append(test)
+        else:
+            parts.append(test.failing().agg(F.count("*").alias("failures")).select(
+                F.lit(test.name).alias("check_name"), "failures"))
+    for group in per_table.values():
+        counted = group[0].rows.agg(*[F.count_if(t.row_condition()).alias(t.name) for t in group])
+        parts.append(counted.unpivot([], [F.col(f"`{t.name}`") for t in group], "check_name", "failures"))
+    return reduce(DataFrame.union, parts).withColumn("passed", F.col("failures") == 0)

@@ -14,20 +14,18 @@ from tidemark.operators import star
 from tidemark.operators.current import current_from_raw
 from tidemark.plans import marts
 from tidemark.schemas import (
-    ACCEPTED_VALUES, CURRENT_TAIL, CUSTOMER_SEGMENTS, CUSTOMERS, ENTITIES, OPERATIONS, PRODUCT_SEGMENTS, RAW_SCHEMA,
-    TABLES)
+    ACCEPTED_VALUES, CUSTOMER_SEGMENTS, CUSTOMERS, ENTITIES, OPERATIONS, PRODUCT_SEGMENTS, TABLES)
 from tidemark.sources.lake import HistoryTable, Lake
 
 
-def _current_schema(name: str) -> T.StructType:
-    tail = {f.name: f.dataType for f in RAW_SCHEMA.fields}
-    kinds = {"current_event_id": T.StringType(), "latest_operation": T.StringType(), "source_event_at": T.TimestampType()}
-    return T.StructType(
-        ENTITIES[name].schema.fields + [T.StructField(c, kinds.get(c, tail.get(c))) for c in CURRENT_TAIL])
+# What the customer history tracks: the customer and where its row came from.
+HISTORY_SCHEMA = T.StructType(CUSTOMERS.schema.fields + [
+    T.StructField("current_event_id", T.StringType()), T.StructField("latest_operation", T.StringType()),
+    T.StructField("source_event_at", T.TimestampType()), T.StructField("warehouse_loaded_at", T.TimestampType())])
 
 
 def customer_history(lake: Lake) -> HistoryTable:
-    return lake.history("snap_customers", _current_schema("customers"), CUSTOMERS.key)
+    return lake.history("snap_customers", HISTORY_SCHEMA, CUSTOMERS.key)
 
 
 def build_current(raw: DataFrame) -> dict[str, DataFrame]:
@@ -83,47 +81,52 @@ def build_all(lake: Lake, run_id: str, snapshot_at: datetime, start: date | None
         written[name] = lake.overwrite(frame, "marts", name)
     for name, frame in build_marts(written, start, end, run_id).items():
         written[name] = (
-            lake.replace_by_key(frame, "marts", name, "order_date") if name == "mart_daily_commerce"
-            else lake.overwrite(frame, "marts", name))
+            replace_days(lake, frame) if name == "mart_daily_commerce" else lake.overwrite(frame, "marts", name))
     return written
 
 
+def replace_days(lake: Lake, days: DataFrame) -> DataFrame:
+    """Replaces the given days of the daily mart, which is stored by month."""
+    month = F.trunc("order_date", "month")
+    return lake.replace_by_key(days, "marts", "mart_daily_commerce", "order_date", "mart_month", month).drop(
+        "mart_month")
+
+
 def backfill(lake: Lake, first: date, last: date, run_id: str, refreshed_at: Column | None = None) -> DataFrame:
     """Recomputes the daily mart for the given days and replaces only those."""
     facts = {n: lake.read("marts", n) for n in ("fact_orders", "fact_payments", "fact_shipments")}
     rows = marts.mart_daily(
         facts["fact_orders"], facts["fact_payments"], facts["fact_shipments"], first, last, run_id, refreshed_at)
-    return lake.replace_by_key(rows, "marts", "mart_daily_commerce", "order_date")
+    return replace_days(lake, rows)
 
 
-def data_tests(raw: DataFrame, t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every data test by name. ``t`` maps table names to frames: current_*,
+def data_tests(raw: DataFrame, t: Mapping[str, DataFrame]) -> list[chk.DataTest]:
+    """Every data test. ``t`` maps table names to frames: current_*,
     snap_customers, dim_*, fact_*, mart_*."""
-    tests: dict[str, DataFrame] = {}
+    normal = raw.withColumn("record_json", F.coalesce(
+        F.nullif("after_json", F.lit("")), F.nullif("before_json", F.lit(""))))
+    frames = {**t, "bronze_events": normal, "stg_bronze_events": normal}
+    tests: list[chk.DataTest] = []
 
-    def unique(table: str, column: str, rows: DataFrame | None = None) -> None:
-        tests[f"unique:{table}.{column}"] = chk.unique(t[table] if rows is None else rows, column)
+    def unique(table: str, *columns: str) -> None:
+        tests.extend(chk.DataTest("unique", table, c, frames[table]) for c in columns)
 
-    def filled(table: str, column: str, rows: DataFrame | None = None) -> None:
-        tests[f"not_null:{table}.{column}"] = chk.not_null(t[table] if rows is None else rows, column)
+    def filled(table: str, *columns: str) -> None:
+        tests.extend(chk.DataTest("not_null", table, c, frames[table]) for c in columns)
 
-    def related(child: str, column: str, parent: str, parent_column: str | None = None) -> None:
-        tests[f"relationships:{child}.{column}"] = chk.relationships(
-            t[child], column, t[parent], parent_column or column)
+    def related(child: str, column: str, parent: str) -> None:
+        tests.append(chk.DataTest("relationships", child, column, frames[child], parent=frames[parent]))
 
-    def listed(table: str, column: str, values, rows: DataFrame | None = None) -> None:
-        tests[f"accepted_values:{table}.{column}"] = chk.accepted_values(
-            t[table] if rows is None else rows, column, values)
+    def listed(table: str, column: str, values) -> None:
+        tests.append(chk.DataTest("accepted_values", table, column, frames[table], values=tuple(values)))
 
-    normal = raw.withColumn("record_json", F.coalesce(
-        F.nullif("after_json", F.lit("")), F.nullif("before_json", F.lit(""))))
     metadata = ("event_id", "operation", "source_table", "kafka_topic", "kafka_partition", "kafka_offset")
-    for table, extra in (("bronze_events", ()), ("stg_bronze_events", ("record_json",))):
-        unique(table, "event_id", normal)
-        for column in (*metadata, *extra):
-            filled(table, column, normal)
-    listed("stg_bronze_events", "operation", OPERATIONS, normal)
-    listed("stg_bronze_events", "source_table", TABLES, normal)
+    unique("bronze_events", "event_id")
+    filled("bronze_events", *metadata)
+    unique("stg_bronze_events", "event_id")
+    filled("stg_bronze_events", *metadata, "record_json")
+    listed("stg_bronze_events", "operation", OPERATIONS)
+    listed("stg_bronze_events", "source_table", TABLES)
 
     for name, entity in ENTITIES.items():
         unique(f"current_{name}", entity.key)
@@ -137,38 +140,42 @@ def data_tests(raw: DataFrame, t: Mapping[str, DataFrame]) -> dict[str, DataFram
         listed(f"current_{table}", column, values)
 
     unique("snap_customers", "scd_id")
-    for column in ("scd_id", "customer_id", "valid_from", "is_deleted"):
-        filled("snap_customers", column)
-
-    keys = {
-        "dim_customers": (("customer_key",), ("customer_key", "customer_id")),
-        "dim_products": (("product_key", "product_id"),) * 2,
-        "fact_orders": (("order_key", "order_id"), ("order_key", "order_id", "customer_key")),
-        "fact_order_items": (
-            ("order_item_key", "order_item_id"), ("order_item_key", "order_item_id", "order_key", "product_key")),
-        "fact_payments": (("payment_key", "payment_id"), ("payment_key", "payment_id", "order_key")),
-        "fact_shipments": (("shipment_key", "shipment_id"), ("shipment_key", "shipment_id", "order_key")),
-        "mart_daily_commerce": (("order_date",),) * 2,
-        "mart_customer_value": (("customer_id", "customer_key"),) * 2,
-        "mart_product_performance": (("product_id", "product_key"),) * 2,
-    }
-    for table, (single, present) in keys.items():
-        for column in single:
-            unique(table, column)
-        for column in present:
-            filled(table, column)
+    filled("snap_customers", "scd_id", "customer_id", "valid_from", "is_deleted")
+
+    unique("dim_customers", "customer_key")
+    filled("dim_customers", "customer_key", "customer_id")
+    unique("dim_products", "product_key", "product_id")
+    filled("dim_products", "product_key", "product_id")
+    unique("fact_orders", "order_key", "order_id")
+    filled("fact_orders", "order_key", "order_id", "customer_key")
     related("fact_orders", "customer_key", "dim_customers")
+    unique("fact_order_items", "order_item_key", "order_item_id")
+    filled("fact_order_items", "order_item_key", "order_item_id", "order_key", "product_key")
     related("fact_order_items", "order_key", "fact_orders")
     related("fact_order_items", "product_key", "dim_products")
+    unique("fact_payments", "payment_key", "payment_id")
+    filled("fact_payments", "payment_key", "payment_id", "order_key")
     related("fact_payments", "order_key", "fact_orders")
+    unique("fact_shipments", "shipment_key", "shipment_id")
+    filled("fact_shipments", "shipment_key", "shipment_id", "order_key")
     related("fact_shipments", "order_key", "fact_orders")
+
+    unique("mart_daily_commerce", "order_date")
+    filled("mart_daily_commerce", "order_date")
+    unique("mart_customer_value", "customer_id", "customer_key")
+    filled("mart_customer_value", "customer_id", "customer_key")
     listed("mart_customer_value", "customer_value_segment", [n for n, _ in CUSTOMER_SEGMENTS])
+    unique("mart_product_performance", "product_id", "product_key")
+    filled("mart_product_performance", "product_id", "product_key")
     listed("mart_product_performance", "product_performance_segment", [n for n, _ in PRODUCT_SEGMENTS])
 
-    tests["history_has_no_overlap"] = chk.history_overlaps(t["snap_customers"])
-    tests["one_open_version"] = chk.not_one_open_version(t["snap_customers"])
-    tests["item_totals_match"] = chk.item_totals_differ(t["fact_orders"], t["fact_order_items"])
-    tests["payment_totals_match"] = chk.payment_totals_differ(t["fact_orders"], t["fact_payments"])
-    tests["daily_mart_reconciles"] = chk.daily_mart_differs(
-        t["fact_orders"], t["fact_payments"], t["fact_shipments"], t["mart_daily_commerce"])
+    facts = [t[n] for n in ("fact_orders", "fact_payments", "fact_shipments", "mart_daily_commerce")]
+    for name, failing in {
+        "history_has_no_overlap": chk.history_overlaps(t["snap_customers"]),
+        "one_open_version": chk.not_one_open_version(t["snap_customers"]),
+        "item_totals_match": chk.item_totals_differ(t["fact_orders"], t["fact_order_items"]),
+        "payment_totals_match": chk.payment_totals_differ(t["fact_orders"], t["fact_payments"]),
+        "daily_mart_reconciles": chk.daily_mart_differs(*facts),
+    }.items():
+        tests.append(chk.DataTest("singular", name, None, failing))
     return tests

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scd2 import HISTORY_TAIL, merge_versions
+from tidemark.session import scratch_path
 
 # Which folder holds the tables of a layer, and which layers stay views.
 LAYER_FOLDERS = {
@@ -84,31 +85,36 @@ class Lake:
             return frame
         return self.overwrite(frame, layer, table)
 
-    def replace_by_key(self, frame: DataFrame, layer: str, table: str, key: str) -> DataFrame:
-        """Delete and insert by partition key.
-
-        Only keys present in ``frame`` are replaced; all other partitions stay
-        untouched. Where the columns changed, the table is rewritten with the
-        new set: added columns are NULL in old rows, removed ones go.
+    def replace_by_key(
+        self, frame: DataFrame, layer: str, table: str, key: str, bucket: str, bucket_of: Column
+    ) -> DataFrame:
+        """Delete and insert by ``key``: only keys present in ``frame`` are
+        replaced, all other rows stay.
+
+        The table is partitioned by a coarser ``bucket`` of the key, and only
+        buckets ``frame`` touches are rewritten. Spark stages them and swaps
+        them in at job commit, so they may be read while they are replaced.
+        Where the columns changed, the whole table takes the new set: added
+        columns are NULL in old rows, removed ones go.
         """
         path = self.path(layer, table)
+        # the rows are used three times below: written once instead
+        staged = scratch_path(self.spark, table)
+        frame.withColumn(bucket, bucket_of).write.parquet(staged)
+        new = self.spark.read.parquet(staged)
         old = existing(self.spark, path)
-        if old is not None and set(old.columns) != set(frame.columns):
-            return self._evolve(old, frame, layer, table, key)
-        (frame.repartition(F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(key).parquet(path))
+        if old is None:
+            rows = new
+        elif set(old.columns) == set(new.columns):
+            touched = old.join(new.select(bucket).distinct(), bucket, "left_semi")
+            rows = replace_rows(touched, new, key)
+        else:
+            # every bucket has rows here, so all of them are swapped
+            rows = sync_columns(replace_rows(old, new, key), new.schema)
+        (rows.repartition(F.col(bucket)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(bucket).parquet(path))
         return self.spark.read.parquet(path)
 
-    def _evolve(self, old: DataFrame, frame: DataFrame, layer: str, table: str, key: str) -> DataFrame:
-        # the old files are still being read, so the new set goes to a scratch
-        # table first and then takes the table's place
-        merged = sync_columns(replace_rows(old, frame, key), frame.schema)
-        staged = f"{self.path(layer, table)}__sync"
-        merged.write.mode("overwrite").parquet(staged)
-        (self.spark.read.parquet(staged).repartition(F.col(key)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy(key).parquet(self.path(layer, table)))
-        return self.spark.read.parquet(self.path(layer, table))
-
     def history(self, table: str, schema: T.StructType, key: str) -> "HistoryTable":
         return HistoryTable(self.spark, self.path("snapshots", table), schema, key)
 

@@ -174,6 +174,9 @@ CHANGES = {
     "shipments": ("carrier", lambda: F.lit("Local Courier")),
 }
 VERSION_OPERATIONS = ("r", "u", "d", "c")
+# Days by which an update (1) and a re-creation (3) move `updated_at`: far
+# enough to fall among the order dates, so that as-of lookups meet them.
+VERSION_DAYS = {1: 700, 3: 2000}
 
 
 def _source_ms(key: Column, version: Column) -> Column:
@@ -192,8 +195,8 @@ def versions(spark: SparkSession, sf_dir: str, name: str, last: int = 3) -> Data
     first = F.col("version") == 1
     moved = rows.withColumn(column, F.when(first, changed()).otherwise(F.col(column)))
     if "updated_at" in entity.columns:
-        moved = moved.withColumn(
-            "updated_at", F.col("updated_at") + F.expr("make_dt_interval(cast(if(version in (1, 3), version, 0) as int))"))
+        days = F.when(first, VERSION_DAYS[1]).when(F.col("version") == 3, VERSION_DAYS[3]).otherwise(0)
+        moved = moved.withColumn("updated_at", F.col("updated_at") + F.make_dt_interval(days))
     return moved.withColumn("operation", F.element_at(
         F.array(*[F.lit(o) for o in VERSION_OPERATIONS]), F.col("version") + 1))
 
@@ -285,6 +288,83 @@ def stream_records(spark: SparkSession, sf_dir: str, replays: bool = False) -> D
     )
 
 
+def faulty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as bare envelopes with one structural fault per id
+    modulo 13; 0, 11 and 12 are sound."""
+    events = table(spark, sf_dir, "events")
+    number, fault = F.col("event_id"), F.col("event_id") % 13
+    source_table = F.element_at(F.array(*[F.lit(t) for t in STREAM_TABLES]), (F.col("user_id") % 6 + 1).cast("int"))
+    operation = F.when(F.col("event_type") == "error", "d").otherwise("u")
+    image = F.struct(number.alias("id"))
+    envelope = F.struct(
+        F.when(fault == 5, "x").when(fault != 4, operation).alias("op"),
+        F.when((operation == "d") & (fault != 8), image).alias("before"),
+        F.when((operation != "d") & (fault != 8), image).alias("after"),
+        F.when(fault != 9, F.struct(
+            F.when(fault == 7, "suppliers").when(fault != 6, source_table).alias("table"))).alias("source"),
+    )
+    value = (
+        F.when(fault == 1, "[1]")
+        .when(fault == 2, '{"payload":null}')
+        .when(fault == 3, '{"payload":"text","op":"u"}')
+        .when(fault == 10, "null")
+        .otherwise(F.to_json(envelope)))
+    return events.select(
+        F.lit(None).cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.concat(F.lit(f"{TOPIC_PREFIX}."), source_table).alias("topic"),
+        (F.col("user_id") % 3).cast("int").alias("partition"),
+        number.alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a log of run events, one run per user: signups and
+    views start a run, errors fail it, the rest succeed."""
+    kind, number, at = F.col("event_type"), F.col("event_id"), F.col("ts").cast("timestamp")
+    started = kind.isin("signup", "view")
+    event = F.when(started, "start").when(kind == "error", "failed").otherwise("success")
+    backfill = started & (number % 3 == 0)
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"),
+        event.alias("event"),
+        at.alias("event_at"),
+        F.when(started, "daily").alias("dag_id"),
+        F.when(backfill, "backfill").when(started, "incremental").alias("run_mode"),
+        F.when(backfill, F.to_date(at)).alias("backfill_start_date"),
+        F.when(backfill, F.date_add(F.to_date(at), (number % 5).cast("int"))).alias("backfill_end_date"),
+        F.when(kind == "error", F.concat(F.lit("task-"), number % 4)).alias("failed_task_id"),
+        F.when(kind == "error", F.concat(F.lit("error "), number)).alias("error_message"),
+        F.create_map(kind, number.cast("string")).alias("details"),
+    )
+
+
+def audited_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as folded runs, one per event: views still run, errors
+    failed, the rest succeeded; every 41st has lost its end, every 43rd failure
+    its task."""
+    kind, number, at = F.col("event_type"), F.col("event_id"), F.col("ts").cast("timestamp")
+    status = F.when(kind == "view", "running").when(kind == "error", "failed").otherwise("success")
+    seconds = (number % 600 + 1).cast("int")
+    ended = (kind != "view") & (number % 41 != 0)
+    backfill = number % 3 == 0
+    start = F.date_add(F.lit("2024-01-01").cast("date"), (number % 20).cast("int"))
+    failed = kind == "error"
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run-"), number).alias("run_id"),
+        F.when(backfill, "backfill").otherwise("incremental").alias("run_mode"),
+        F.when(backfill, start).alias("backfill_start_date"),
+        F.when(backfill, F.date_add(start, (number % 4).cast("int"))).alias("backfill_end_date"),
+        status.alias("status"),
+        at.alias("started_at"),
+        F.when(ended, at + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)).alias("completed_at"),
+        F.when(ended, seconds.cast("decimal(12,3)")).alias("duration_seconds"),
+        F.when(failed & (number % 43 != 0), F.concat(F.lit("task-"), number % 4)).alias("failed_task_id"),
+        F.when(failed, F.concat(F.lit("error "), number)).alias("error_message"),
+    )
+
+
 def drifting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer and order records as JSON, with schema faults at known keys:
     every 29th of an unknown table, every 23rd not an object, every 13th without
