@@ -486,7 +486,11 @@ def audit_profile(spark, sf):
 
 
 def audit_checks(spark, sf):
-    return profiles.audit_checks(audit_profile(spark, sf), 2399, 15_000, 0)
+    """Audit checks against the sizes of the orders table, and a value that the
+    mart does not have."""
+    orders = tables.orders(spark, sf)
+    days = orders.agg(F.countDistinct(F.to_date("ordered_at"))).scalar()
+    return profiles.audit_checks(audit_profile(spark, sf), days, orders.agg(F.count("*")).scalar(), F.lit(0))
 
 
 def recovered_failures(spark, sf):

@@ -188,9 +188,11 @@ def check_rows(row: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return judged.unpivot([], list(checks), "check_name", "passed")
 
 
-def audit_checks(profile: DataFrame, expected_days: int, expected_orders: int, expected_value) -> DataFrame:
-    """The checks on the run audit and the daily mart; expected sizes are
-    parameters."""
+def audit_checks(
+    profile: DataFrame, expected_days: Column, expected_orders: Column, expected_value: Column
+) -> DataFrame:
+    """The checks on the run audit and the daily mart; the expected sizes are
+    literals or scalar subqueries."""
     return check_rows(profile, {
         "successful_incremental_exists": F.col("successful_incremental_runs") >= 1,
         "successful_backfill_exists": F.col("successful_backfill_runs") >= 1,
