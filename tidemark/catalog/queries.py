@@ -22,7 +22,7 @@ from tidemark.plans.build import HISTORY_SCHEMA, build_star
 from tidemark.schemas import ACCEPTED_VALUES, ENTITIES, REQUIRED_METADATA, SOURCE_VALUES, TABLES
 from tidemark.session import scratch_path, use_utc
 from tidemark.sources import records, tables
-from tidemark.sources.lake import HistoryTable, replace_rows
+from tidemark.sources.lake import HistoryTable, replace_rows, stored
 from tidemark.streaming.bronze import BronzePaths, read_bronze, read_quarantine, run_bronze_stream, stream_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,9 +245,9 @@ def mart_daily_backfill(spark, sf):
     """The daily mart of the first read, with the days of a window recomputed
     from the changed orders."""
     before = _daily(_facts(spark, sf))
-    states = _states(spark, sf) | {"orders": _current(spark, sf, "orders")}
+    states = _states(spark, sf) | {"orders": stored(_current(spark, sf, "orders"), "orders")}
     after = _daily(build_star(states, _first_versions(spark, sf)), *BACKFILL)
-    return replace_rows(before, after, "order_date")
+    return replace_rows(before, stored(after, "days"), "order_date")
 
 
 def mart_customer_value(spark, sf):
@@ -258,7 +258,7 @@ def mart_customer_value(spark, sf):
 def mart_customer_value_from_changes(spark, sf):
     """From change records to the mart: state, history, as-of fact, mart."""
     customers = star.dim_customers(_history(spark, sf))
-    orders = star.fact_orders(_current(spark, sf, "orders"), customers)
+    orders = star.fact_orders(stored(_current(spark, sf, "orders"), "orders"), customers)
     return marts.mart_customer_value(customers, orders)
 
 
@@ -337,7 +337,7 @@ def _after_deletes(spark, sf):
     """The source tables with the deletes of their change logs applied to
     customers and products."""
     return tables.entities(spark, sf) | {
-        "customers": _current(spark, sf, "customers"), "products": _current(spark, sf, "products")}
+        name: stored(_current(spark, sf, name), name) for name in ("customers", "products")}
 
 
 def integrity_report(spark, sf):
@@ -546,9 +546,7 @@ def stream_resume(spark, sf):
             F.lit(rows["valid_input_rows"]).cast("long").alias("input_rows"),
             "new_bronze_events", "new_quarantine_events", "duplicate_event_ids"))
         # the next run appends to what this report counts
-        done = scratch_path(spark, "report")
-        reports[-1].write.parquet(done)
-        reports[-1] = spark.read.parquet(done)
+        reports[-1] = stored(reports[-1], "report")
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SOURCE = "struct<ts_ms string, lsn string, txId string, table string>"
@@ -18,6 +18,16 @@ def parse_envelope(value: Column) -> Column:
     return F.from_json(value, ENVELOPE_DDL)
 
 
+def parsed_once(rows: DataFrame, parse: Column, name: str) -> DataFrame:
+    """Adds ``parse`` as a column that is computed exactly once per row.
+
+    Spark moves filters below projections and then evaluates what they refer to
+    in place, once per mention: a filter on a field would parse every document
+    several times over. Filters stay above a generator, here one of one row.
+    """
+    return rows.select("*", F.explode(F.array(parse)).alias(name))
+
+
 def envelope_field(parsed: str, path: str) -> Column:
     """Field by field: the wrapped place first, then the bare one."""
     return F.coalesce(F.col(f"{parsed}.payload.{path}"), F.col(f"{parsed}.{path}"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.envelope import envelope_field, parse_envelope, payload_text
+from tidemark.functions.envelope import envelope_field, parse_envelope, parsed_once, payload_text
 from tidemark.functions.keys import event_id
 from tidemark.schemas import BRONZE_COLUMNS, OPERATIONS, TABLES
 
@@ -46,7 +46,7 @@ def bronze_events(
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
     )
-    parsed = texts.withColumn("envelope", parse_envelope(F.col("value_json")))
+    parsed = parsed_once(texts, parse_envelope(F.col("value_json")), "envelope")
     fields = parsed.select(
         "key_json", "value_json", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp",
         F.regexp_extract("kafka_topic", r"([^.]+)$", 1).alias("source_table"),

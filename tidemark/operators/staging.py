@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.envelope import parsed_once
 from tidemark.schemas import ENTITIES, LINEAGE_COLUMNS, Entity
 
 
@@ -41,8 +42,8 @@ def typed_events(events: DataFrame, entity: Entity | str) -> DataFrame:
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     texts = T.StructType([T.StructField(name, T.StringType()) for name in entity.columns])
-    parsed = events.filter(F.col("source_table") == entity.name).withColumn(
-        "_record", F.from_json("record_json", texts))
+    own = events.filter(F.col("source_table") == entity.name)
+    parsed = parsed_once(own, F.from_json("record_json", texts), "_record")
     failed = F.array_compact(F.array(*[
         F.when(F.nullif(F.col(f"_record.{f.name}"), F.lit("")).isNotNull() & _typed(f).isNull(), f.name)
         for f in entity.schema.fields if not isinstance(f.dataType, T.StringType)

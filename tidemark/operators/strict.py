@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.envelope import parsed_once
 from tidemark.schemas import OPERATIONS, TABLES
 
 
@@ -32,7 +33,7 @@ def strict_validity(
     Text behind a complete JSON document is accepted, as Spark's parser does.
     """
     # an absent payload means a bare envelope; a present one must be an object
-    opened = records.withColumn("_doc", F.try_parse_json(value)).withColumn(
+    opened = parsed_once(records, F.try_parse_json(value), "_doc").withColumn(
         "_env", F.coalesce(_member("_doc", "$.payload"), F.col("_doc")))
     facts = opened.select(
         "*",

@@ -67,7 +67,9 @@ def build_all(lake: Lake, run_id: str, snapshot_at: datetime, start: date | None
     for name, frame in current.items():
         written[f"current_{name}"] = lake.overwrite(frame, "snapshots", f"current_{name}")
     now = F.lit(snapshot_at).cast("timestamp")
-    written["snap_customers"] = customer_history(lake).merge(written["current_customers"], now)
+    history = customer_history(lake)
+    history.merge(written["current_customers"], now)
+    written["snap_customers"] = history.read()
 
     states = {name: written[f"current_{name}"] for name in ENTITIES}
     written["dim_customers"] = lake.overwrite(star.dim_customers(written["snap_customers"]), "marts", "dim_customers")

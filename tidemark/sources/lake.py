@@ -98,10 +98,8 @@ class Lake:
         columns are NULL in old rows, removed ones go.
         """
         path = self.path(layer, table)
-        # the rows are used three times below: written once instead
-        staged = scratch_path(self.spark, table)
-        frame.withColumn(bucket, bucket_of).write.parquet(staged)
-        new = self.spark.read.parquet(staged)
+        # used three times below
+        new = stored(frame.withColumn(bucket, bucket_of), table)
         old = existing(self.spark, path)
         if old is None:
             rows = new
@@ -165,28 +163,41 @@ class HistoryTable:
             + [T.StructField("merge_id", T.LongType()), T.StructField("is_open", T.BooleanType())])
         return read_optional(self.spark, f"{self.path}/versions", layout)
 
+    def _committed(self, last: int, closed: bool) -> DataFrame:
+        kept = (F.col("merge_id") == last) & F.col("is_open")
+        if closed:
+            kept = kept | ((F.col("merge_id") <= last) & ~F.col("is_open"))
+        return self._stored().filter(kept).select(*self.schema.fieldNames())
+
     def open_versions(self) -> DataFrame:
-        return self._stored().filter((F.col("merge_id") == self.last_merge()) & F.col("is_open")).select(
-            *self.schema.fieldNames())
+        return self._committed(self.last_merge(), closed=False)
 
     def read(self) -> DataFrame:
-        last = self.last_merge()
-        committed = (~F.col("is_open") & (F.col("merge_id") <= last)) | (F.col("is_open") & (F.col("merge_id") == last))
-        return self._stored().filter(committed).select(*self.schema.fieldNames())
+        return self._committed(self.last_merge(), closed=True)
 
-    def merge(self, current: DataFrame, snapshot_at: Column, updated_at: str = "updated_at") -> DataFrame:
-        merge_id = self.last_merge() + 1
+    def merge(self, current: DataFrame, snapshot_at: Column, updated_at: str = "updated_at") -> int:
+        """Merges a current state; returns the number of the merge."""
+        last = self.last_merge()
         tracked = current.select(*self.tracked.fieldNames())
-        versions = merge_versions(self.open_versions(), tracked, snapshot_at, self.key, updated_at)
+        versions = merge_versions(
+            self._committed(last, closed=False), tracked, snapshot_at, self.key, updated_at)
         (versions.withColumn("is_open", F.col("valid_to").isNull())
          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_open")
-         .parquet(f"{self.path}/versions/merge_id={merge_id}"))
-        (self.spark.range(1).select(F.lit(merge_id).cast("long").alias("committed_merge"))
+         .parquet(f"{self.path}/versions/merge_id={last + 1}"))
+        (self.spark.range(0, 1, 1, 1).select(F.lit(last + 1).cast("long").alias("committed_merge"))
          .write.mode("append").parquet(f"{self.path}/commits"))
-        return self.read()
+        return last + 1
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` as a table in the shared scratch folder. Cuts lineage, and what
+    is used several times is computed once and survives its executors."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 __all__ = [
     "HISTORY_TAIL", "HistoryTable", "Lake", "existing", "read_optional", "replace_rows", "require_columns",
-    "sync_columns",
+    "stored", "sync_columns",
 ]
