@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.envelope import parse_envelope
 from tidemark.operators import aggregates as agg
 from tidemark.operators import audit, checks, dedup, events, policy, staging, star, strict
-from tidemark.operators.current import current_from_raw
+from tidemark.operators.current import current_from_raw, current_state
 from tidemark.plans import marts, profiles
 from tidemark.plans.build import HISTORY_SCHEMA, build_star
 from tidemark.schemas import ACCEPTED_VALUES, ENTITIES, REQUIRED_METADATA, SOURCE_VALUES, TABLES
@@ -63,21 +64,25 @@ def _valid(spark: SparkSession, sf: str, replays: bool = False) -> DataFrame:
     return events.valid_events(_bronze(spark, sf, replays))
 
 
-def _raw_log(spark: SparkSession, sf: str, name: str, last: int = 3) -> DataFrame:
+def _raw_log(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The change log of an entity as it lies in the raw table."""
-    log = events.valid_events(events.bronze_events(tables.change_records(spark, sf, name, last), RUN_ID))
+    log = events.valid_events(events.bronze_events(tables.change_records(spark, sf, name), RUN_ID))
     return dedup.stamped(log, F.lit(tables.LOADED_AT).cast("timestamp"))
 
 
-def _current(spark: SparkSession, sf: str, name: str, last: int = 3) -> DataFrame:
-    return current_from_raw(_raw_log(spark, sf, name, last), name)
+def _current(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return current_from_raw(_raw_log(spark, sf, name), name)
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
-    """Four merges of the customer change log into a fresh history table."""
+    """Four merges of the customer change log into a fresh history table, each
+    of the state after one more day of the log."""
+    typed = staging.typed_events(staging.normalised_events(_raw_log(spark, sf, "customers")), "customers")
+    log = stored(typed, "customer_log")
     table = HistoryTable(spark, scratch_path(spark, "history"), HISTORY_SCHEMA, "customer_id")
-    for last, moment in enumerate(SNAPSHOTS):
-        table.merge(_current(spark, sf, "customers", last), F.lit(moment).cast("timestamp"))
+    for days, moment in enumerate(SNAPSHOTS, start=1):
+        seen = log.filter(F.col("source_timestamp_ms") < tables.LOG_EPOCH_MS + days * tables.DAY_MS)
+        table.merge(current_state(seen, "customers"), F.lit(moment).cast("timestamp"))
     return table.read()
 
 
@@ -133,8 +138,6 @@ def strict_validity(spark, sf):
 
 def record_keys(spark, sf):
     """Key of the changed row, unwrapped from either image."""
-    from tidemark.functions.envelope import parse_envelope
-
     parsed = tables.change_records(spark, sf, "customers").select(
         "offset", parse_envelope(F.col("value").cast("string")).alias("envelope"))
     return parsed.select("offset", events.record_key("envelope", "customer_id").alias("record_key"))

@@ -162,7 +162,7 @@ def current(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = ENTITIES[name].key
     stamp = _source_ms(F.col(key), F.lit(0))
     position = (F.lit(f"{TOPIC_PREFIX}.{name}"), (F.col(key) % 3).cast("int"), F.col(key) * 4)
-    return BUILDERS[name](spark, sf_dir).select(
+    return spread(BUILDERS[name](spark, sf_dir), key).select(
         "*",
         event_id(*position).alias("current_event_id"),
         F.lit("r").alias("latest_operation"),
