@@ -11,16 +11,6 @@ from tidemark.functions.keys import version_id
 HISTORY_TAIL = ("scd_id", "valid_from", "valid_to", "is_deleted")
 
 
-def _version(side: str, columns: list[str], key: str, start: Column, end: Column, deleted: Column) -> Column:
-    return F.struct(
-        *[F.col(f"{side}.{name}").alias(name) for name in columns],
-        version_id(F.col(f"{side}.{key}"), start, deleted).alias("scd_id"),
-        start.alias("valid_from"),
-        end.alias("valid_to"),
-        deleted.alias("is_deleted"),
-    )
-
-
 def merge_versions(
     open_versions: DataFrame, current: DataFrame, snapshot_at: Column, key: str, updated_at: str = "updated_at"
 ) -> DataFrame:
@@ -43,22 +33,31 @@ def merge_versions(
 
     forever, live, dead = F.lit(None).cast("timestamp"), F.lit(False), F.lit(True)
     moved = F.col(f"c.{updated_at}")
-    begun = F.col("o.valid_from")
+    begun, gone = F.col("o.valid_from"), F.col("o.is_deleted")
     returned = F.greatest(moved, begun)
 
+    before = F.struct(*[f"o.{name}" for name in columns])
+    after = F.struct(*[f"c.{name}" for name in columns])
+
+    def version(image: Column, start: Column, end: Column, deleted: Column) -> Column:
+        return F.struct(
+            image.alias("image"), start.alias("valid_from"), end.alias("valid_to"), deleted.alias("is_deleted"))
+
     def kept(end: Column) -> Column:
-        return _version("o", columns, key, begun, end, F.col("o.is_deleted"))
+        return version(before, begun, end, gone)
 
     def fresh(start: Column) -> Column:
-        return _version("c", columns, key, start, forever, live)
+        return version(after, start, forever, live)
 
     had, has = F.col(f"o.{key}").isNotNull(), F.col(f"c.{key}").isNotNull()
-    gone = F.col("o.is_deleted")
     versions = (
         F.when(~had, F.array(fresh(moved)))
         .when(has & gone, F.array(kept(returned), fresh(returned)))
         .when(has & (begun < moved), F.array(kept(moved), fresh(moved)))
-        .when(~has & ~gone, F.array(kept(snapshot_at), _version("o", columns, key, snapshot_at, forever, dead)))
+        .when(~has & ~gone, F.array(kept(snapshot_at), version(before, snapshot_at, forever, dead)))
         .otherwise(F.array(kept(forever)))
     )
-    return joined.select(F.explode(versions).alias("v")).select("v.*")
+    rows = joined.select(F.explode(versions).alias("v")).select("v.image.*", "v.valid_from", "v.valid_to", "v.is_deleted")
+    # the id follows from the row, so that of a kept version comes out the same
+    scd_id = version_id(F.col(key), F.col("valid_from"), F.col("is_deleted")).alias("scd_id")
+    return rows.select(*columns, scd_id, "valid_from", "valid_to", "is_deleted")

@@ -31,7 +31,7 @@ class RunConfig:
 
     root: str
     records: Callable[[SparkSession], DataFrame]
-    dag_id: str = "commerce_incremental"
+    dag_id: str = "incremental"
     conf: Mapping[str, object] | None = None
     snapshot_at: datetime | None = None
 
