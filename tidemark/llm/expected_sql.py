@@ -26,6 +26,56 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# The fixed numbers are the parameters of the mix: weights 3, 1, 2; share 1.5; at most 2 copies; seed 17; texts below 50
+# words half as likely.
+MIX = """
+WITH m AS (
+  SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+d AS (
+  SELECT doc_id, source, size, CASE WHEN size < 50 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS pref,
+         (CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')), 1, 13)
+               AS BIGINT)::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM m),
+c AS (SELECT source, pref, sum(size)::DOUBLE AS words FROM d GROUP BY ALL),
+s AS (
+  SELECT source, sum(words) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS pos FROM c GROUP BY source),
+sw AS (
+  SELECT source, source_size, pos, ([3, 1, 2])[(pos - 1) % 3 + 1]::DOUBLE AS weight, source_size * 2 AS cap,
+         sum(source_size) OVER () * 1.5::DOUBLE AS total FROM s),
+sr AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY cap / weight, pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate FROM sw),
+t AS (
+  SELECT source, source_size, CASE WHEN cap = 0 THEN 0 ELSE least(coalesce(
+           max(rate) FILTER (WHERE rate * weight <= cap) OVER () * weight, cap), cap) END AS target FROM sr),
+cw AS (
+  SELECT c.source, pref, words, source_size, target, pref * words AS weight, words * 2 AS cap
+  FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source),
+cr AS (
+  SELECT *, (target - coalesce(sum(cap) OVER (PARTITION BY source ORDER BY cap / weight, pref DESC
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (PARTITION BY source ORDER BY cap / weight, pref DESC
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate FROM cw),
+cd AS (
+  SELECT *, CASE WHEN words > 0 THEN least(coalesce(
+           max(rate) FILTER (WHERE rate * weight <= cap) OVER (PARTITION BY source) * weight, cap), cap) / words ELSE 0 END AS m
+  FROM cr),
+p AS (
+  SELECT *, m - floor(m) AS p, target - sum(floor(m) * words) OVER (PARTITION BY source) AS rest FROM cd),
+r AS (
+  SELECT d.doc_id, d.source, d.size, p.source_size, p.target, floor(p.m) AS certain, p.rest,
+         CASE WHEN p.p > 0 AND d.size > 0 THEN (d.u / (1 - d.u)) / (p.p / (1 - p.p)) END AS odds
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.pref = p.pref),
+w AS (
+  SELECT *, sum(size) OVER (PARTITION BY source, odds IS NULL ORDER BY odds / (1 + odds), doc_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reached FROM r)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+       ((certain + CASE WHEN odds IS NOT NULL AND reached - size / 2 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken,
+       source, (certain + CASE WHEN odds IS NOT NULL AND reached - size / 2 <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM w
+"""
+
 EXPECTED: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATE,
+    "op3_mix": MIX,
 }

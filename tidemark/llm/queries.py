@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import read
 from tidemark.llm.decontaminate import op2_decontaminate
+from tidemark.llm.mix import op3_mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,11 @@ def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return op2_decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def mix(spark: SparkSession, sf: str) -> DataFrame:
+    return op3_mix(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontaminate": decontaminate,
+    "op3_mix": mix,
 }
