@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import read
 from tidemark.llm.decontaminate import op2_decontaminate
 from tidemark.llm.mix import op3_mix
+from tidemark.llm.neighbours import op8_neighbours
+from tidemark.llm.urls import op1_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return op1_url_filter(read(spark, sf, "pages"))
+
+
 def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return op2_decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
@@ -21,7 +27,13 @@ def mix(spark: SparkSession, sf: str) -> DataFrame:
     return op3_mix(read(spark, sf, "documents"))
 
 
+def neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return op8_neighbours(read(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": url_filter,
     "op2_decontaminate": decontaminate,
     "op3_mix": mix,
+    "op8_neighbours": neighbours,
 }
