@@ -10,6 +10,7 @@ from tidemark.llm.common import read
 from tidemark.llm.decontaminate import op2_decontaminate
 from tidemark.llm.mix import op3_mix
 from tidemark.llm.neighbours import op8_neighbours
+from tidemark.llm.toxicity import op10_toxicity
 from tidemark.llm.urls import op1_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,9 +32,14 @@ def neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return op8_neighbours(read(spark, sf, "embeddings"))
 
 
+def toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return op10_toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": url_filter,
     "op2_decontaminate": decontaminate,
     "op3_mix": mix,
     "op8_neighbours": neighbours,
+    "op10_toxicity": toxicity,
 }
