@@ -10,6 +10,7 @@ from tidemark.llm.common import read
 from tidemark.llm.decontaminate import op2_decontaminate
 from tidemark.llm.mix import op3_mix
 from tidemark.llm.neighbours import op8_neighbours
+from tidemark.llm.pii import op5_pii
 from tidemark.llm.quality import op6_quality
 from tidemark.llm.toxicity import op10_toxicity
 from tidemark.llm.urls import op1_url_filter
@@ -41,10 +42,15 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
     return op6_quality(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+def pii(spark: SparkSession, sf: str) -> DataFrame:
+    return op5_pii(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": url_filter,
     "op2_decontaminate": decontaminate,
     "op3_mix": mix,
+    "op5_pii": pii,
     "op6_quality": quality,
     "op8_neighbours": neighbours,
     "op10_toxicity": toxicity,
