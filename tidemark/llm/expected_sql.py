@@ -75,7 +75,26 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
 FROM w
 """
 
+_SPACED = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + least(4, len(w)) - 1], ' ') AS g
+  FROM d, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS t(s) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g AS a JOIN g AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM c JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) USING (doc_id)
+"""
+
 EXPECTED: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATE,
     "op3_mix": MIX,
+    "op9_jaccard": JACCARD,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import read
 from tidemark.llm.decontaminate import op2_decontaminate
+from tidemark.llm.jaccard import op9_jaccard
 from tidemark.llm.mix import op3_mix
 from tidemark.llm.neighbours import op8_neighbours
 from tidemark.llm.pii import op5_pii
@@ -46,6 +47,10 @@ def pii(spark: SparkSession, sf: str) -> DataFrame:
     return op5_pii(read(spark, sf, "documents"))
 
 
+def jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return op9_jaccard(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": url_filter,
     "op2_decontaminate": decontaminate,
@@ -53,5 +58,6 @@ QUERIES: dict[str, Query] = {
     "op5_pii": pii,
     "op6_quality": quality,
     "op8_neighbours": neighbours,
+    "op9_jaccard": jaccard,
     "op10_toxicity": toxicity,
 }
