@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import read
 from tidemark.llm.decontaminate import op2_decontaminate
+from tidemark.llm.html import op4_html
 from tidemark.llm.jaccard import op9_jaccard
 from tidemark.llm.mix import op3_mix
 from tidemark.llm.neighbours import op8_neighbours
@@ -51,10 +52,15 @@ def jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return op9_jaccard(read(spark, sf, "documents"))
 
 
+def html(spark: SparkSession, sf: str) -> DataFrame:
+    return op4_html(read(spark, sf, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": url_filter,
     "op2_decontaminate": decontaminate,
     "op3_mix": mix,
+    "op4_html": html,
     "op5_pii": pii,
     "op6_quality": quality,
     "op8_neighbours": neighbours,
