@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches
+from tidemark.llm.common import map_batches, stored
 from tidemark.llm.words import ALNUM, Words, each_piece, grams, mix, signed
 
 WINDOW = 10
@@ -172,6 +172,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
+def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents without a shared window, with their columns."""
+    key = "_text_key"
+    hit = contaminated(documents, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("hit_id"), "doc_key")
+    hit = stored(hit, "contaminated")
+    rows = documents.withColumn(key, F.xxhash64("text"))
+    return rows.join(hit, rows["doc_id"].eqNullSafe(hit["hit_id"]) & (rows[key] == hit["doc_key"]), "left_anti").drop(key)
+
+
 def op2_decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contaminated(documents, benchmark).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

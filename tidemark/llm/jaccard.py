@@ -283,9 +283,9 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.unionByName(more).select(F.col("node").alias("a"), F.col("mate").alias("b"))
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, sets: DataFrame | None = None) -> DataFrame:
     """doc_id, n_shingles and component_id of each document."""
-    sets = stored(document_sets(documents), "jaccard_documents")
+    sets = stored(document_sets(documents), "jaccard_documents") if sets is None else sets
     nodes = sets.filter("n_shingles > 0").groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("first_id"))
     nodes = stored(nodes, "jaccard_nodes")
     labels = components(links(documents, nodes))
@@ -296,5 +296,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """The documents that name their component, one row of each doc_id. Rows without doc_id stay."""
+    sets = stored(document_sets(documents), "jaccard_documents")
+    found = near_duplicates(documents, sets)
+    gone = stored(found.filter("component_id <> doc_id").select("doc_id"), "jaccard_gone")
+    again = stored(sets.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "jaccard_again")
+    kept = documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    once = kept.join(again, "doc_id", "left_anti").select(*documents.columns)
+    several = kept.join(again, "doc_id", "left_semi").select(*documents.columns).dropDuplicates(["doc_id"])
+    return once.unionByName(several)
+
+
 def op9_jaccard(documents: DataFrame) -> DataFrame:
     return near_duplicates(documents)

@@ -171,8 +171,8 @@ def fitted(documents: DataFrame, labels: DataFrame, allowed: Column | None = Non
     return co_train(text[draw], page[draw], label[draw])
 
 
-def scored(documents: DataFrame, views: Views, carried: list[str]) -> DataFrame:
-    """``carried`` columns and the score (probability of good quality) of each document."""
+def scored(documents: DataFrame, views: Views, carried: list[str], name: str = "score") -> DataFrame:
+    """``carried`` columns and, as ``name``, the score (probability of good quality) of each document."""
     shared = documents.sparkSession.sparkContext.broadcast(views)
 
     def work(batch: pa.RecordBatch):
@@ -181,11 +181,18 @@ def scored(documents: DataFrame, views: Views, carried: list[str]) -> DataFrame:
             part = batch.slice(low, high - low)
             page = page_view(raw, offset, low, high, part.column("lang").to_pylist(), part.column("source").to_pylist())
             score = shared.value.score(text_view(words), page)
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), pa.array(score)], [*carried, "score"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), pa.array(score)], [*carried, name])
 
     kinds = dict(documents.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + ", score double"
-    return map_batches(documents.select(*dict.fromkeys([*carried, "text", "lang", "source"])), work, schema)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + f", {name} double"
+    return map_batches(documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*carried, "text", "lang", "source"])]), work, schema)
+
+
+def good(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not rejected, with their columns."""
+    score = "_quality_score"
+    rated = scored(documents, fitted(documents, labels), documents.columns, score)
+    return rated.filter(F.col(score) >= THRESHOLD).drop(score)
 
 
 def op6_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
