@@ -12,6 +12,7 @@ from tidemark.llm.html import op4_html
 from tidemark.llm.jaccard import op9_jaccard
 from tidemark.llm.mix import op3_mix
 from tidemark.llm.neighbours import op8_neighbours
+from tidemark.llm.ngram_lm import op7_lm
 from tidemark.llm.pii import op5_pii
 from tidemark.llm.quality import op6_quality
 from tidemark.llm.toxicity import op10_toxicity
@@ -56,6 +57,10 @@ def html(spark: SparkSession, sf: str) -> DataFrame:
     return op4_html(read(spark, sf, "pages"))
 
 
+def lm(spark: SparkSession, sf: str) -> DataFrame:
+    return op7_lm(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": url_filter,
     "op2_decontaminate": decontaminate,
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op4_html": html,
     "op5_pii": pii,
     "op6_quality": quality,
+    "op7_lm": lm,
     "op8_neighbours": neighbours,
     "op9_jaccard": jaccard,
     "op10_toxicity": toxicity,
