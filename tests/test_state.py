@@ -97,7 +97,7 @@ def test_lookup_equals_a_plain_join_on_skewed_and_null_keys(spark):
     right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        found = lookup(left, right, "k", "id").select("id", "k", "v")
+        found = lookup(left, right, "k").select("id", "k", "v")
         plain = left.join(right, "k", "left").select("id", "k", "v")
         assert found.count() == 4000 and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
     finally:

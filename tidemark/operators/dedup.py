@@ -19,10 +19,17 @@ def dedup_events(events: DataFrame, key: str = "event_id") -> DataFrame:
     return latest_per_key(events, [key], order)
 
 
-def dedup_stream(events: DataFrame, key: str = "event_id", within: str = "1 hour") -> DataFrame:
-    """Streaming variant: repeats within the watermark are dropped, the state
-    behind it is freed."""
-    return events.withWatermark("event_timestamp", within).dropDuplicatesWithinWatermark([key])
+def dedup_stream(events: DataFrame, key: str = "event_id", arrived: str | None = None, within: str = "1 hour") -> DataFrame:
+    """Streaming variant; never drops anything but repeats.
+
+    Every key is remembered, whenever its event is dated (a state store on disk
+    holds many). Where a column says when an event ``arrived`` and never runs
+    back, keys are forgotten ``within`` that time: a repeat beyond it comes
+    through and is left to the load, and no event is late by its own date.
+    """
+    if arrived is None:
+        return events.dropDuplicates([key])
+    return events.withWatermark(arrived, within).dropDuplicatesWithinWatermark([key])
 
 
 def duplicate_count(events: DataFrame, key: str = "event_id") -> DataFrame:
@@ -40,20 +47,22 @@ def new_events(source: DataFrame, target: DataFrame, key: str = "event_id") -> D
     return source.join(target.select(key), key, "left_anti")
 
 
-def touched_partitions(batch: DataFrame) -> Column:
-    """A filter on ``source_table`` and ``event_date`` that covers the batch.
+PARTITION = ("source_table", "event_date")
 
-    An event always lands in the same partition, so only these can hold copies.
-    One row per table reaches the driver, never a data row.
-    """
-    spans = batch.groupBy("source_table").agg(
-        F.min("event_date").alias("first"), F.max("event_date").alias("last")).collect()
-    covered = F.lit(False)
-    for span in spans:
-        covered = covered | (
-            (F.col("source_table") == span["source_table"])
-            & F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"])))
-    return covered
+
+def touched_partitions(batch: DataFrame) -> DataFrame:
+    """The exact partitions the batch lies in. An event always lands in the same
+    partition, so only these can hold copies of it."""
+    return batch.select(*PARTITION).distinct()
+
+
+def in_partitions(target: DataFrame, touched: DataFrame) -> DataFrame:
+    """The rows of ``target`` in the touched partitions, by an equi-join on the
+    partition columns, so that Spark reads no others. Events without a date have
+    a partition of their own, which is read whenever it exists."""
+    whole = [F.col(c).isNotNull() for c in PARTITION]
+    dated = target.filter(whole[0] & whole[1]).join(touched, list(PARTITION), "left_semi")
+    return dated.select(*target.columns).unionByName(target.filter(~(whole[0] & whole[1])))
 
 
 def stamped(events: DataFrame, loaded_at: Column | None = None) -> DataFrame:

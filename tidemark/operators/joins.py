@@ -2,60 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# How many heavy keys are looked for, and over how many salts each is spread.
-HEAVY_KEYS = 64
-SALTS = 32
-
-
-def heavy_keys(rows: DataFrame, key: str, top: int = HEAVY_KEYS) -> DataFrame:
-    """One row with an array of at most ``top`` heaviest keys (frequent-items
-    sketch: one small buffer per task, no shuffle of the rows)."""
-    found = rows.agg(F.expr(f"approx_top_k({key}, {top}, {top * 16})").alias("_top"))
-    return found.select(F.expr("transform(_top, t -> t.item)").alias("heavy"))
-
 
-def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: str,
-    condition: Column | None = None,
-    how: str = "left",
-    salts: int = SALTS,
-    top: int = HEAVY_KEYS,
-) -> DataFrame:
-    """Join ``left`` to ``right`` on ``key`` (plus ``condition``), heavy keys of
-    ``left`` salted.
+def lookup(left: DataFrame, right: DataFrame, key: str, condition: Column | None = None, how: str = "left") -> DataFrame:
+    """Join ``left`` (``l``) to ``right`` (``r``) on ``key``, plus ``condition``; columns of ``left`` first.
 
-    Rows of a heavy key are spread over ``salts`` by a hash of ``spread_by``;
-    only the matching right rows are repeated, at most ``top`` keys' worth.
-    Which keys count as heavy never changes the result. NULL keys match nothing
-    and are spread too. Where the right side is small, Spark still broadcasts
-    it and the salt costs nothing.
+    Spark broadcasts the right side where it is small; otherwise adaptive
+    execution splits the partitions of heavy keys and of NULL, whatever their
+    number.
     """
-    hot = heavy_keys(left, key, top).scalar()
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    salted_left = left.withColumn(
-        "_salt",
-        F.when(F.col(key).isNull() | F.array_contains(hot, F.col(key)), spread).otherwise(0),
-    )
-    salted_right = right.withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.array_contains(hot, F.col(key)), F.sequence(F.lit(0), F.lit(salts - 1)))
-            .otherwise(F.array(F.lit(0)))
-        ),
-    )
-    a, b = salted_left.alias("l"), salted_right.alias("r")
-    on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._salt") == F.col("r._salt"))
-    if condition is not None:
-        on = on & condition
-    joined = a.join(b, on, how)
+    a, b = left.alias("l"), right.alias("r")
+    on = F.col(f"l.{key}") == F.col(f"r.{key}")
+    joined = a.join(b, on if condition is None else on & condition, how)
     kept = [F.col(f"l.{name}") for name in left.columns]
     added = [F.col(f"r.{name}") for name in right.columns if name not in left.columns]
     return joined.select(*kept, *added)

@@ -200,17 +200,20 @@ def change_sequence(
 ) -> DataFrame:
     """Per key: are its events, in offset order, exactly ``expected``?
 
-    One more event than expected is kept per key, enough to tell; the rank
-    filter limits a hot key ahead of the shuffle. With ``remaining`` (rows still
-    present) a key that is still there fails as well.
+    All events of a key are counted, and as many of the first as expected are
+    compared one by one: together that decides for any number of events. The
+    rank filter limits a hot key ahead of the shuffle, counting combines before
+    it. With ``remaining`` (rows still present) a key that is still there fails
+    as well.
     """
-    limit = len(expected) + 1
+    limit = len(expected)
     order = Window.partitionBy(key).orderBy("kafka_offset", "event_id")
     first = events.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= limit)
     # one small map entry per rank, at most `limit` of them
-    seen = first.groupBy(key).agg(*[
+    begun = first.groupBy(key).agg(*[
         F.max(F.when(F.col("_n") == n, F.col("operation"))).alias(f"_op{n}") for n in range(1, limit + 1)
-    ]).select(key, F.concat_ws(",", *[f"_op{n}" for n in range(1, limit + 1)]).alias("operations"))
+    ]).select(key, F.concat_ws(",", *[f"_op{n}" for n in range(1, limit + 1)]).alias("first_operations"))
+    seen = events.groupBy(key).agg(F.count("*").alias("event_count")).join(begun, key)
     if remaining is None:
         judged = seen.withColumn("remaining_rows", F.lit(0).cast("long"))
     else:
@@ -218,4 +221,5 @@ def change_sequence(
         judged = seen.join(left, key, "left").withColumn(
             "remaining_rows", F.coalesce("remaining_rows", F.lit(0)).cast("long"))
     return judged.withColumn(
-        "verified", (F.col("operations") == ",".join(expected)) & (F.col("remaining_rows") == 0))
+        "verified", (F.col("first_operations") == ",".join(expected)) & (F.col("event_count") == limit)
+        & (F.col("remaining_rows") == 0))

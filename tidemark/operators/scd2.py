@@ -21,18 +21,23 @@ def merge_versions(
     closed for good, the others are the new open versions:
 
     * new key: a live version from ``updated_at``
-    * live, current row newer: closed at the new ``updated_at``, new version
+    * live, current row updated since the version's own ``updated_at`` (or
+      without one, and different): closed, and a new version from the new
+      ``updated_at``, but not before the version began
     * live, key gone: closed at ``snapshot_at``, a copy flagged deleted from there
     * flagged deleted, key back: both at the later of ``updated_at`` and the
       flag's start, so versions never overlap
     * anything else: unchanged
+
+    A row without ``updated_at`` counts as updated at ``snapshot_at``. A live
+    version that would end where it began is replaced, not closed.
     """
     columns = current.columns
     old, new = open_versions.alias("o"), current.alias("c")
     joined = old.join(new, F.col(f"o.{key}") == F.col(f"c.{key}"), "full_outer")
 
     forever, live, dead = F.lit(None).cast("timestamp"), F.lit(False), F.lit(True)
-    moved = F.col(f"c.{updated_at}")
+    moved = F.coalesce(F.col(f"c.{updated_at}"), snapshot_at)
     begun, gone = F.col("o.valid_from"), F.col("o.is_deleted")
     returned = F.greatest(moved, begun)
 
@@ -49,11 +54,15 @@ def merge_versions(
     def fresh(start: Column) -> Column:
         return version(after, start, forever, live)
 
+    stamp = F.col(f"c.{updated_at}")
+    newer = F.coalesce(F.col(f"o.{updated_at}") < stamp, stamp.isNotNull() & F.col(f"o.{updated_at}").isNull(), F.lit(False))
+    newer = newer | (stamp.isNull() & ~before.eqNullSafe(after))
     had, has = F.col(f"o.{key}").isNotNull(), F.col(f"c.{key}").isNotNull()
     versions = (
         F.when(~had, F.array(fresh(moved)))
         .when(has & gone, F.array(kept(returned), fresh(returned)))
-        .when(has & (begun < moved), F.array(kept(moved), fresh(moved)))
+        .when(has & newer & (begun < moved), F.array(kept(returned), fresh(returned)))
+        .when(has & newer, F.array(fresh(begun)))
         .when(~has & ~gone, F.array(kept(snapshot_at), version(before, snapshot_at, forever, dead)))
         .otherwise(F.array(kept(forever)))
     )

@@ -37,16 +37,21 @@ def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with the key of the customer version valid when they were placed.
 
     A history has at most two rows per key and merge, so the residual range
-    test sees few versions per order; heavy customers are salted.
+    test sees few versions per order; partitions of heavy customers are split.
     """
     versions = customers.filter(~F.col("is_deleted")).select(
         "customer_id", "customer_key", "valid_from", "valid_to")
     as_of = (F.col("l.ordered_at") >= F.col("r.valid_from")) & (
         F.col("r.valid_to").isNull() | (F.col("l.ordered_at") < F.col("r.valid_to")))
-    found = lookup(orders, versions, "customer_id", spread_by="order_id", condition=as_of)
-    return found.select(
+    return order_facts(lookup(orders, versions, "customer_id", condition=as_of), "customer_key")
+
+
+def order_facts(orders: DataFrame, *keys: str) -> DataFrame:
+    """What the fact has without looking anything up, plus ``keys``: enough for
+    daily totals, payments, shipments and reconciliation."""
+    return orders.select(
         surrogate_key(F.col("order_id")).alias("order_key"),
-        "customer_key", "order_id", "customer_id", "order_status", "order_total", "currency", "ordered_at",
+        *keys, "order_id", "customer_id", "order_status", "order_total", "currency", "ordered_at",
         F.to_date("ordered_at").alias("order_date"),
         F.trunc(F.to_date("ordered_at"), "month").alias("order_month"),
         (F.col("order_status") == "cancelled").alias("is_cancelled"),
@@ -57,11 +62,15 @@ def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 def fact_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
     keys = products.select("product_id", "product_key")
-    found = lookup(items, keys, "product_id", spread_by="order_item_id")
-    return found.select(
+    return item_facts(lookup(items, keys, "product_id"), "product_key")
+
+
+def item_facts(items: DataFrame, *keys: str) -> DataFrame:
+    """What the fact has without looking anything up, plus ``keys``."""
+    return items.select(
         surrogate_key(F.col("order_item_id")).alias("order_item_key"),
         surrogate_key(F.col("order_id")).alias("order_key"),
-        "product_key", "order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total",
+        *keys, "order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total",
         *STAR_TAIL,
     )
 

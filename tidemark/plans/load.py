@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import (
-    dedup_events, load_audit_row, load_verification, new_events, stamped, touched_partitions)
+    dedup_events, in_partitions, load_audit_row, load_verification, new_events, stamped, touched_partitions)
 from tidemark.schemas import BRONZE_COLUMNS, RAW_SCHEMA
-from tidemark.sources.lake import Lake, require_columns
+from tidemark.sources.lake import Lake, require_columns, stored
 
 RAW_PARTITIONS = ("source_table", "event_date")
+# tasks that may share the writing of one partition
+WRITERS = 4
 
 
 @dataclass(frozen=True)
@@ -24,21 +26,34 @@ class LoadResult:
 
 
 def load_bronze(lake: Lake, bronze: DataFrame, run_id: str) -> LoadResult:
-    """Appends the events the raw table lacks and verifies the outcome.
+    """Appends the events the raw table lacks and verifies the outcome. A load that
+    dies leaves a failed row in the audit table.
 
     Target ids are read only from the partitions the batch can touch. Known ids
     are removed before copies of new ones are, so a reload sorts nothing. Rows
     inserted are the growth of the target, counted from Parquet footers.
     """
     started = datetime.now(timezone.utc)
+    try:
+        return _load(lake, bronze, run_id, started)
+    except Exception:
+        lake.append(
+            load_audit_row(lake.spark, run_id, started, datetime.now(timezone.utc), 0, 0, 0, status="failed"),
+            "audit", "warehouse_load_runs")
+        raise
+
+
+def _load(lake: Lake, bronze: DataFrame, run_id: str, started: datetime) -> LoadResult:
     source = require_columns(bronze, BRONZE_COLUMNS).select(*BRONZE_COLUMNS)
-    covered = touched_partitions(source)
-    target = lake.read_optional("raw", "bronze_events", RAW_SCHEMA).filter(covered)
+    touched = stored(touched_partitions(source), "touched")
+    target = in_partitions(lake.read_optional("raw", "bronze_events", RAW_SCHEMA), touched)
     before = target.count()
-    lake.append(
-        stamped(dedup_events(new_events(source, target))), "raw", "bronze_events", RAW_PARTITIONS)
+    fresh = stamped(dedup_events(new_events(source, target)))
+    # each task writes into few partitions; large ones are shared by several tasks
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(WRITERS))
+    lake.append(fresh.repartition(*RAW_PARTITIONS, salt), "raw", "bronze_events", RAW_PARTITIONS)
 
-    loaded = lake.read_optional("raw", "bronze_events", RAW_SCHEMA).filter(covered)
+    loaded = in_partitions(lake.read_optional("raw", "bronze_events", RAW_SCHEMA), touched)
     inserted = loaded.count() - before
     counts = load_verification(source, loaded).withColumn("inserted_record_count", F.lit(inserted).cast("long"))
     report = counts.withColumn(

@@ -13,27 +13,34 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as agg
 from tidemark.operators import policy
-from tidemark.operators.audit import run_event, run_window, runs_from_log
+from tidemark.operators.audit import RunWindow, run_event, runs_from_log
 from tidemark.operators.checks import run_checks
 from tidemark.plans import profiles
-from tidemark.plans.build import backfill, build_all, data_tests
+from tidemark.plans.build import build_all, data_tests
 from tidemark.plans.load import load_bronze
-from tidemark.schemas import ENTITIES, RUN_LOG_SCHEMA
+from tidemark.schemas import ENTITIES, MAX_BACKFILL_DAYS, RUN_LOG_SCHEMA
 from tidemark.session import use_utc
 from tidemark.sources.lake import Lake
 from tidemark.streaming.bronze import BronzePaths, read_bronze, read_quarantine, run_bronze_stream, stream_report
 
 
+class GateFailed(RuntimeError):
+    """A step's own report says that its result is not valid."""
+
+
 @dataclass(frozen=True)
 class RunConfig:
     """``records`` gives the stream of change records; ``snapshot_at`` is the
-    time deletes are dated with, now where it is not given."""
+    time deletes are dated with, now where it is not given. ``reported_only``
+    names data tests whose failures are written down but do not stop a run."""
 
     root: str
     records: Callable[[SparkSession], DataFrame]
     dag_id: str = "incremental"
     conf: Mapping[str, object] | None = None
     snapshot_at: datetime | None = None
+    max_backfill_days: int = MAX_BACKFILL_DAYS
+    reported_only: frozenset[str] = frozenset()
 
 
 class RunLog:
@@ -74,47 +81,86 @@ def _stored_tables(lake: Lake, names) -> dict[str, DataFrame]:
     return {n: lake.read("snapshots" if n.startswith("current_") else "marts", n) for n in names}
 
 
+def gate(step: str, invalid: list[str]) -> None:
+    """Ends the run where a step's report names something invalid."""
+    if invalid:
+        raise GateFailed(f"{step}: {', '.join(sorted(invalid))}")
+
+
+def stream_problems(report: DataFrame, read: Mapping[str, int]) -> list[str]:
+    """What is wrong with a stream run: rows that reached neither layer."""
+    row = report.first()
+    written = row["new_bronze_events"] + row["new_quarantine_events"]
+    return [f"{name} is {rows}, {written} were written" for name, rows in read.items() if rows != written]
+
+
 def run(spark: SparkSession, config: RunConfig) -> str:
     """One run, incremental or backfill, with its audit; returns the run id.
 
-    A backfill recomputes the daily mart for its window only. A failing step is
+    Both modes stream, load, build everything and test it; a backfill narrows
+    only the daily mart, to its window. Every step is followed by a look at its
+    own report, and a report that is not valid ends the run. A failing step is
     recorded with its name before the error goes on.
     """
     use_utc(spark)
-    mode, first, last = run_window(config.conf)
+    window = RunWindow.told(config.conf, config.max_backfill_days)
     lake, paths = Lake(spark, config.root), BronzePaths.below(config.root)
     run_id, log = f"run-{uuid.uuid4()}", RunLog(Lake(spark, config.root))
-    log.start(run_id, config.dag_id, mode, first, last)
+    log.start(run_id, config.dag_id, window.mode, window.first, window.last)
     step = "start"
     try:
         step = "bronze_stream"
         began = time.perf_counter()
-        run_bronze_stream(config.records(spark), paths, run_id)
-        lake.overwrite(
+        read = run_bronze_stream(config.records(spark), paths, run_id)
+        streamed = lake.overwrite(
             stream_report(spark, paths, run_id, time.perf_counter() - began), "audit", "stream_report")
+        gate(step, stream_problems(streamed, read))
 
         step = "profile_bronze"
         bronze, quarantine = read_bronze(spark, paths), read_quarantine(spark, paths)
-        lake.overwrite(profiles.bronze_profile(bronze, quarantine), "audit", "bronze_profile")
+        profile = lake.overwrite(profiles.bronze_profile(bronze, quarantine), "audit", "bronze_profile")
+        gate(step, [] if profile.first()["valid"] else ["the bronze profile is not valid"])
 
         step = "load_raw"
         loaded = load_bronze(lake, bronze, f"load-{run_id}")
+        gate(step, [] if loaded.report.first()["valid"] else ["the load verification failed"])
 
         step = "build"
-        if mode == "backfill":
-            backfill(lake, first, last, run_id)
-        else:
-            built = build_all(lake, run_id, config.snapshot_at or datetime.now(timezone.utc))
-            step = "data_tests"
-            lake.overwrite(
-                run_checks(data_tests(lake.read("raw", "bronze_events"), built)), "audit", "data_tests")
-        log.succeed(run_id, {"inserted": loaded.inserted})
+        built = build_all(
+            lake, run_id, config.snapshot_at or datetime.now(timezone.utc), window.first, window.last)
+        # the daily mart of a backfill is its window; tests look at the whole table
+        built["mart_daily_commerce"] = lake.read("marts", "mart_daily_commerce").drop("mart_month")
+
+        step = "data_tests"
+        tested = lake.overwrite(
+            run_checks(data_tests(lake.read("raw", "bronze_events"), built)), "audit", "data_tests")
+        failed = [r["check_name"] for r in tested.filter("NOT passed").select("check_name").collect()]
+        gate(step, [name for name in failed if name not in config.reported_only])
+
+        step = "profile_warehouse"
+        metrics = lake.overwrite(
+            profiles.warehouse_profile(
+                {n: f for n, f in built.items() if not n.startswith("current_")}, lake.read("raw", "bronze_events"),
+                {n: built[f"current_{n}"] for n in ENTITIES}),
+            "audit", "warehouse_profile")
+        gate(step, empty_tables(metrics))
+        log.succeed(run_id, {"inserted": loaded.inserted, "reported": ",".join(failed)})
     except Exception as error:
         log.fail(run_id, step, str(error))
         raise
     return run_id
 
 
+def empty_tables(metrics: DataFrame) -> list[str]:
+    """Facts and dimensions that came out empty though their entity has rows."""
+    pairs = {
+        "dim_products": "products", "fact_orders": "orders", "fact_order_items": "order_items",
+        "fact_payments": "payments", "fact_shipments": "shipments"}
+    rows = {r["metric"]: r["value"] for r in metrics.filter(F.col("metric").startswith("rows.")).collect()}
+    return [table for table, entity in pairs.items()
+            if rows.get(f"rows.{table}") == "0" and rows.get(f"rows.current.{entity}") != "0"]
+
+
 def reliability_report(
     spark: SparkSession, root: str, source_counts: DataFrame, topics: DataFrame, checked_at: datetime,
     services: Mapping[str, bool] | None = None,

@@ -83,7 +83,6 @@ ALLOWED_LATENESS_SECONDS = 300
 FRESHNESS_SLO_SECONDS = 86_400
 MAX_BACKFILL_DAYS = 31
 MONEY_TOLERANCE = "0.01"
-MAX_ERROR_CHARS = 4000
 
 # One record as the Kafka source delivers it.
 RECORD_SCHEMA = T.StructType([

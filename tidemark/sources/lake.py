@@ -23,7 +23,6 @@ LAYER_FOLDERS = {
     "marts": "analytics",
     "audit": "audit",
 }
-VIEW_LAYERS = ("staging",)
 
 
 def require_columns(frame: DataFrame, required: Iterable[str], what: str = "bronze data") -> DataFrame:
@@ -78,13 +77,6 @@ class Lake:
         frame.write.mode("overwrite").parquet(self.path(layer, table))
         return self.read(layer, table)
 
-    def materialise(self, frame: DataFrame, layer: str, table: str) -> DataFrame:
-        """A view for view layers, a table for the others."""
-        if layer in VIEW_LAYERS:
-            frame.createOrReplaceTempView(table)
-            return frame
-        return self.overwrite(frame, layer, table)
-
     def replace_by_key(
         self, frame: DataFrame, layer: str, table: str, key: str, bucket: str, bucket_of: Column
     ) -> DataFrame:

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.keys import event_id
 from tidemark.schemas import ENTITIES, Entity
 
+LINES_PER_ORDER = 100_000
 TOPIC_PREFIX = "shop.public"
 LOG_EPOCH_MS = 1_704_067_200_000
 DAY_MS = 86_400_000
@@ -25,12 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Small inputs come in fewer splits than there are cores; what follows is
-    heavy per row, so such rows are dealt out first. Large inputs stay as read."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() < cores:
-        return frame.repartition(cores, key)
-    return frame
+    """Rows dealt out by key: what follows is heavy per row."""
+    return frame.repartition(key)
 
 
 def _money(column: str) -> Column:
@@ -90,17 +88,19 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines have no key of their own. All differ, so the first 60 bits of a
-    hash of the whole line serve as one: no shuffle, and no limit on the lines
-    of an order. The unit price is the line price split by the quantity."""
+    """Lines have no key of their own: not even order and line number are unique.
+    Order and place within the order, by the whole line, make one. The unit price
+    is the line price split by the quantity."""
     line = F.concat_ws(
         "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"),
         _money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)"), F.col("l_tax").cast("decimal(4,2)"),
         "l_returnflag", "l_linestatus", F.to_date("l_shipdate"))
     cents = (_money("l_extendedprice") * 100).cast("long")
     unit = F.floor(cents / F.col("l_quantity").cast("int")).cast("long")
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.md5(line)))
     return table(spark, sf_dir, "lineitem").select(
-        F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long").alias("order_item_id"),
+        F.when(place < LINES_PER_ORDER, F.col("l_orderkey") * LINES_PER_ORDER + place)
+        .otherwise(F.raise_error(F.lit("an order has too many lines"))).cast("long").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),

@@ -15,6 +15,7 @@ from tidemark.schemas import BRONZE_SCHEMA
 from tidemark.sources.lake import read_optional
 
 BRONZE_PARTITIONS = ("source_table", "event_date")
+POLL_SECONDS = 0.5
 QUARANTINE_PARTITIONS = ("invalid_reason", "event_date")
 
 
@@ -51,12 +52,21 @@ def run_bronze_stream(records: DataFrame, paths: BronzePaths, run_id: str) -> di
             quarantined_events(events), f"bronze_quarantine_{run_id}", paths.quarantine,
             f"{paths.checkpoints}/quarantine", QUARANTINE_PARTITIONS),
     }
-    for query in queries.values():
+    seen = {name: {} for name in queries}
+    while any([query.isActive for query in queries.values()]):
+        for name, query in queries.items():
+            query.awaitTermination(POLL_SECONDS)
+            seen[name] |= _batches(query)
+    for name, query in queries.items():
         query.awaitTermination()
-    return {
-        f"{name}_input_rows": sum(int(p["numInputRows"]) for p in query.recentProgress)
-        for name, query in queries.items()
-    }
+        seen[name] |= _batches(query)
+    return {f"{name}_input_rows": sum(batches.values()) for name, batches in seen.items()}
+
+
+def _batches(query: StreamingQuery) -> dict[int, int]:
+    """Input rows of the batches Spark still remembers, which are the last 100;
+    read often enough, none is missed."""
+    return {p["batchId"]: int(p["numInputRows"]) for p in query.recentProgress}
 
 
 def read_bronze(spark: SparkSession, paths: BronzePaths) -> DataFrame:
