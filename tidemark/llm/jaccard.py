@@ -9,15 +9,16 @@ the same path through that band. (Bands are per class of sizes; a set is also en
 may lie there. A set with so many empty bands that this band could be empty also enters its empty bands.) Sets meet on the
 hash of (class, band, run). Equal sets are one node from the start.
 
-Links. In every shard each node is compared with a pivot, the smallest node; inside an Arrow batch this happens before
-the shuffle, so a shard of very many sets reaches its key only once for each batch. Linked pairs give components. Shards
-whose nodes are then in one component are done. In the others, nodes outside the shard's largest component are compared
-with the nodes of other components, so no link between components is left out; a large group of near copies costs its size
-and not its square.
-
-Comparing. The candidates of many probes are walked together as one forest of tries: ``STEP`` shingles a level, the overlap
-of a shared path is counted once, and a subtree ends when the overlap so far plus the remaining length of either side cannot
-reach the required one. Sets are read from the documents again for the nodes that need it (a bitmap of fixed size, ``SLOTS``
+Links. Every shard has a pivot, the node that shares the most shards; the family of a pivot is every node of its shards,
+so two sets that link are together in some family. A family's sets form a trie of ``STEP`` shingles a level. The pivot
+walks it first, then every set that is not yet in one component with all others: the overlap of a shared path is counted
+once, and a subtree ends when the overlap so far plus the remaining length of either side cannot reach the required one.
+Only links that connect something new are returned, so no pairs are listed; a large group of near copies costs its size
+where the pivot links to them, and no rows in any case. Families of more than ``GROUP_SHINGLES`` shingles are cut in blocks,
+which all have the pivot; what is then outside the pivot's component meets the other blocks too.
+
+Inside an Arrow batch the nodes of a shard find each other before the shuffle, and only one of them meets other batches
+under the shard's key. Sets are read from the documents again for the nodes that need it (a bitmap of fixed size, ``SLOTS``
 bits, keeps the others from being sent; a fuller one only sends more).
 
 Cases: null and empty texts have an empty set and link with nothing; a text of fewer words than a shingle is one shingle.
@@ -41,7 +42,7 @@ SHINGLE = 4
 PART, WHOLE = 85, 100
 STEP = 64
 SLOTS = 1 << 22
-GROUP_SHINGLES, PROBE_BLOCK = 2_000_000, 512
+GROUP_SHINGLES = 2_000_000
 
 
 def size_classes(top: int = 1 << 31) -> np.ndarray:
@@ -179,72 +180,129 @@ def sets_for(documents: DataFrame, needed: DataFrame) -> DataFrame:
     return found.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def walk(probe_sets: list[np.ndarray], probe_at: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
-    """Which candidate sets link with their probe (``probe_at``: its index), by one walk over all tries."""
-    size = np.array([len(s) for s in sets], dtype=np.int64)
-    probe_size = np.array([len(s) for s in probe_sets], dtype=np.int64)
-    need = -(-PART * (size + probe_size[probe_at]) // (PART + WHOLE))
-    flat, start = np.concatenate(sets), np.concatenate(([0], np.cumsum(size)))[:-1]
-    probe_first = np.concatenate(([0], np.cumsum(probe_size)))
-    probe_flat = np.concatenate(probe_sets)
-    salt = mix(np.arange(1, len(probe_sets) + 1, dtype=np.uint64))
-    held = np.sort(mix(probe_flat ^ np.repeat(salt, probe_size)))
-    linked = np.zeros(len(sets), dtype=bool)
-    overlap, path = np.zeros(len(sets), dtype=np.int64), salt[probe_at].copy()
-    alive = np.flatnonzero(np.minimum(size, probe_size[probe_at]) >= need)
-    depth = 0
-    while len(alive):
-        width = np.minimum(size[alive] - depth, STEP)
-        where = np.repeat(start[alive] + depth - np.concatenate(([0], np.cumsum(width)[:-1])), width) + np.arange(width.sum())
-        edge = np.add.reduceat(mix(flat[where] + np.uint64(depth + 1)), np.concatenate(([0], np.cumsum(width)[:-1])))
-        path[alive] = mix(path[alive] ^ mix(edge ^ width.astype(np.uint64)))
-        # one node of the trie for each distinct path; its edge is counted once
-        _, rep, of = np.unique(path[alive], return_index=True, return_inverse=True)
-        rep_width = width[rep]
-        bounds = np.concatenate(([0], np.cumsum(rep_width)[:-1]))
-        token = flat[np.repeat(start[alive[rep]] + depth - bounds, rep_width) + np.arange(rep_width.sum())]
-        asked = mix(token ^ np.repeat(salt[probe_at[alive[rep]]], rep_width))
-        spot = np.minimum(np.searchsorted(held, asked), len(held) - 1)
-        hits = np.add.reduceat((held[spot] == asked).astype(np.int64), bounds)
-        overlap[alive] += hits[of]
-        depth += STEP
-        # what is left of the set, and of the probe beyond the last shingle of the path
-        last = flat[start[alive] + np.minimum(size[alive], depth) - 1]
-        left = np.maximum(size[alive] - depth, 0)
-        probe_left = np.array([b - a - np.searchsorted(probe_flat[a:b], x, side="right") for a, b, x in zip(
-            probe_first[probe_at[alive]], probe_first[probe_at[alive] + 1], last)], dtype=np.int64)
-        done = left == 0
-        linked[alive[done]] = overlap[alive[done]] >= need[alive[done]]
-        alive = alive[~done & (overlap[alive] + np.minimum(left, probe_left) >= need[alive])]
-    return linked
-
-
-def linked_pairs(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The (node, mate) of ``pairs`` that link; mate is the probe."""
-    needed = pairs.select("node").union(pairs.select(F.col("mate").alias("node"))).distinct()
-    sets = stored(sets_for(documents, needed), "jaccard_sets")
-    total = pairs.join(sets.select("node", (F.length("set") / 8).alias("n")), "node").agg(F.sum("n")).first()[0] or 0
-    groups = max(1, int(total // GROUP_SHINGLES) + 1)
-    count = pairs.groupBy("mate").agg(F.ceil(F.count("*") / PROBE_BLOCK).alias("blocks"))
-    dealt = (pairs.join(count, "mate").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
-             .withColumn("bucket", F.pmod(F.xxhash64("mate", "block"), F.lit(groups))).select("bucket", "mate", "block", "node"))
-    probes = (dealt.select(F.col("bucket").alias("probe_bucket"), F.col("mate").alias("probe")).distinct()
-              .join(sets.select(F.col("node").alias("probe"), F.col("set").alias("probe_set")), "probe")
-              .select("probe_bucket", "probe", "probe_set"))
-    candidates = dealt.join(sets, "node").select("bucket", "mate", "node", "set")
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        mate, node = right["mate"].to_numpy(), right["node"].to_numpy()
-        probe = left["probe"].to_numpy()
-        if not len(mate) or not len(probe):
-            return pa.table({"node": pa.array([], pa.int64()), "mate": pa.array([], pa.int64())})
-        order = np.argsort(probe)
-        sets_of = [[np.frombuffer(x, dtype=np.uint64) for x in column.to_pylist()]
-                   for column in (left["probe_set"], right["set"])]
-        hit = walk(sets_of[0], order[np.searchsorted(probe[order], mate)], sets_of[1])
-        return pa.table({"node": pa.array(node[hit]), "mate": pa.array(mate[hit])})
-
-    return probes.groupBy("probe_bucket").cogroup(candidates.groupBy("bucket")).applyInArrow(compare, "node long, mate long")
+class Trie:
+    """Ordered sets as a trie, ``STEP`` shingles a level; equal paths are one node, met once by a probe."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], dtype=np.int64)
+        self.start = np.concatenate(([0], np.cumsum(self.size)))[:-1]
+        # ids in the order of the hashes
+        names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.flat, self.width = flat.astype(np.int32), len(names)
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        path = np.zeros(len(sets), dtype=np.uint64)
+        here, depth = np.arange(len(sets)), 0
+        while len(here):
+            count = np.minimum(self.size[here] - depth, STEP)
+            bounds = np.concatenate(([0], np.cumsum(count)[:-1]))
+            where = np.repeat(self.start[here] + depth - bounds, count) + np.arange(count.sum())
+            edge = np.add.reduceat(mix(self.flat[where].astype(np.uint64) + np.uint64(1)), bounds)
+            path[here] = mix(path[here] ^ mix(edge ^ count.astype(np.uint64)))
+            _, rep, node = np.unique(path[here], return_index=True, return_inverse=True)
+            of = np.full(len(sets), -1, dtype=np.int64)
+            of[here] = node
+            self.levels.append((here[rep], of, count[rep]))
+            depth += STEP
+            here = here[self.size[here] > depth]
+
+    def linked_with(self, probe: int, among: np.ndarray) -> np.ndarray:
+        """Which of the sets ``among`` link with the set ``probe``."""
+        mine = self.flat[self.start[probe]:self.start[probe] + self.size[probe]]
+        flag = np.zeros(self.width, dtype=bool)
+        flag[mine] = True
+        need = -(-PART * (self.size + self.size[probe]) // (PART + WHOLE))
+        alive = among[np.minimum(self.size[among], self.size[probe]) >= need[among]]
+        overlap = np.zeros(len(self.size), dtype=np.int64)
+        found = []
+        for depth, (rep, of, count) in enumerate(self.levels):
+            if not len(alive):
+                break
+            asked, back = np.unique(of[alive], return_inverse=True)
+            width = count[asked]
+            bounds = np.concatenate(([0], np.cumsum(width)[:-1]))
+            where = np.repeat(self.start[rep[asked]] + depth * STEP - bounds, width) + np.arange(width.sum())
+            hits = np.add.reduceat(flag[self.flat[where]].astype(np.int64), bounds)
+            overlap[alive] += hits[back]
+            reached = np.minimum(self.size[alive], (depth + 1) * STEP)
+            left = self.size[alive] - reached
+            # what the probe has beyond the last shingle of the path
+            beyond = len(mine) - np.searchsorted(mine, self.flat[self.start[alive] + reached - 1], side="right")
+            done = left == 0
+            found.append(alive[done & (overlap[alive] >= need[alive])])
+            alive = alive[~done & (overlap[alive] + np.minimum(left, beyond) >= need[alive])]
+        return np.concatenate(found) if found else alive
+
+
+def family_links(sets: list[np.ndarray], lead: int, asking: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a family of sets: of all with ``lead``, then of each ``asking`` set that is in another component than
+    some sets, with those. Enough links to connect what is connected by sets that ask."""
+    trie = Trie(sets)
+    part = np.arange(len(sets))
+    out = []
+
+    def join(one: int, others: np.ndarray) -> None:
+        for other in others:
+            if part[other] != part[one]:
+                out.append((one, int(other)))
+                part[part == part[other]] = part[one]
+
+    order = [lead, *[int(i) for i in asking if i != lead]]
+    everyone = np.arange(len(sets))
+    for one in order:
+        rest = everyone[part != part[one]]
+        if len(rest):
+            join(one, trie.linked_with(one, rest))
+    return out
+
+
+_LINKS = "a long, b long"
+
+
+def _no_links() -> pa.Table:
+    return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Links within the families of a bucket; each family (pivot, block) has its own trie."""
+    if not table.num_rows:
+        return _no_links()
+    pivot, block, node, asks = (table[c].to_numpy(zero_copy_only=False) for c in ("pivot", "block", "node", "asks"))
+    data = table["set"]
+    order = np.lexsort((node, block, pivot))
+    pivot, block, node, asks = pivot[order], block[order], node[order], asks[order]
+    cuts = [0, *(np.flatnonzero((pivot[1:] != pivot[:-1]) | (block[1:] != block[:-1])) + 1).tolist(), len(order)]
+    out = []
+    for low, high in zip(cuts, cuts[1:]):
+        if high - low > 1:
+            sets = [np.frombuffer(data[int(i)].as_py(), dtype=np.uint64) for i in order[low:high]]
+            lead = np.flatnonzero(node[low:high] == pivot[low])
+            asking = np.flatnonzero(asks[low:high])
+            first = int(lead[0]) if len(lead) else int(asking[0]) if len(asking) else 0
+            out += [(int(node[low + i]), int(node[low + j])) for i, j in family_links(sets, first, asking)]
+    if not out:
+        return _no_links()
+    found = np.array(out, dtype=np.int64)
+    return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
+
+
+def compared(rows: DataFrame, sets: DataFrame, shingles: int) -> DataFrame:
+    """Links within each (pivot, block) of ``rows`` (pivot, block, node, asks), dealt into buckets of bounded size."""
+    buckets = int(shingles // GROUP_SHINGLES) + 1
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("pivot", "block"), F.lit(buckets)))
+    return (dealt.join(sets, "node").select("bucket", "pivot", "block", "node", "asks", "set")
+            .groupBy("bucket").applyInArrow(_compare, _LINKS))
+
+
+def families(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """pivot, node and n_shingles: every node with the pivots of its shards; a pivot is in its own family.
+
+    A shard's pivot is its node that meets others in the most shards: in a group of near copies the one they were made
+    from, to which most of the others link.
+    """
+    busy = members.groupBy("node").agg(F.count("*").alias("shards"))
+    pivots = members.join(busy, "node").groupBy("key").agg(F.max_by("node", F.struct("shards", "node")).alias("pivot"))
+    pairs = members.select("key", "node").join(pivots, "key").select("pivot", "node").distinct()
+    return pairs.join(nodes.select("node", "n_shingles"), "node").select("pivot", "node", "n_shingles")
 
 
 def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -256,31 +314,31 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     members = stored(
         rows.withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
         .filter(F.col("mate").isNotNull() | F.col("paired") | (F.col("low") != F.col("high")))
-        .select("key", "node", F.coalesce("mate", "low").alias("pivot")), "jaccard_members")
-    sizes = nodes.select("node", "n_shingles")
-    fits = F.least("n", "m") * WHOLE >= F.greatest("n", "m") * PART
-
-    def in_size(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(sizes.withColumnRenamed("n_shingles", "n"), "node")
-                .join(sizes.select(F.col("node").alias("mate"), F.col("n_shingles").alias("m")), "mate")
-                .filter(fits).select("node", "mate"))
-
-    first = stored(in_size(members.filter("node <> pivot").select("node", F.col("pivot").alias("mate")).distinct()), "jaccard_pairs")
-    found = stored(linked_pairs(documents, first), "jaccard_links")
-    labels = components(found.select(F.col("node").alias("a"), F.col("mate").alias("b")))
-    # shards whose members are not yet in one component
-    placed = members.select("key", "node").distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    parts = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    open_keys = (parts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-                 .filter("parts > 1").drop("parts"))
-    open_ = stored(placed.join(open_keys, "key"), "jaccard_open")
-    side = open_.filter("label <> main").select("key", "node", "label")
-    other = open_.select("key", F.col("node").alias("mate"), F.col("label").alias("mate_label"))
-    rest = (side.join(other, "key").filter("label <> mate_label")
-            .select(F.least("node", "mate").alias("node"), F.greatest("node", "mate").alias("mate")).distinct())
-    seen = first.select(F.least("node", "mate").alias("node"), F.greatest("node", "mate").alias("mate"))
-    more = linked_pairs(documents, stored(in_size(rest.join(seen, ["node", "mate"], "left_anti")), "jaccard_rest"))
-    return found.unionByName(more).select(F.col("node").alias("a"), F.col("mate").alias("b"))
+        .select("key", "node").distinct(), "jaccard_members")
+    family = stored(families(members, nodes), "jaccard_families")
+    sets = stored(sets_for(documents, family.select("node").distinct()), "jaccard_sets")
+    sizes = family.groupBy("pivot").agg(F.sum("n_shingles").alias("all"))
+    total = sizes.agg(F.sum("all")).first()[0] or 0
+    blocks = sizes.select("pivot", F.ceil(F.col("all") / GROUP_SHINGLES).alias("blocks"))
+    dealt = family.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
+    # every block has the pivot; within a block all are compared that the pivot leaves apart
+    leads = (dealt.filter("node = pivot AND blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("pivot", F.col("block").cast("long").alias("block"), "node"))
+    inside = dealt.select("pivot", "block", "node").union(leads).distinct().withColumn("asks", F.lit(True))
+    found = stored(compared(inside, sets, total), "jaccard_links")
+    # families of several blocks: what is not in the pivot's component meets the other blocks too
+    labels = components(found)
+    several = dealt.filter("blocks > 1").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    main = several.filter("node = pivot").select("pivot", F.col("label").alias("main"))
+    several = several.join(main, "pivot")
+    asking = several.filter("label <> main").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = lambda x, y: F.xxhash64(F.least(x, y), F.greatest(x, y))
+    side = asking.filter("other <> block").select("pivot", pair(F.col("block"), F.col("other").cast("long")).alias("block"), "node", F.lit(True).alias("asks"))
+    open_blocks = asking.groupBy("pivot", F.col("block").alias("from")).agg(F.count("*"))
+    met = (several.join(open_blocks.select("pivot", "from"), "pivot").filter("from <> block")
+           .select("pivot", pair(F.col("block"), F.col("from")).alias("block"), "node", F.lit(False).alias("asks")))
+    across = side.union(met).groupBy("pivot", "block", "node").agg(F.max("asks").alias("asks"))
+    return found.union(compared(across, sets, total))
 
 
 def near_duplicates(documents: DataFrame, sets: DataFrame | None = None) -> DataFrame:
@@ -288,7 +346,7 @@ def near_duplicates(documents: DataFrame, sets: DataFrame | None = None) -> Data
     sets = stored(document_sets(documents), "jaccard_documents") if sets is None else sets
     nodes = sets.filter("n_shingles > 0").groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("first_id"))
     nodes = stored(nodes, "jaccard_nodes")
-    labels = components(links(documents, nodes))
+    labels = components(stored(links(documents, nodes), "jaccard_all_links"))
     placed = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = placed.groupBy("label").agg(F.min("first_id").alias("component_id"))
     known = placed.join(least, "label").select("node", "component_id")
