@@ -170,3 +170,24 @@ def test_absent_tables_read_as_empty(spark, tmp_path):
     assert read_optional(spark, str(tmp_path / "none"), SCHEMA).count() == 0
     (tmp_path / "empty").mkdir()
     assert read_optional(spark, str(tmp_path / "empty"), SCHEMA).count() == 0
+
+
+def test_history_keeps_a_change_dated_before_the_delete(spark):
+    from datetime import datetime
+
+    from tidemark.operators.scd2 import merge_versions
+
+    schema = "k int, v string, updated_at timestamp"
+    at = lambda day: datetime(2024, 1, day)
+    history = spark.createDataFrame([], schema + ", scd_id string, valid_from timestamp, valid_to timestamp, is_deleted boolean")
+    closed = []
+    for day, rows in ((5, [(1, "a", at(1)), (2, "n", None)]), (15, [(2, "n", None)]), (16, [(1, "b", at(10)), (2, "n", None)]),
+                      (17, [(1, "c", at(12)), (2, "m", None)])):
+        merged = merge_versions(history, spark.createDataFrame(rows, schema), F.lit(at(day)), "k").collect()
+        closed += [r for r in merged if r["valid_to"] is not None]
+        history = spark.createDataFrame([r for r in merged if r["valid_to"] is None], history.schema)
+    rows = closed + history.collect()
+    assert {(r["k"], r["v"]) for r in history.collect()} == {(1, "c"), (2, "m")}
+    for k in (1, 2):
+        mine = sorted((r for r in rows if r["k"] == k), key=lambda r: r["valid_from"])
+        assert all(a["valid_to"] is not None and a["valid_to"] <= b["valid_from"] for a, b in zip(mine, mine[1:]))

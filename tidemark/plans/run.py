@@ -17,8 +17,8 @@ from tidemark.operators.audit import RunWindow, run_event, runs_from_log
 from tidemark.operators.checks import run_checks
 from tidemark.plans import profiles
 from tidemark.plans.build import build_all, data_tests
-from tidemark.plans.load import load_bronze
-from tidemark.schemas import ENTITIES, MAX_BACKFILL_DAYS, RUN_LOG_SCHEMA
+from tidemark.plans.load import load_runs
+from tidemark.schemas import ENTITIES, LOAD_AUDIT_SCHEMA, MAX_BACKFILL_DAYS, RUN_LOG_SCHEMA
 from tidemark.session import use_utc
 from tidemark.sources.lake import Lake
 from tidemark.streaming.bronze import BronzePaths, read_bronze, read_quarantine, run_bronze_stream, stream_report
@@ -55,6 +55,13 @@ class RunLog:
     def runs(self) -> DataFrame:
         return runs_from_log(self.read())
 
+    def unloaded(self) -> list[str]:
+        """Runs that have begun and whose load has not succeeded."""
+        loads = self.lake.read_optional("audit", "warehouse_load_runs", LOAD_AUDIT_SCHEMA).filter("status = 'succeeded'")
+        begun = self.read().filter("event = 'start'").select(F.concat(F.lit("load-"), "run_id").alias("load"), "run_id").distinct()
+        missing = begun.join(loads.select(F.col("run_id").alias("load")), "load", "left_anti")
+        return [row["run_id"] for row in missing.select("run_id").collect()]
+
     def _append(self, row: DataFrame) -> None:
         self.lake.append(row, "audit", "run_log")
 
@@ -122,7 +129,8 @@ def run(spark: SparkSession, config: RunConfig) -> str:
         gate(step, [] if profile.first()["valid"] else ["the bronze profile is not valid"])
 
         step = "load_raw"
-        loaded = load_bronze(lake, bronze, f"load-{run_id}")
+        # with this run, those that wrote to bronze and died before their load
+        loaded = load_runs(lake, bronze, log.unloaded(), f"load-{run_id}")
         gate(step, [] if loaded.report.first()["valid"] else ["the load verification failed"])
 
         step = "build"
