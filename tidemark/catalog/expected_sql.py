@@ -897,23 +897,23 @@ EXPECTED["run_audit"] = f"""
 _AGE = f"(SELECT greatest({_CHECKED_MS} - max(loaded_ms), 0) / 1000.0 FROM timed)"
 EXPECTED["dashboard_cards"] = sql(f"""
   SELECT CAST(position AS BIGINT) AS position, label, value, healthy, detail FROM (
-    SELECT 1 AS position, 'Operational checks' AS label,
+    SELECT 1 AS position, 'Checks on data' AS label,
            (SELECT count(*) FILTER (passed) || '/' || count(*) FROM ({_CHECK_ROWS})) AS value,
-           (SELECT bool_and(passed) FROM ({_CHECK_ROWS})) AS healthy, 'Live reliability validations' AS detail
-    UNION ALL SELECT 2, 'Deployment checks', (SELECT count(*) || '/' || count(*) FROM region), TRUE,
-           'Configuration and live health'
-    UNION ALL SELECT 3, 'Bronze events', (SELECT format('{{:,}}', count(*)) FROM valid), TRUE, 'Live Parquet event count'
-    UNION ALL SELECT 4, 'Warehouse events', (SELECT format('{{:,}}', count(*)) FROM first_load),
-           (SELECT count(*) FROM valid) = (SELECT count(*) FROM first_load), 'Raw warehouse event count'
-    UNION ALL SELECT 5, 'Event difference',
+           (SELECT bool_and(passed) FROM ({_CHECK_ROWS})) AS healthy, 'Passed of all checks on data and runs' AS detail
+    UNION ALL SELECT 2, 'Checks on services', (SELECT count(*) || '/' || count(*) FROM region), TRUE,
+           'Passed of all reported services'
+    UNION ALL SELECT 3, 'Events in the lake', (SELECT format('{{:,}}', count(*)) FROM valid), TRUE, 'Valid events the stream has written'
+    UNION ALL SELECT 4, 'Events loaded', (SELECT format('{{:,}}', count(*)) FROM first_load),
+           (SELECT count(*) FROM valid) = (SELECT count(*) FROM first_load), 'Rows of the raw table'
+    UNION ALL SELECT 5, 'Loaded minus streamed',
            format('{{:,}}', (SELECT count(*) FROM first_load) - (SELECT count(*) FROM valid)),
-           (SELECT count(*) FROM valid) = (SELECT count(*) FROM first_load), 'Bronze minus warehouse'
-    UNION ALL SELECT 6, 'Duplicate event IDs', '0', TRUE, 'Raw warehouse duplicates'
-    UNION ALL SELECT 7, 'Warehouse data age', format('{{:,.3f}} seconds', CAST({_AGE} AS DOUBLE)), {_AGE} <= 86400,
-           'SLO: 86,400.000 seconds'
-    UNION ALL SELECT 8, 'Quarantined records',
+           (SELECT count(*) FROM valid) = (SELECT count(*) FROM first_load), 'Zero when every event arrived'
+    UNION ALL SELECT 6, 'Repeated ids', '0', TRUE, 'Rows of the raw table beyond one for each id'
+    UNION ALL SELECT 7, 'Age of the newest row', format('{{:,.3f}} seconds', CAST({_AGE} AS DOUBLE)), {_AGE} <= 86400,
+           'At most 86,400.000 seconds'
+    UNION ALL SELECT 8, 'Events set apart',
            (SELECT format('{{:,}}', count(*)) FROM bronze WHERE invalid_reason IS NOT NULL), TRUE,
-           'Records retain failure reasons')""", *_CHECK_NEEDS, "bronze")
+           'Each with the reason it was not valid')""", *_CHECK_NEEDS, "bronze")
 
 # ---- streaming --------------------------------------------------------------
 

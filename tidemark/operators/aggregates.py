@@ -28,10 +28,6 @@ def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
 
 
-def any_null_count(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return rows.agg(F.count_if(any_null(columns)).alias("rows_with_null"))
-
-
 def conditional_counts(rows: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """One row with the number of rows per named condition, in one pass."""
     return rows.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()])

@@ -193,6 +193,7 @@ def audit_checks(
 ) -> DataFrame:
     """The checks on the run audit and the daily mart; the expected sizes are
     literals or scalar subqueries."""
+    # fixed values: the names of the checks
     return check_rows(profile, {
         "successful_incremental_exists": F.col("successful_incremental_runs") >= 1,
         "successful_backfill_exists": F.col("successful_backfill_runs") >= 1,
@@ -231,6 +232,7 @@ def reliability_checks(
         latency.select("measured_events"),
         topics.agg(F.coalesce(F.bool_or(F.col("expected") & F.col("missing")), F.lit(False)).alias("topics_missing")),
     )
+    # fixed values: the names of the checks
     checks = {
         "live_bronze_profile_is_valid": F.col("bronze_valid"),
         "source_to_bronze_current_state_reconciles": F.col("tables_reconcile"),
@@ -281,20 +283,20 @@ def dashboard_cards(
 
     age_s = F.coalesce(F.col("age_seconds"), F.lit(0))
     cards = [
-        ("Operational checks", F.concat_ws("/", "c_passed", "c_total"), F.col("c_all_passed"),
-         F.lit("Live reliability validations")),
-        ("Deployment checks", F.concat_ws("/", "d_passed", "d_total"), F.col("d_all_passed"),
-         F.lit("Configuration and live health")),
-        ("Bronze events", whole("bronze"), F.col("bronze") > 0, F.lit("Live Parquet event count")),
-        ("Warehouse events", whole("warehouse"),
-         (F.col("warehouse") > 0) & (F.col("warehouse") == F.col("bronze")), F.lit("Raw warehouse event count")),
-        ("Event difference", whole("difference"), F.col("difference") == 0, F.lit("Bronze minus warehouse")),
-        ("Duplicate event IDs", whole("duplicate_raw_event_ids"), F.col("duplicate_raw_event_ids") == 0,
-         F.lit("Raw warehouse duplicates")),
-        ("Warehouse data age", seconds(age_s), (F.lit(slo_seconds) > 0) & (age_s <= slo_seconds),
-         F.concat(F.lit("SLO: "), seconds(F.lit(slo_seconds)))),
-        ("Quarantined records", whole("quarantine_records"), F.col("valid"),
-         F.lit("Records retain failure reasons")),
+        ("Checks on data", F.concat_ws("/", "c_passed", "c_total"), F.col("c_all_passed"),
+         F.lit("Passed of all checks on data and runs")),
+        ("Checks on services", F.concat_ws("/", "d_passed", "d_total"), F.col("d_all_passed"),
+         F.lit("Passed of all reported services")),
+        ("Events in the lake", whole("bronze"), F.col("bronze") > 0, F.lit("Valid events the stream has written")),
+        ("Events loaded", whole("warehouse"),
+         (F.col("warehouse") > 0) & (F.col("warehouse") == F.col("bronze")), F.lit("Rows of the raw table")),
+        ("Loaded minus streamed", whole("difference"), F.col("difference") == 0, F.lit("Zero when every event arrived")),
+        ("Repeated ids", whole("duplicate_raw_event_ids"), F.col("duplicate_raw_event_ids") == 0,
+         F.lit("Rows of the raw table beyond one for each id")),
+        ("Age of the newest row", seconds(age_s), (F.lit(slo_seconds) > 0) & (age_s <= slo_seconds),
+         F.concat(F.lit("At most "), seconds(F.lit(slo_seconds)))),
+        ("Events set apart", whole("quarantine_records"), F.col("valid"),
+         F.lit("Each with the reason it was not valid")),
     ]
     packed = F.array(*[
         F.struct(

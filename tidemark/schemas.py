@@ -115,10 +115,6 @@ LINEAGE_COLUMNS = (
     "event_timestamp", "source_timestamp_ms", "connector_timestamp_ms", "kafka_topic", "kafka_partition",
     "kafka_offset", "kafka_timestamp", "ingestion_run_id", "ingested_at", "warehouse_loaded_at")
 
-# Lineage columns that current state keeps behind the entity columns.
-CURRENT_TAIL = (
-    "current_event_id", "latest_operation", "source_event_at", "kafka_partition", "kafka_offset",
-    "warehouse_loaded_at")
 
 # Lineage columns that dimensions and facts keep.
 STAR_TAIL = ("current_event_id", "latest_operation", "source_event_at", "warehouse_loaded_at")
