@@ -108,12 +108,13 @@ def mixed(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     """``documents`` with size, source_size, target (its source's), copies and taken words."""
     liking = short_texts_less(F.col("size")) if preference is None else preference
     names = [c for c in documents.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    rows = (documents.select(*names).withColumn("size", word_count(F.col("text"))).withColumn("u", uniform(seed))
+    # the documents' own columns travel packed, so that none can clash with the working columns
+    packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "doc_id", "source", "text")
+    rows = (packed.withColumn("size", word_count(F.col("text"))).withColumn("u", uniform(seed))
             .withColumn("preference", F.greatest(F.round(F.coalesce(liking.cast("double"), F.lit(1.0)), 2), F.lit(0.01))))
     small = stored(rows.select("doc_id", "source", "size", "u", "preference"), "mix_sizes")
     cells = stored(plan(small, weights, share, most), "mix_plan")
-    if not keep_text:
-        rows, names = small, ["doc_id", "source"]
+    rows = rows.drop("text") if keep_text else small.withColumn("row", F.struct("doc_id", "source"))
 
     ordered = Window.partitionBy("source").orderBy("bin")
     bins = (ranked(small, cells).filter(F.col("bin").isNotNull()).groupBy("source", "bin")
@@ -133,7 +134,7 @@ def mixed(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
         "extra", F.when(F.col("reached") - F.col("size") / 2 <= F.col("left"), 1).otherwise(0)).drop("reached")
     return (sure.unionByName(close).withColumn("copies", (F.col("certain") + F.col("extra")).cast("long"))
             .withColumn("taken", F.col("copies") * F.col("size"))
-            .select(*names, "size", "source_size", "target", "copies", "taken"))
+            .select("row.*", "size", "source_size", "target", "copies", "taken"))
 
 
 def op3_mix(documents: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ the answers with the chunk's texts. All tokens of all training texts are counted
 care: a chunk asks for each hash once. The number of buckets follows the size of all texts, so a bucket stays small.
 
 A chunk is a run of rows of one input split, so ``documents`` has to be a table read from files (projections and filters
-are fine): both passes must see the same splits. Chunks check this and fail otherwise.
+are fine): all passes must see the same splits. The number of cores that splits are planned for is therefore fixed in the
+session (``spark.sql.files.minPartitionNum``, if unset), so that lost executors do not change it, and every chunk compares
+number and sum of its hashes with what it has asked, and fails where they differ.
 
 EM needs only the ratios of the three estimates; they are counted in cells of a twentieth of a decade, at most a few
 thousand for each bucket, and only these cells come to the driver.
@@ -116,11 +118,12 @@ def answered(questions: DataFrame) -> DataFrame:
         more = np.split((total[place] - np.concatenate(counts)).astype(np.uint32), np.cumsum([len(h) for h in hashes])[:-1])
         first = np.arange(len(hashes)) == 0
         return pa.table({
-            "chunk": table["chunk"], "kind": table["kind"], "bucket": table["bucket"], "more": pa.array([m.tobytes() for m in more], pa.binary()),
+            "chunk": table["chunk"], "kind": table["kind"], "bucket": table["bucket"],
+            "check": pa.array([int(h.sum(dtype=np.uint64).view(np.int64)) for h in hashes], pa.int64()), "more": pa.array([m.tobytes() for m in more], pa.binary()),
             "types": pa.array(np.where(first, (total > 0).sum(), 0)), "tokens": pa.array(np.where(first, total.sum(), 0))})
 
     return questions.groupBy("kind", "bucket").applyInArrow(
-        add_up, "chunk long, kind int, bucket int, more binary, types long, tokens long")
+        add_up, "chunk long, kind int, bucket int, check long, more binary, types long, tokens long")
 
 
 class Counts:
@@ -131,14 +134,14 @@ class Counts:
         self.bigram = bigrams(self.token)
         used = train[self.row].astype(np.float64)
         kind, bucket = answers["kind"].to_numpy(), answers["bucket"].to_numpy()
-        more = answers["more"].to_pylist()
-        self.own = []
+        more, check = answers["more"].to_pylist(), answers["check"].to_numpy()
         totals = []
         for k, key in enumerate((self.token, self.bigram)):
-            _, count, place = counted(key, used)
+            distinct, count, place = counted(key, used)
             order = [i for i in np.lexsort((bucket, kind)) if kind[i] == k]
             extra = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(more[i], np.uint32) for i in order)])
-            if len(extra) != len(count):
+            asked_sum = np.array([check[i] for i in order], dtype=np.int64).view(np.uint64).sum(dtype=np.uint64)
+            if len(extra) != len(count) or asked_sum != distinct.sum(dtype=np.uint64):
                 raise RuntimeError("documents were not read in the same chunks twice")
             totals.append((count + extra)[place])
         self.word, self.pair = totals
@@ -171,7 +174,7 @@ def ratios(word, pair, context, total, types: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _by_chunk(rows: DataFrame, answers: DataFrame, work, schema: str) -> DataFrame:
-    return rows.groupBy("chunk").cogroup(answers.select("chunk", "kind", "bucket", "more").groupBy("chunk")).applyInArrow(work, schema)
+    return rows.groupBy("chunk").cogroup(answers.select("chunk", "kind", "bucket", "check", "more").groupBy("chunk")).applyInArrow(work, schema)
 
 
 def weights_from(cells: list, buckets: int = BUCKETS) -> np.ndarray:
@@ -221,6 +224,9 @@ def learned(rows: DataFrame, answers: DataFrame, total: int, types: int) -> np.n
 
 def lm_scores(documents: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
+    spark, setting = documents.sparkSession, "spark.sql.files.minPartitionNum"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
     rows = documents.select("doc_id", "text", held_out.alias("held_out"), (~held_out).alias("train"),
                             F.shiftright(F.monotonically_increasing_id(), CHUNK_ROWS_LOG2).alias("chunk"))
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
