@@ -65,7 +65,7 @@ CTES["shop_orders"] = """
          o_orderdate AS updated_at
   FROM orders"""
 CTES["order_items"] = """
-  SELECT l_orderkey * 100000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+  SELECT l_orderkey * 99991 + row_number() OVER (PARTITION BY l_orderkey ORDER BY md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
            CAST(l_quantity AS INTEGER), CAST(l_extendedprice AS DECIMAL(14,2)), CAST(l_discount AS DECIMAL(4,2)),
            CAST(l_tax AS DECIMAL(4,2)), l_returnflag, l_linestatus, CAST(l_shipdate AS DATE)))) AS order_item_id,
          l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
@@ -245,14 +245,17 @@ CTES["fact"] = _asof(_first("orders"), "first_dim")
 NEEDS["fact"] = ["orders_log", "first_dim"]
 CTES["fact_changed"] = _asof("orders_now", "first_dim")
 NEEDS["fact_changed"] = ["orders_now", "first_dim"]
-CTES["ship"] = """
+CTES["fact_last"] = _asof("orders_now", "first_dim")
+NEEDS["fact_last"] = ["orders_now", "first_dim"]
+for _ship, _shipments in (("ship", "shipments"), ("ship_now", "shipments_now")):
+    CTES[_ship] = f"""
   SELECT *, (epoch_us(shipped_at) - epoch_us(created_at)) // 36000000 AS ship_h,
          (epoch_us(delivered_at) - epoch_us(created_at)) // 36000000 AS deliver_h
-  FROM shipments"""
-NEEDS["ship"] = ["shipments"]
+  FROM {_shipments}"""
+    NEEDS[_ship] = [_shipments]
 
 
-def _daily(orders: str, name: str) -> None:
+def _daily(orders: str, name: str, payments: str = "payments", ship: str = "ship") -> None:
     """The daily mart of a fact; hours are whole, so their hundredths are exact."""
     CTES[name] = f"""
   SELECT CAST(o.order_date AS VARCHAR) AS order_date, order_count, non_cancelled_order_count, cancelled_order_count,
@@ -279,7 +282,7 @@ def _daily(orders: str, name: str) -> None:
                     CAST(sum(amount) AS DOUBLE) AS total_payment_value,
                     CAST(sum(amount) FILTER (payment_status = 'captured') AS DOUBLE) AS captured_payment_value,
                     CAST(sum(amount) FILTER (payment_status = 'refunded') AS DOUBLE) AS refunded_payment_value
-             FROM payments p JOIN {orders} f ON f.order_id = p.order_id GROUP BY order_date) p
+             FROM {payments} p JOIN {orders} f ON f.order_id = p.order_id GROUP BY order_date) p
     ON p.order_date = o.order_date
   LEFT JOIN (SELECT order_date, count(*) AS shipment_count,
                     count(*) FILTER (shipment_status = 'packed') AS packed_shipment_count,
@@ -287,13 +290,14 @@ def _daily(orders: str, name: str) -> None:
                     count(*) FILTER (shipment_status = 'delivered') AS delivered_shipment_count,
                     {_mean('sum(ship_h)', 'nullif(count(ship_h), 0)')} AS average_hours_to_ship,
                     {_mean('sum(deliver_h)', 'nullif(count(deliver_h), 0)')} AS average_hours_to_deliver
-             FROM ship s JOIN {orders} f ON f.order_id = s.order_id GROUP BY order_date) s
+             FROM {ship} s JOIN {orders} f ON f.order_id = s.order_id GROUP BY order_date) s
     ON s.order_date = o.order_date"""
-    NEEDS[name] = [orders, "payments", "ship"]
+    NEEDS[name] = [orders, payments, ship]
 
 
 _daily("fact", "daily")
 _daily("fact_changed", "daily_changed")
+_daily("fact_last", "daily_now", "payments_now", "ship_now")
 
 
 def _segment(value: str, bands) -> str:
@@ -323,18 +327,24 @@ CTES["customer_value"] = _customer_value("first_dim", "fact")
 NEEDS["customer_value"] = ["first_dim", "fact"]
 CTES["fact_now"] = _asof("orders_now", "dim")
 NEEDS["fact_now"] = ["orders_now", "dim"]
-CTES["product_value"] = f"""
+
+
+def _product_value(products: str, items: str) -> str:
+    return f"""
   SELECT md5(CAST(p.product_id AS VARCHAR)) AS product_key, p.product_id, sku, product_name, category,
          {_double('p.unit_price', 'current_unit_price')}, active AS is_active,
          coalesce(order_count, 0) AS order_count, coalesce(order_line_count, 0) AS order_line_count,
          coalesce(units_sold, 0) AS units_sold, coalesce(revenue, 0) AS gross_product_revenue,
          coalesce(price, 0) AS average_selling_price,
          {_segment('coalesce(revenue, 0)', PRODUCT_SEGMENTS)} AS product_performance_segment
-  FROM products p LEFT JOIN (
+  FROM {products} p LEFT JOIN (
     SELECT product_id, count(DISTINCT order_id) AS order_count, count(*) AS order_line_count,
            CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(line_total) AS DOUBLE) AS revenue,
            {_mean('sum(' + _cents('unit_price') + ')', 'count(*)')} AS price
-    FROM order_items GROUP BY product_id) m ON m.product_id = p.product_id"""
+    FROM {items} GROUP BY product_id) m ON m.product_id = p.product_id"""
+
+
+CTES["product_value"] = _product_value("products", "order_items")
 NEEDS["product_value"] = ["products", "order_items"]
 
 # ---- run audit --------------------------------------------------------------
@@ -528,6 +538,9 @@ EXPECTED["mart_daily_backfill"] = sql(f"""
   WHERE order_date NOT IN (SELECT order_date FROM daily_changed WHERE {_WINDOW})""", "daily", "daily_changed")
 EXPECTED["mart_customer_value"] = sql("SELECT * FROM customer_value", "customer_value")
 EXPECTED["mart_customer_value_from_changes"] = sql(_customer_value("dim", "fact_now"), "dim", "fact_now")
+EXPECTED["mart_daily_from_changes"] = sql("SELECT * FROM daily_now", "daily_now")
+EXPECTED["mart_product_performance_from_changes"] = sql(
+    _product_value("products_now", "order_items_now"), "products_now", "order_items_now")
 EXPECTED["mart_product_performance"] = sql("SELECT * FROM product_value", "product_value")
 
 # ---- data tests -------------------------------------------------------------

@@ -13,7 +13,8 @@ from pyspark.sql.window import Window
 from tidemark.functions.keys import event_id
 from tidemark.schemas import ENTITIES, Entity
 
-LINES_PER_ORDER = 100_000
+# a prime, so that keys spread over every divisor
+LINES_PER_ORDER = 99_991
 TOPIC_PREFIX = "shop.public"
 LOG_EPOCH_MS = 1_704_067_200_000
 DAY_MS = 86_400_000
