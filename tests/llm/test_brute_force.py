@@ -133,7 +133,7 @@ def test_decontamination_finds_every_window(spark):
 # ---- 3 mix ------------------------------------------------------------------
 
 def test_mix_keeps_to_its_targets(spark):
-    rows = [r for r in document_rows() if r[0] != 12] + [(50 + i, "word " * (5 + i % 90), "en", "abc"[i % 3], 0, "", "", "") for i in range(300)]
+    rows = [r for r in document_rows() if r[0] != 12] + [(40, "", "en", "only empty texts", 0, "", "", "")] + [(50 + i, "word " * (5 + i % 90), "en", "abc"[i % 3], 0, "", "", "") for i in range(300)]
     got = [r.asDict() for r in mix.mixed(documents(spark, rows)).collect()]
     again = [r.asDict() for r in mix.mixed(documents(spark, rows).repartition(5)).collect()]
     key = lambda r: (str(r["doc_id"]), r["copies"], r["taken"], r["target"])

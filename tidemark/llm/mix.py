@@ -55,9 +55,10 @@ def filled(frame: DataFrame, keys: list[str], total: Column, weight: Column, cap
     (total - their caps) / (weights of the others) for each unit of weight; the first j at which the next row stays
     below its cap is the solution, and its rate is the largest of all such j.
     """
-    ranked = Window.partitionBy(*keys).orderBy((cap / weight).asc(), *order)
+    # rows without words have neither weight nor cap and come first
+    ranked = Window.partitionBy(*keys).orderBy(F.try_divide(cap, weight).asc_nulls_first(), *order)
     before, after = (ranked.rowsBetween(Window.unboundedPreceding, -1), ranked.rowsBetween(0, Window.unboundedFollowing))
-    rate = (total - F.coalesce(F.sum(cap).over(before), F.lit(0.0))) / F.sum(weight).over(after)
+    rate = F.try_divide(total - F.coalesce(F.sum(cap).over(before), F.lit(0.0)), F.sum(weight).over(after))
     return F.when(rate * weight <= cap, rate)
 
 
@@ -97,7 +98,7 @@ def ranked(rows: DataFrame, cells: DataFrame) -> DataFrame:
     """Rows with their plan and their rank v between 0 and 1 (null where no copy is left to chance)."""
     other = cells.withColumnsRenamed({"source": "of", "preference": "by"})
     joined = rows.join(other, rows["source"].eqNullSafe(other["of"]) & (rows["preference"] == other["by"])).drop("of", "by")
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
+    odds = F.try_divide(F.col("u") / (1 - F.col("u")), F.try_divide(F.col("p"), 1 - F.col("p")))
     joined = joined.withColumn("odds", F.when((F.col("p") > 0) & (F.col("size") > 0), odds))
     return (joined.withColumn("v", F.col("odds") / (1 + F.col("odds")))
             .withColumn("bin", F.floor(F.col("v") * BINS)).drop("odds"))
