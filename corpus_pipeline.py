@@ -21,8 +21,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
-    return jaccard.one_of_each(docs)
+    """One document of each group of near duplicates (shingles of 5 words, 0.8) stays, the one with the smallest doc_id."""
+    return jaccard.one_of_each(docs, jaccard.USUAL)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

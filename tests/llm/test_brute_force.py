@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import decontaminate, jaccard, mix, neighbours, ngram_lm, pii, quality, toxicity, urls
 from tidemark.llm.dom import Page, decode
 from tidemark.llm.html import op4_html
@@ -345,6 +346,35 @@ def test_every_linked_pair_shares_a_band():
 
 # ---- 10 toxicity ------------------------------------------------------------
 
+def test_shards_of_the_usual_likeness_hold_every_linked_pair():
+    import pyarrow as pa
+
+    draw, linked = np.random.default_rng(5), 0
+    for size in (1, 2, 3, 5, 6, 7, 12, 20, 33, 70, 150, 400):
+        for _ in range(20):
+            one = [f"a{int(x)}" for x in draw.integers(0, 10**6, size=size + 4)]
+            two = one + [f"b{i}" for i in range(int(draw.integers(0, size // 4 + 1)))]
+            cut = list(each_piece(pa.array([" ".join(one), " ".join(two)]), SPACED))[0][2]
+            value, first = jaccard.shingle_sets(cut, jaccard.USUAL)
+            a, b = set(value[:first[1]]), set(value[first[1]:])
+            if 100 * len(a & b) >= 80 * len(a | b):
+                key, text = jaccard.bands_of(value, first, jaccard.USUAL)
+                assert set(key[text == 0]) & set(key[text == 1])
+                linked += len(a) != len(b)
+    assert linked > 50
+
+
+def test_near_copies_of_five_words_and_four_fifths(spark):
+    base = [f"w{i}" for i in range(304)]
+    rows = [(1, " ".join(base)), (2, " ".join(base + [f"x{i}" for i in range(60)])), (3, " ".join(base + [f"y{i}" for i in range(90)]))]
+    docs = documents(spark, [(i, t, "en", "a", 1, "", "", "") for i, t in rows])
+    # 300 of 360 shingles of five words, and of 390
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs, jaccard.USUAL).collect()} == {1: 1, 2: 1, 3: 3}
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.op9_jaccard(docs).collect()} == {1: 1, 2: 2, 3: 3}
+    kept = corpus_pipeline.jaccard_join(spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3]
+
+
 def test_marginals_are_those_of_all_paths():
     draw = np.random.default_rng(10)
     score, trans = draw.normal(size=7), draw.normal(size=(2, 2))

@@ -1,7 +1,8 @@
 """N-gram Jaccard join: near duplicates as components of links, by tries over globally ordered shingle sets.
 
-A document's set is its distinct shingles of ``SHINGLE`` words as 64-bit hashes, ordered by hash, the same global order
-for all sets. Two sets link when 100 * intersection >= 85 * union.
+A document's set is its distinct shingles of n words as 64-bit hashes, ordered by hash, the same global order for all
+sets. Two sets link when 100 * intersection >= p * union. ``Likeness`` holds n and p: 4 and 85 by the contract of the query
+(``CONTRACT``), 5 and 80 where no contract says otherwise (``USUAL``).
 
 Sharding. A set is a path of a trie in this order. The order is cut at fixed hashes into m bands; two sets that link differ
 in at most D shingles, D from the larger size, so with m > D bands at least one band holds the same run in both: they walk
@@ -28,6 +29,9 @@ null doc_id takes part and has the smallest id of its component, null if there i
 
 from __future__ import annotations
 
+from itertools import count as counting
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,8 +42,7 @@ from tidemark.llm.common import map_batches, stored
 from tidemark.llm.components import components
 from tidemark.llm.words import SPACED, Words, each_piece, grams, mix, signed
 
-SHINGLE = 4
-PART, WHOLE = 85, 100
+WHOLE = 100
 STEP = 64
 SLOTS = 1 << 22
 GROUP_SHINGLES = 2_000_000
@@ -54,17 +57,29 @@ def size_classes(top: int = 1 << 31) -> np.ndarray:
 
 
 CLASS_FROM = size_classes()
-# most shingles in which linked sets of a class can differ: s - 2 * i for 100 i >= 85 (s - i), s twice the largest size
-CLASS_DIFFER = 2 * (CLASS_FROM[1:] - 1) * (WHOLE - PART) // (WHOLE + PART)
-CLASS_BANDS = CLASS_DIFFER + 2 + CLASS_DIFFER // 10
 
 
-def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
+class Likeness(NamedTuple):
+    """When two sets link: words of a shingle, and the least intersection in hundredths of the union."""
+
+    shingle: int
+    part: int
+
+    def differ(self) -> np.ndarray:
+        """For each class the most shingles in which linked sets can differ: s - 2 i for 100 i >= part (s - i), s twice
+        the largest size."""
+        return 2 * (CLASS_FROM[1:] - 1) * (WHOLE - self.part) // (WHOLE + self.part)
+
+
+CONTRACT, USUAL = Likeness(4, 85), Likeness(5, 80)
+
+
+def shingle_sets(words: Words, like: Likeness = CONTRACT) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of all texts, ordered by text and hash, and the bounds of each text."""
-    value, at = grams(words, SHINGLE)
+    value, at = grams(words, like.shingle)
     text = words.text[at].astype(np.int64)
     count = np.diff(words.first)
-    for n in range(1, SHINGLE):
+    for n in range(1, like.shingle):
         short = np.flatnonzero(count == n)
         if len(short):
             own, where = grams(words, n)
@@ -86,22 +101,24 @@ def nodes_of(value: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.where(size > 0, mix((total[first[1:]] - total[first[:-1]]) ^ size.astype(np.uint64)), np.uint64(0))
 
 
-def bands_of(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bands_of(value: np.ndarray, first: np.ndarray, like: Likeness = CONTRACT) -> tuple[np.ndarray, np.ndarray]:
     """Shard keys and the text of each."""
+    differ = like.differ()
+    bands = differ + 2 + differ // 10
     size = np.diff(first)
     own = np.searchsorted(CLASS_FROM, size, side="right") - 1
     salted = mix(value + np.uint64(0x9E3779B97F4A7C15))
     keys, owners = [], []
-    for step in (0, 1):
+    for step in counting():
         at = own + step
-        takes = size > 0 if step == 0 else (size > 0) & (size * WHOLE >= CLASS_FROM[np.minimum(at, len(CLASS_FROM) - 2)] * PART)
+        takes = size > 0 if step == 0 else (size > 0) & (size * WHOLE >= CLASS_FROM[np.minimum(at, len(CLASS_FROM) - 2)] * like.part)
         texts = np.flatnonzero(takes)
         if not len(texts):
-            continue
+            break
         count = size[texts]
         where = np.repeat(first[texts] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
         owner, class_ = np.repeat(texts, count), np.repeat(at[texts], count)
-        band = ((value[where] >> np.uint64(32)) * CLASS_BANDS[class_].astype(np.uint64)) >> np.uint64(32)
+        band = ((value[where] >> np.uint64(32)) * bands[class_].astype(np.uint64)) >> np.uint64(32)
         head = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (band[1:] != band[:-1]))))
         run = np.add.reduceat(salted[where], head)
         place = mix(band[head] * np.uint64(64) + class_[head].astype(np.uint64))
@@ -109,9 +126,9 @@ def bands_of(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
         owners.append(owner[head])
         # sets in which every band that is sure to agree may be empty
         full = np.bincount(owner[head], minlength=len(size))[texts]
-        for text in texts[full <= CLASS_DIFFER[at[texts]]]:
+        for text in texts[full <= differ[at[texts]]]:
             held = band[head][owner[head] == text]
-            empty = np.setdiff1d(np.arange(CLASS_BANDS[at[text]], dtype=np.uint64), held)
+            empty = np.setdiff1d(np.arange(bands[at[text]], dtype=np.uint64), held)
             keys.append(mix(mix(empty * np.uint64(64) + np.uint64(at[text]))))
             owners.append(np.full(len(empty), text))
     if not keys:
@@ -119,11 +136,11 @@ def bands_of(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def document_sets(documents: DataFrame) -> DataFrame:
+def document_sets(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
     """doc_id, n_shingles and node of each document."""
     def work(batch: pa.RecordBatch):
         for low, high, words in each_piece(batch.column(1), SPACED):
-            value, first = shingle_sets(words)
+            value, first = shingle_sets(words, like)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(low, high - low), pa.array(np.diff(first)), pa.array(signed(nodes_of(value, first)))],
                 ["doc_id", "n_shingles", "node"])
@@ -132,13 +149,13 @@ def document_sets(documents: DataFrame) -> DataFrame:
     return map_batches(source, work, f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, node long")
 
 
-def shard_rows(documents: DataFrame) -> DataFrame:
+def shard_rows(documents: DataFrame, like: Likeness) -> DataFrame:
     """key, node, mate (the batch's pivot for that key, null for the pivot itself) and, for a pivot, whether it has mates."""
     def work(batch: pa.RecordBatch):
         keys, nodes = [], []
         for _, _, words in each_piece(batch.column(0), SPACED):
-            value, first = shingle_sets(words)
-            key, text = bands_of(value, first)
+            value, first = shingle_sets(words, like)
+            key, text = bands_of(value, first, like)
             keys.append(signed(key))
             nodes.append(signed(nodes_of(value, first))[text])
         key, node = np.concatenate(keys), np.concatenate(nodes)
@@ -157,7 +174,7 @@ def shard_rows(documents: DataFrame) -> DataFrame:
     return map_batches(documents.select("text"), work, "key long, node long, mate long, paired boolean")
 
 
-def sets_for(documents: DataFrame, needed: DataFrame) -> DataFrame:
+def sets_for(documents: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame:
     """node and set (bytes of ordered hashes) of the ``needed`` nodes, each once."""
     slots = needed.select(F.expr(f"int(node & {SLOTS - 1})").alias("slot")).distinct().toArrow()["slot"].to_numpy()
     bits = np.zeros(SLOTS // 8, dtype=np.uint8)
@@ -166,7 +183,7 @@ def sets_for(documents: DataFrame, needed: DataFrame) -> DataFrame:
 
     def work(batch: pa.RecordBatch):
         for _, _, words in each_piece(batch.column(0), SPACED):
-            value, first = shingle_sets(words)
+            value, first = shingle_sets(words, like)
             node = nodes_of(value, first)
             slot = (node & np.uint64(SLOTS - 1)).astype(np.int64)
             kept = np.flatnonzero(((shared.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1) & (np.diff(first) > 0))
@@ -183,7 +200,8 @@ def sets_for(documents: DataFrame, needed: DataFrame) -> DataFrame:
 class Trie:
     """Ordered sets as a trie, ``STEP`` shingles a level; equal paths are one node, met once by a probe."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], part: int):
+        self.part = part
         self.size = np.array([len(s) for s in sets], dtype=np.int64)
         self.start = np.concatenate(([0], np.cumsum(self.size)))[:-1]
         # ids in the order of the hashes
@@ -210,7 +228,7 @@ class Trie:
         mine = self.flat[self.start[probe]:self.start[probe] + self.size[probe]]
         flag = np.zeros(self.width, dtype=bool)
         flag[mine] = True
-        need = -(-PART * (self.size + self.size[probe]) // (PART + WHOLE))
+        need = -(-self.part * (self.size + self.size[probe]) // (self.part + WHOLE))
         alive = among[np.minimum(self.size[among], self.size[probe]) >= need[among]]
         overlap = np.zeros(len(self.size), dtype=np.int64)
         found = []
@@ -233,10 +251,10 @@ class Trie:
         return np.concatenate(found) if found else alive
 
 
-def family_links(sets: list[np.ndarray], lead: int, asking: np.ndarray) -> list[tuple[int, int]]:
+def family_links(sets: list[np.ndarray], lead: int, asking: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Links of a family of sets: of all with ``lead``, then of each ``asking`` set that is in another component than
     some sets, with those. Enough links to connect what is connected by sets that ask."""
-    trie = Trie(sets)
+    trie = Trie(sets, least)
     part = np.arange(len(sets))
     out = []
 
@@ -262,7 +280,7 @@ def _no_links() -> pa.Table:
     return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
 
-def _compare(table: pa.Table) -> pa.Table:
+def _compare(table: pa.Table, least: int) -> pa.Table:
     """Links within the families of a bucket; each family (pivot, block) has its own trie."""
     if not table.num_rows:
         return _no_links()
@@ -278,19 +296,23 @@ def _compare(table: pa.Table) -> pa.Table:
             lead = np.flatnonzero(node[low:high] == pivot[low])
             asking = np.flatnonzero(asks[low:high])
             first = int(lead[0]) if len(lead) else int(asking[0]) if len(asking) else 0
-            out += [(int(node[low + i]), int(node[low + j])) for i, j in family_links(sets, first, asking)]
+            out += [(int(node[low + i]), int(node[low + j])) for i, j in family_links(sets, first, asking, least)]
     if not out:
         return _no_links()
     found = np.array(out, dtype=np.int64)
     return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
 
 
-def compared(rows: DataFrame, sets: DataFrame, shingles: int) -> DataFrame:
+def compared(rows: DataFrame, sets: DataFrame, shingles: int, least: int) -> DataFrame:
     """Links within each (pivot, block) of ``rows`` (pivot, block, node, asks), dealt into buckets of bounded size."""
     buckets = int(shingles // GROUP_SHINGLES) + 1
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("pivot", "block"), F.lit(buckets)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _compare(table, least)
+
     return (dealt.join(sets, "node").select("bucket", "pivot", "block", "node", "asks", "set")
-            .groupBy("bucket").applyInArrow(_compare, _LINKS))
+            .groupBy("bucket").applyInArrow(compare, _LINKS))
 
 
 def families(members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -305,9 +327,9 @@ def families(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(nodes.select("node", "n_shingles"), "node").select("pivot", "node", "n_shingles")
 
 
-def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     """Links (a, b) between nodes, enough to connect every component."""
-    rows = shard_rows(documents)
+    rows = shard_rows(documents, like)
     # pivots of batches meet under their key; members that have a mate already are dealt out evenly
     rows = rows.withColumn("deal", F.when(F.col("mate").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("node")))
     by_key = Window.partitionBy("key", "deal")
@@ -316,7 +338,7 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
         .filter(F.col("mate").isNotNull() | F.col("paired") | (F.col("low") != F.col("high")))
         .select("key", "node").distinct(), "jaccard_members")
     family = stored(families(members, nodes), "jaccard_families")
-    sets = stored(sets_for(documents, family.select("node").distinct()), "jaccard_sets")
+    sets = stored(sets_for(documents, family.select("node").distinct(), like), "jaccard_sets")
     sizes = family.groupBy("pivot").agg(F.sum("n_shingles").alias("all"))
     total = sizes.agg(F.sum("all")).first()[0] or 0
     blocks = sizes.select("pivot", F.ceil(F.col("all") / GROUP_SHINGLES).alias("blocks"))
@@ -325,7 +347,7 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     leads = (dealt.filter("node = pivot AND blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("pivot", F.col("block").cast("long").alias("block"), "node"))
     inside = dealt.select("pivot", "block", "node").union(leads).distinct().withColumn("asks", F.lit(True))
-    found = stored(compared(inside, sets, total), "jaccard_links")
+    found = stored(compared(inside, sets, total, like.part), "jaccard_links")
     # families of several blocks: what is not in the pivot's component meets the other blocks too
     labels = components(found)
     several = dealt.filter("blocks > 1").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -338,15 +360,15 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     met = (several.join(open_blocks.select("pivot", "from"), "pivot").filter("from <> block")
            .select("pivot", pair(F.col("block"), F.col("from")).alias("block"), "node", F.lit(False).alias("asks")))
     across = side.union(met).groupBy("pivot", "block", "node").agg(F.max("asks").alias("asks"))
-    return found.union(compared(across, sets, total))
+    return found.union(compared(across, sets, total, like.part))
 
 
-def near_duplicates(documents: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_shingles and component_id of each document."""
-    sets = stored(document_sets(documents), "jaccard_documents") if sets is None else sets
+def near_duplicates(documents: DataFrame, like: Likeness = CONTRACT, sets: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_shingles and component_id of each document; ``sets``: its ``document_sets`` under the same likeness."""
+    sets = stored(document_sets(documents, like), "jaccard_documents") if sets is None else sets
     nodes = sets.filter("n_shingles > 0").groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("first_id"))
     nodes = stored(nodes, "jaccard_nodes")
-    labels = components(stored(links(documents, nodes), "jaccard_all_links"))
+    labels = components(stored(links(documents, nodes, like), "jaccard_all_links"))
     placed = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = placed.groupBy("label").agg(F.min("first_id").alias("component_id"))
     known = placed.join(least, "label").select("node", "component_id")
@@ -354,10 +376,10 @@ def near_duplicates(documents: DataFrame, sets: DataFrame | None = None) -> Data
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
     """The documents that name their component, one row of each doc_id. Rows without doc_id stay."""
-    sets = stored(document_sets(documents), "jaccard_documents")
-    found = near_duplicates(documents, sets)
+    sets = stored(document_sets(documents, like), "jaccard_documents")
+    found = near_duplicates(documents, like, sets)
     gone = stored(found.filter("component_id <> doc_id").select("doc_id"), "jaccard_gone")
     again = stored(sets.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "jaccard_again")
     kept = documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
@@ -367,4 +389,4 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 
 
 def op9_jaccard(documents: DataFrame) -> DataFrame:
-    return near_duplicates(documents)
+    return near_duplicates(documents, CONTRACT)
