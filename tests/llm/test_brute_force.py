@@ -163,6 +163,21 @@ def test_html_blocks_and_decoding():
     assert decode([-1, 0, 1, 1], np.array([1.0, -1.0, 1.5, -1.0])).tolist() == [True, True, True, False]
 
 
+def test_raw_elements_hide_no_more_than_themselves():
+    def texts(html):
+        return [b[1] for b in Page(html).blocks]
+
+    assert texts('<p>a</p><svg width="1"/><p>b</p>') == ["a", "b"]
+    assert texts("<p>a</p><svg/><p>b</p><svg><text>no</text></svg><p>c</p>") == ["a", "b", "c"]
+    for tag in ("svg", "noscript", "template"):
+        assert texts(f"<p>a</p><{tag}><p>b</p>") == ["a", "b"]
+        assert texts(f"<p>a</p><{tag}><p>b</p><{tag} x='>'>no</{tag.upper()} ><p>c</p>") == ["a", "b", "c"]
+        assert texts(f"<p>a</p><{tag}>no<{tag}>no</{tag}>no</{tag}><p>b</p>") == ["a", "b"]
+    assert texts("<p>İ</p><SCRIPT>no</SCRIPT><p>b</p><Style>no</sTYLE><p>c</p>") == ["İ", "b", "c"]
+    assert texts("<script>no</scripts></script >b") == ["b"]
+    assert texts("<svg>" * 50_000 + "x") == ["x"]
+
+
 def test_html_main_text(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").limit(60)
     extra = spark.createDataFrame([(-1, "u", None), (-2, "u", ""), (-3, None, "<p>")], "page_id long, url string, html string")

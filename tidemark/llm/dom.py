@@ -9,6 +9,8 @@ import numpy as np
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg".split())
+# raw elements whose missing end hides nothing: only the tag is skipped
+OPEN = frozenset("svg noscript template".split())
 BLOCK = frozenset(
     "html body article main section div nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody "
     "tfoot tr td th blockquote pre figure figcaption address fieldset details summary hr center option select button label".split())
@@ -39,6 +41,25 @@ _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|
 _SPLIT = re.compile(r"[^a-z]+")
 _TOKEN = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)""", re.S)
+_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I | re.A) for t in RAW}
+_PAIRED = {t: re.compile(rf"""<(/?){t}(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.I | re.A) for t in OPEN}
+
+
+def raw_ends(html: str, tag: str) -> dict[int, int]:
+    """Where each element ``tag`` that has an end begins, and the place behind its end."""
+    begun: list[int] = []
+    ends: dict[int, int] = {}
+    for found in _PAIRED[tag].finditer(html):
+        if not found[1]:
+            if not _closed(tag, found[2]):
+                begun.append(found.start())
+        elif begun:
+            ends[begun.pop()] = found.end()
+    return ends
+
+
+def _closed(tag: str, attributes: str) -> bool:
+    return tag == "svg" and attributes.endswith("/")
 
 
 class Page:
@@ -114,7 +135,7 @@ class Page:
                 return  # an inline end tag does not close blocks
 
     def _read(self, html: str) -> None:
-        at, low = 0, None
+        at, ends = 0, {}
         while True:
             found = _TOKEN.search(html, at)
             if not found:
@@ -126,13 +147,14 @@ class Page:
                 continue
             if found[1]:
                 self._close(tag)
+            elif tag in OPEN:
+                if not _closed(tag, found[3] or ""):
+                    if tag not in ends:
+                        ends[tag] = raw_ends(html, tag)
+                    at = ends[tag].get(found.start(), at)
             elif tag in RAW:
-                # lower-casing may change the length of rare letters; offsets would then not fit
-                if low is None:
-                    low = html.lower()
-                    low = low if len(low) == len(html) else html
-                end = low.find(f"</{tag}", at)
-                at = html.find(">", end) + 1 if end >= 0 else 0
+                end = _END[tag].search(html, at)
+                at = html.find(">", end.end()) + 1 if end else 0
                 if not at:
                     break
             else:

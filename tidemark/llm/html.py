@@ -13,7 +13,8 @@ the page's own words) of which the main text is known.
 The text is the kept blocks in page order: character references decoded, white space inside a block turned into one blank,
 blocks joined by an empty line. Nothing is cut.
 
-Cases: null or empty html, or html without text, gives an empty text. Broken html is read as far as it goes. If no page of
+Cases: null or empty html, or html without text, gives an empty text. Broken html is read as far as it goes: an
+svg, noscript or template element without an end hides nothing, a script or style without one hides the rest. If no page of
 the sample has a paragraph to learn from, all blocks outside scripts and styles are kept. Rows are read one by one,
 repeated rows alike; other columns are not returned.
 """
