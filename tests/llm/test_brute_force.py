@@ -304,6 +304,20 @@ def test_neighbours_recall_ties_and_odd_vectors(spark):
     assert neighbours.op8_neighbours(frame.limit(0)).count() == 0
 
 
+def test_neighbours_of_equal_cosine_and_of_ids_with_several_vectors(spark):
+    # powers of two times one vector: all cosines are equal, so the smallest ids are nearest
+    line = [1.0, 3.0, 0.5, 2.0, 0.25, 1.5, 0.75, 4.0]
+    rows = [(1 + 7 * i % 61, [x * 2.0 ** i for x in line]) for i in range(60)]
+    # the query and one other id have many near vectors, five more ids lie further off
+    far = [0.0, 0.0, 0.0, 0.0, 1.0, -1.0, 0.0, 0.0]
+    rows += [(i, [*far[:4], 1.0, -1.0, 0.001 * j, 0.0]) for i in (150, 151) for j in range(12)]
+    rows += [(152 + j, [*far[:4], 1.0, -1.0, 0.1 + 0.01 * j, 0.0]) for j in range(5)]
+    got = neighbours.op8_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    ids = {q: [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (50, 150)}
+    smallest = sorted({i for i, _ in rows if i < 100} - {50})[:5]
+    assert ids == {50: smallest, 150: [151, 152, 153, 154, 155]}
+
+
 # ---- 9 Jaccard join ---------------------------------------------------------
 
 def test_jaccard_components_match_all_pairs(spark):
