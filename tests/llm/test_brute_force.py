@@ -274,6 +274,15 @@ def test_lm_base_scores_and_mixture(spark, tmp_path):
     assert ngram_lm.op7_lm(as_table(documents(spark, []), str(tmp_path / "e"))).count() == 0
 
 
+def test_lm_weights_are_learned_on_all_chunks(spark, tmp_path, monkeypatch):
+    rows = [(i, f"a{i % 50} b{i % 7} c", "en", "a", 1, "", "", "") for i in range(4 * ngram_lm.CHUNK_ROWS)]
+    seen = []
+    weights_from = ngram_lm.weights_from
+    monkeypatch.setattr(ngram_lm, "weights_from", lambda cells: seen.append(sum(c["n"] for c in cells)) or weights_from(cells))
+    got = ngram_lm.op7_lm(as_table(documents(spark, rows).coalesce(1), str(tmp_path / "d"))).select("train_tokens").first()
+    assert seen == [got["train_tokens"]]
+
+
 # ---- 8 neighbours -----------------------------------------------------------
 
 def test_neighbours_recall_ties_and_odd_vectors(spark):

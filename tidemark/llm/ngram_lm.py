@@ -3,8 +3,7 @@
 Tokens are lower-cased words and one end token for each text; the first word's context is the end token. A token w after v
 has probability l2 c(vw) / c(v) + l1 c(w) / N + l0 / (V + 1): the bigram, unigram and uniform estimates, mixed by weights
 that depend on the bucket of c(v), the context's frequency (a bucket for each power of two, 0 on its own). The weights are
-learned by expectation-maximisation on counts from which the token's own document is deleted, over the training texts of
-every ``FOLD``-th chunk.
+learned by expectation-maximisation on counts from which the token's own document is deleted, over all training texts.
 
 Counts without sending tokens around: texts are read in chunks of ``CHUNK_ROWS`` rows. A chunk sends its distinct unigram
 and bigram hashes with their training counts, sorted and packed in one array for each hash bucket; a bucket adds up its
@@ -40,7 +39,6 @@ from tidemark.llm.words import SPACED, each_piece, mix
 
 CHUNK_ROWS_LOG2 = 11
 CHUNK_ROWS = 1 << CHUNK_ROWS_LOG2
-FOLD = 7
 BUCKET_BYTES = 8 << 20
 BUCKETS = 40
 CELLS = 20.0
@@ -201,11 +199,9 @@ def weights_from(cells: list, buckets: int = BUCKETS) -> np.ndarray:
 
 
 def learned(rows: DataFrame, answers: DataFrame, total: int, types: int) -> np.ndarray:
-    """Weights by EM over the training texts of a fold of chunks."""
-    lowest = answers.agg(F.min("chunk")).first()[0]
-    if lowest is None or not total:
-        return weights_from([]) * [0, 0, 1] + [0, 0, LEAST] if not total else weights_from([])
-    fold = F.pmod(F.xxhash64("chunk"), F.lit(FOLD)) == F.pmod(F.xxhash64(F.lit(lowest).cast("long")), F.lit(FOLD))
+    """Weights by EM over all training texts."""
+    if not total:
+        return weights_from([]) * [0, 0, 1] + [0, 0, LEAST]
 
     def count(texts: pa.Table, replies: pa.Table) -> pa.Table:
         train = texts["train"].to_numpy()
@@ -218,7 +214,7 @@ def learned(rows: DataFrame, answers: DataFrame, total: int, types: int) -> np.n
         found, n = np.unique(np.stack((bucket_of(context), *cell))[:, at], axis=1, return_counts=True)
         return pa.table({"bucket": found[0], "two": found[1], "one": found[2], "n": n})
 
-    cells = _by_chunk(rows.filter(fold), answers.filter(fold), count, "bucket long, two long, one long, n long")
+    cells = _by_chunk(rows, answers, count, "bucket long, two long, one long, n long")
     return weights_from(cells.groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).collect())
 
 
