@@ -96,6 +96,30 @@ def test_mined_rules_are_all_confident_and_frequent(spark):
     assert urls.judged(pages.limit(0)).count() == 0
 
 
+def test_rules_count_all_tokens_of_long_urls_and_repeated_rows(spark):
+    # thirteen tokens a url; the label follows a pair that is not among the ten tokens of the most differing block rates
+    found = []
+    for i in range(240):
+        label, noise = i % 2, [f"n{j}{'xy'[(i // 2 + j) % 3 == 0] if i % 2 else 'xy'[(i // 2 + j) % 4 != 0]}" for j in range(11)]
+        pair = ("a1", "b1") if label and i % 4 == 1 else (("a1", "b2"), ("a2", "b1"))[i // 2 % 2]
+        found += [(i, f"https://h/{'/'.join([*noise, *('p' + x for x in pair)])}", "", "", "")] * (3 if i % 5 == 0 else 1)
+    labelled = urls.parsed(spark.createDataFrame(found, PAGES)).withColumn(
+        "label", F.when(F.col("page_id") % 2 == 1, urls.BLOCK).otherwise(urls.ALLOW))
+    rows = labelled.collect()
+    rules = {(frozenset(r["tokens"]), r["action"]): r for r in urls.mined_rules(labelled, 0.15, 0.7).collect()}
+    for (tokens, action), rule in rules.items():
+        held = [r for r in rows if tokens <= set(r["tokens"])]
+        hits = [r for r in held if r["label"][1:] == action]
+        assert (rule["hits"], rule["confidence"]) == (len(hits), pytest.approx(len(hits) / len(held)))
+    single = {t for r in rows for t in r["tokens"]}
+    for token in single:
+        held = [r for r in rows if token in r["tokens"]]
+        for label in (urls.BLOCK, urls.ALLOW):
+            hits = sum(r["label"] == label for r in held)
+            assert ((frozenset([token]), label[1:]) in rules) == (hits >= 0.15 * len(rows) and hits / len(held) >= 0.7)
+    assert (frozenset(["p:pa1", "p:pb1"]), "block") in rules
+
+
 # ---- 2 decontamination ------------------------------------------------------
 
 def contamination(text, items):

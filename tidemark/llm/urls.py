@@ -10,9 +10,10 @@ reach the given bounds and no rule with fewer of the same tokens is as confident
 of each rule to the rule; urls reach the index by their tokens and must then hold all tokens of the rule. The most
 confident fitting rule decides (then the larger support, then block before allow); a url that no rule fits is allowed.
 
-Labels are the urls that a listed rule decides, unless the caller has others. Training may weigh at most ``ITEMS`` tokens
-of a url, those whose block rate differs most from the overall rate; matching always uses all tokens. Support is a share of
-labelled urls, so there are at most (tokens per transaction) / support frequent tokens, however large the table is.
+Labels are the urls that a listed rule decides, unless the caller has others; each of their rows is a transaction of all
+its frequent tokens. Support is a share of labelled urls, so there are at most (tokens per transaction) / support frequent
+tokens, however large the table is. A token whose urls all have one label, or that all urls have, is counted without
+FP-growth: a rule of it and more tokens is never more confident than the rule that leaves out one of them.
 
 Cases: a null url, or one without ``://``, has empty host and path, no tokens and verdict allow. Repeated urls and rows
 are judged each. With an empty table or no labels there are no mined rules. Other columns are not returned.
@@ -30,7 +31,6 @@ from tidemark.llm.common import lower_ascii, stored
 # (action, host, path): fixed by the query's contract
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SUPPORT, CONFIDENCE = 0.002, 0.8
-ITEMS = 10
 BLOCK, ALLOW = "\x00block", "\x00allow"
 
 
@@ -78,23 +78,32 @@ def listed(urls: DataFrame, rules) -> DataFrame:
             .select("host", "path", "best.rule", "best.listed"))
 
 
-def transactions(labelled: DataFrame, support: float, items: int) -> DataFrame:
-    """Token sets of labelled urls with their label; of a url with many tokens the telling ones."""
-    known = labelled.filter(F.size("tokens") > 0).withColumn("key", F.xxhash64("page_id", "url"))
-    total = known.agg(F.count("*").alias("all"), F.avg((F.col("label") == BLOCK).cast("double")).alias("rate")).first()
-    spread = known.select("key", "label", "tokens", F.explode("tokens").alias("token"))
-    counts = (spread.groupBy("token").agg(F.count("*").alias("n"), F.avg((F.col("label") == BLOCK).cast("double")).alias("own"))
-              .filter(F.col("n") >= total["all"] * support)
-              .select("token", F.abs(F.col("own") - F.lit(total["rate"] or 0.0)).alias("tells")))
-    picked = F.slice(F.sort_array(F.collect_list(F.struct("tells", "token")), asc=False), 1, items)
-    return (spread.join(counts, "token").groupBy("key", "label").agg(picked.alias("picked"))
-            .select(F.array_union(F.array_distinct(F.col("picked.token")), F.array("label")).alias("items")))
+def token_counts(labelled: DataFrame, support: float) -> tuple[DataFrame, DataFrame]:
+    """(key, label, token) of the labelled urls that have tokens, the label itself a token too, and token, n, blocked and
+    alone (no use in longer rules) of frequent tokens."""
+    # every row is a transaction, repeated ones too
+    known = labelled.filter(F.size("tokens") > 0).withColumn("key", F.monotonically_increasing_id())
+    spread = stored(known.select("key", "label", F.explode(F.array_union("tokens", F.array("label"))).alias("token")), "url_tokens")
+    total = spread.agg(F.count(F.when(F.col("token") == F.col("label"), 1)).alias("all")).first()["all"]
+    counts = (spread.groupBy("token").agg(F.count("*").alias("n"), F.count(F.when(F.col("label") == BLOCK, 1)).alias("blocked"))
+              .filter(F.col("n") >= total * support))
+    is_label = F.col("token").isin(BLOCK, ALLOW)
+    return spread, stored(counts.withColumn("alone", ~is_label & (
+        (F.col("blocked") == 0) | (F.col("blocked") == F.col("n")) | (F.col("n") == total))), "url_frequent")
 
 
-def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
-                items: int = ITEMS) -> DataFrame:
+def transactions(spread: DataFrame, counts: DataFrame) -> DataFrame:
+    """Sets of frequent tokens of labelled urls with their label."""
+    # a label that is not frequent still fills its transactions, which support is a share of
+    labels = spread.filter(F.col("token") == F.col("label"))
+    rows = spread.filter(F.col("token") != F.col("label")).join(counts.filter("NOT alone").select("token"), "token")
+    return rows.select("key", "token").union(labels.select("key", "token")).groupBy("key").agg(F.collect_list("token").alias("items"))
+
+
+def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """Rules (tokens, verdict, confidence, support) after pruning, by FP-growth over labelled urls."""
-    baskets = stored(transactions(labelled, support, items), "url_baskets")
+    spread, counts = token_counts(labelled, support)
+    baskets = stored(transactions(spread, counts), "url_baskets")
     sets = FPGrowth(itemsCol="items", minSupport=support).fit(baskets).freqItemsets
     sets = stored(sets.withColumn("items", F.array_sort("items")), "url_itemsets")
     label = F.when(F.array_contains("items", BLOCK), BLOCK).when(F.array_contains("items", ALLOW), ALLOW)
@@ -104,7 +113,12 @@ def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     found = (with_label.join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens")
              .withColumn("confidence", F.col("hits") / F.col("freq")).filter(F.col("confidence") >= confidence)
              .select("tokens", F.when(F.col("label") == BLOCK, "block").otherwise("allow").alias("action"), "confidence", "hits"))
-    found = stored(found, "url_rules")
+    single = counts.filter("alone").select(F.array("token").alias("tokens"), "n", F.explode(F.array(
+        F.struct(F.lit("block").alias("action"), F.col("blocked").alias("hits")),
+        F.struct(F.lit("allow").alias("action"), (F.col("n") - F.col("blocked")).alias("hits")))).alias("of"))
+    single = (single.select("tokens", "of.action", (F.col("of.hits") / F.col("n")).alias("confidence"), "of.hits")
+              .filter((F.col("confidence") >= confidence) & (F.col("hits") >= baskets.count() * support)))
+    found = stored(found.unionByName(single), "url_rules")
     # a rule goes if leaving out one token loses no confidence; by induction the shortest such rules stay
     shorter = (found.withColumn("drop", F.explode("tokens")).filter(F.size("tokens") > 1)
                .select("tokens", "action", "confidence", F.array_remove("tokens", F.col("drop")).alias("less")))
