@@ -262,6 +262,13 @@ def test_trees_add_spans_like_the_base_ones(spark, tmp_path):
         assert row["base_sha256"] == hashlib.sha256(base_spans(dict((r[0], r[1]) for r in rows)[row["doc_id"]]).encode()).hexdigest()
 
 
+def test_written_out_addresses_are_candidates_without_a_digit(spark):
+    texts = ["write to john (at) example (dot) org please", "JOHN[AT]example[DOT]org", "look at this"]
+    rows = pii.proposed(pii.numbered(documents(spark, [(i, t, "en", "a", 1, "", "", "") for i, t in enumerate(texts)])))
+    got = {(r["doc_id"], r["kind"], r["m"]) for r in rows.filter("m IS NOT NULL").collect()}
+    assert got == {(0, "email", "john (at) example (dot) org"), (1, "email", "JOHN[AT]example[DOT]org")}
+
+
 # ---- 6 quality --------------------------------------------------------------
 
 def test_quality_learns_and_takes_any_row(spark, sf_dir):
