@@ -415,6 +415,17 @@ def test_every_linked_pair_shares_a_band():
 
 # ---- 10 toxicity ------------------------------------------------------------
 
+def test_one_of_each_decides_by_text_where_ids_repeat(spark):
+    other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in "uv")
+    near = PLAIN + " tail"
+    rows = [(1, PLAIN), (2, near), (2, other), (2, other), (3, third), (3, " ".join(f"z{i}" for i in range(9))), (None, third + " tail"),
+            (None, "alone " + "x " * 9), (None, "alone " + "x " * 9), (4, ""), (4, None), (4, None)]
+    got = jaccard.one_of_each(documents(spark, [(i, t, "en", "a", 1, "", "", "") for i, t in rows])).collect()
+    key = lambda x: (x[0] or 0, x[1] or "")
+    expected = [(1, PLAIN), (2, other), (3, third), rows[5], rows[7], (4, ""), (4, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=key) == sorted(expected, key=key)
+
+
 def test_shards_of_the_usual_likeness_hold_every_linked_pair():
     import pyarrow as pa
 

@@ -136,17 +136,19 @@ def bands_of(value: np.ndarray, first: np.ndarray, like: Likeness = CONTRACT) ->
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def document_sets(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
-    """doc_id, n_shingles and node of each document."""
+def document_sets(documents: DataFrame, like: Likeness = CONTRACT, keyed: bool = False) -> DataFrame:
+    """doc_id, n_shingles and node of each document, and where ``keyed`` text_key, a hash of the text."""
+    keys = ["text_key"] if keyed else []
+
     def work(batch: pa.RecordBatch):
         for low, high, words in each_piece(batch.column(1), SPACED):
             value, first = shingle_sets(words, like)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, high - low), pa.array(np.diff(first)), pa.array(signed(nodes_of(value, first)))],
-                ["doc_id", "n_shingles", "node"])
+                [batch.column(0).slice(low, high - low), pa.array(np.diff(first)), pa.array(signed(nodes_of(value, first))),
+                 *(batch.column(k).slice(low, high - low) for k in keys)], ["doc_id", "n_shingles", "node", *keys])
 
-    source = documents.select("doc_id", "text")
-    return map_batches(source, work, f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, node long")
+    source = documents.select("doc_id", "text", *(F.xxhash64("text").alias(k) for k in keys))
+    return map_batches(source, work, ", ".join([f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, node long", *(f"{k} long" for k in keys)]))
 
 
 def shard_rows(documents: DataFrame, like: Likeness) -> DataFrame:
@@ -363,13 +365,18 @@ def links(documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     return found.union(compared(across, sets, total, like.part))
 
 
-def near_duplicates(documents: DataFrame, like: Likeness = CONTRACT, sets: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_shingles and component_id of each document; ``sets``: its ``document_sets`` under the same likeness."""
-    sets = stored(document_sets(documents, like), "jaccard_documents") if sets is None else sets
+def component_labels(documents: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """node, label (of its component) and first_id (its smallest doc_id) of each set with words."""
     nodes = sets.filter("n_shingles > 0").groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("first_id"))
     nodes = stored(nodes, "jaccard_nodes")
     labels = components(stored(links(documents, nodes, like), "jaccard_all_links"))
-    placed = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "first_id")
+
+
+def near_duplicates(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
+    """doc_id, n_shingles and component_id of each document."""
+    sets = stored(document_sets(documents, like), "jaccard_documents")
+    placed = component_labels(documents, sets, like)
     least = placed.groupBy("label").agg(F.min("first_id").alias("component_id"))
     known = placed.join(least, "label").select("node", "component_id")
     return (sets.distinct().join(known, "node", "left")
@@ -377,15 +384,28 @@ def near_duplicates(documents: DataFrame, like: Likeness = CONTRACT, sets: DataF
 
 
 def one_of_each(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
-    """The documents that name their component, one row of each doc_id. Rows without doc_id stay."""
-    sets = stored(document_sets(documents, like), "jaccard_documents")
-    found = near_duplicates(documents, like, sets)
-    gone = stored(found.filter("component_id <> doc_id").select("doc_id"), "jaccard_gone")
-    again = stored(sets.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "jaccard_again")
-    kept = documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
-    once = kept.join(again, "doc_id", "left_anti").select(*documents.columns)
-    several = kept.join(again, "doc_id", "left_semi").select(*documents.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(several)
+    """One row of each component: of its smallest doc_id, and of that the smallest set. Rows without words stay, one of
+    each doc_id and text."""
+    sets = stored(document_sets(documents, like, True), "jaccard_documents")
+    labels = component_labels(documents, sets, like)
+    # a set without words is a component of its own
+    placed = (sets.join(labels.select("node", "label"), "node", "left")
+              .withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
+              .withColumn("own", F.when(F.col("n_shingles") == 0, F.xxhash64("doc_id", "text_key"))))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node", "text_key"))
+    winners = placed.groupBy("label", "own").agg(first.alias("first")).select("first.doc_id", "first.text_key")
+    repeated = sets.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    kept = stored(_same(winners, repeated, "inner").select("doc_id", "text_key", "copies"), "jaccard_kept")
+    rows = documents.withColumn("_text_key", F.xxhash64("text"))
+    once = _same(rows, kept.filter("copies = 1"), "left_semi", "_text_key")
+    several = _same(rows, kept.filter("copies > 1"), "left_semi", "_text_key").dropDuplicates(["doc_id", "_text_key"])
+    return once.unionByName(several).select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def _same(rows: DataFrame, others: DataFrame, how: str, key: str = "text_key") -> DataFrame:
+    """Join on doc_id, null equal to null, and the hash of the text."""
+    others = others.withColumnsRenamed({"doc_id": "_other_id", "text_key": "_other_key"})
+    return rows.join(others, rows["doc_id"].eqNullSafe(others["_other_id"]) & (rows[key] == others["_other_key"]), how)
 
 
 def op9_jaccard(documents: DataFrame) -> DataFrame:
