@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemark.llm import decontaminate, jaccard, mix, neighbours, ngram_lm, pii, quality, toxicity, urls
 from tidemark.llm.dom import Page, decode
-from tidemark.llm.html import op4_html
+from tidemark.llm.html import op4_html, training_nodes
 from tidemark.llm.words import ALNUM, SPACED, each_piece
 
 from .cases import LONG, PLAIN, as_table, document_rows, documents
@@ -283,6 +283,19 @@ def test_quality_learns_and_takes_any_row(spark, sf_dir):
     assert quality.op6_quality(documents(spark, []), labels).count() == 0
 
 
+def test_training_samples_are_bounded_in_rows(spark, sf_dir, monkeypatch):
+    docs, labels, pages = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels", "pages"))
+    sizes = []
+    co_train = quality.co_train
+    monkeypatch.setattr(quality, "co_train", lambda text, page, label: sizes.append(len(label)) or co_train(text, page, label))
+    one = docs.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n")
+    quality.fitted(docs, labels)
+    quality.fitted(docs.union(one).union(docs), labels)
+    assert sizes[0] == sizes[1]
+    page = pages.limit(1)
+    assert training_nodes(page.union(page).union(page)).count() == training_nodes(page).count()
+
+
 # ---- 7 language model -------------------------------------------------------
 
 def test_lm_base_scores_and_mixture(spark, tmp_path):

@@ -148,7 +148,7 @@ def _labelled(page: Page, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def training_nodes(pages: DataFrame) -> DataFrame:
     """Labelled nodes of the sampled pages and of pages laid out from their paragraphs."""
     keyed = pages.select("html", F.xxhash64("page_id", "url", F.lit(4)).alias("draw")).filter(F.length("html") > 0)
-    chosen = keyed.select("draw").orderBy("draw").limit(SAMPLE)
+    chosen = keyed.select("draw").distinct().orderBy("draw").limit(SAMPLE)
 
     def work(batch: pa.RecordBatch):
         for html, seed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -169,7 +169,7 @@ def training_nodes(pages: DataFrame) -> DataFrame:
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([lists, pa.array(y)], ["x", "label"])
 
-    return map_batches(keyed.join(F.broadcast(chosen), "draw").select("html", "draw"), work, "x array<double>, label double")
+    return map_batches(keyed.join(F.broadcast(chosen), "draw").dropDuplicates(["draw"]).select("html", "draw"), work, "x array<double>, label double")
 
 
 class Trees(NamedTuple):

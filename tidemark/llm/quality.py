@@ -159,8 +159,8 @@ def fitted(documents: DataFrame, labels: DataFrame, allowed: Column | None = Non
     allowed = F.lit(True) if allowed is None else allowed
     chosen = labelled_ids(labels, "quality", allowed, EACH, 6)
     ids = documents.select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti").filter(F.col("doc_id").isNotNull())
-    pool = ids.orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(POOL).select("doc_id", F.lit(-1).alias("label"))
-    sample = documents.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen.unionByName(pool)), "doc_id")
+    pool = ids.distinct().orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(POOL).select("doc_id", F.lit(-1).alias("label"))
+    sample = documents.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen.unionByName(pool)), "doc_id").dropDuplicates(["doc_id"])
     rows = viewed(sample, ["doc_id", "label"]).toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     label = rows["label"].to_numpy()
     known = label[label >= 0]
