@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import read
+from tidemark.llm.conversations import op13_conversations
 from tidemark.llm.decontaminate import op2_decontaminate
 from tidemark.llm.html import op4_html
 from tidemark.llm.jaccard import op9_jaccard
+from tidemark.llm.lexical import op11_lexical
 from tidemark.llm.mix import op3_mix
 from tidemark.llm.neighbours import op8_neighbours
 from tidemark.llm.ngram_lm import op7_lm
 from tidemark.llm.pii import op5_pii
 from tidemark.llm.quality import op6_quality
+from tidemark.llm.token_files import op12_token_files
 from tidemark.llm.toxicity import op10_toxicity
 from tidemark.llm.urls import op1_url_filter
 
@@ -61,6 +64,18 @@ def lm(spark: SparkSession, sf: str) -> DataFrame:
     return op7_lm(read(spark, sf, "documents"))
 
 
+def lexical(spark: SparkSession, sf: str) -> DataFrame:
+    return op11_lexical(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+def token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return op12_token_files(read(spark, sf, "documents"))
+
+
+def conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return op13_conversations(read(spark, sf, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": url_filter,
     "op2_decontaminate": decontaminate,
@@ -72,4 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_neighbours": neighbours,
     "op9_jaccard": jaccard,
     "op10_toxicity": toxicity,
+    "op11_lexical": lexical,
+    "op12_token_files": token_files,
+    "op13_conversations": conversations,
 }
