@@ -186,10 +186,24 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     is used several times is computed once and survives its executors."""
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` made, once nothing reads them any more."""
+    for table in tables:
+        remove(table.sparkSession, table.scratch)
 
 
 __all__ = [
-    "HISTORY_TAIL", "HistoryTable", "Lake", "existing", "read_optional", "replace_rows", "require_columns",
-    "stored", "sync_columns",
+    "HISTORY_TAIL", "HistoryTable", "Lake", "drop_stored", "existing", "read_optional", "remove", "replace_rows",
+    "require_columns", "stored", "sync_columns",
 ]
