@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.lake import stored
+from tidemark.sources.lake import drop_stored, stored
 
 UPPER, LOWER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,4 +38,4 @@ def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.R
     return frame.mapInArrow(run, schema)
 
 
-__all__ = ["LOWER_CASE", "UPPER", "crc_mod", "lower_ascii", "map_batches", "read", "stored"]
+__all__ = ["LOWER_CASE", "UPPER", "crc_mod", "drop_stored", "lower_ascii", "map_batches", "read", "stored"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import drop_stored, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     by half; it ends when no label changes. Every round is a table in the shared folder.
     """
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    held = labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
     while True:
         near = (both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
                 .agg(F.min("label").alias("near")))
@@ -23,6 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
         new = stored(lower.join(jump, "low", "left").select(
             "node", "old", F.least("low", F.coalesce("far", "low")).alias("label")), "labels")
-        labels = new.select("node", "label")
+        drop_stored(held)
+        held, labels = new, new.select("node", "label")
         if new.filter("old <> label").isEmpty():
+            drop_stored(both)
             return labels

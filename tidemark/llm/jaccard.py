@@ -2,15 +2,16 @@
 
 A document's set is its distinct shingles of n words as 64-bit hashes, ordered by hash, the same global order for all
 sets. Two sets link when 100 * intersection >= p * union. ``Likeness`` holds n and p: 4 and 85 by the contract of the query
-(``CONTRACT``), 5 and 80 where no contract says otherwise (``USUAL``).
+(``CONTRACT``), 5 and 80 where no contract says otherwise (``USUAL``). Equal sets are one node from the start.
 
-Sharding. A set is a path of a trie in this order. The order is cut at fixed hashes into m bands; two sets that link differ
-in at most D shingles, D from the larger size, so with m > D bands at least one band holds the same run in both: they walk
-the same path through that band. (Bands are per class of sizes; a set is also entered in the next class if a larger partner
-may lie there. A set with so many empty bands that this band could be empty also enters its empty bands.) Sets meet on the
-hash of (class, band, run). Equal sets are one node from the start.
+Prefixes. A set is a path of a trie in the global order. A set of s shingles shares at least a = ceil(p s / 100) of them with any set
+it links to, so the first s - a + t shingles of two linked paths have t in common (``spare``: t is one and a sixteenth of the
+smaller set). A node is entered under the shingles of its prefix; nodes meet under them as
+prefixes of tries that share a branch. A node that meets others under fewer shingles than it must share links with nothing and goes.
+Of the others each leaves out the t - 1 shingles that most nodes meet under: of the t that two linked sets share, the rarest is
+left out by neither. Passages that many documents hold make no candidates this way, unless they are a large part of a set.
 
-Links. Every shard has a pivot, the node that shares the most shards; the family of a pivot is every node of its shards,
+Links. Every shard (the nodes of a shingle) has a pivot, the node that shares the most shards; the family of a pivot is every node of its shards,
 so two sets that link are together in some family. A family's sets form a trie of ``STEP`` shingles a level. The pivot
 walks it first, then every set that is not yet in one component with all others: the overlap of a shared path is counted
 once, and a subtree ends when the overlap so far plus the remaining length of either side cannot reach the required one.
@@ -18,9 +19,10 @@ Only links that connect something new are returned, so no pairs are listed; a la
 where the pivot links to them, and no rows in any case. Families of more than ``GROUP_SHINGLES`` shingles are cut in blocks,
 which all have the pivot; what is then outside the pivot's component meets the other blocks too.
 
-Inside an Arrow batch the nodes of a shard find each other before the shuffle, and only one of them meets other batches
-under the shard's key. Sets are read from the documents again for the nodes that need it (a bitmap of fixed size, ``SLOTS``
-bits, keeps the others from being sent; a fuller one only sends more).
+What is sent. Inside an Arrow batch the nodes of a shingle find each other before the shuffle, and only one of them meets other
+batches under it. Prefixes are sent packed, a row a bucket and batch. Sets are read from the documents again for the nodes that
+are in a family (a bitmap of fixed size, ``SLOTS`` bits, keeps the others from being sent; a fuller one only sends more). Scratch tables are
+dropped as soon as they have been used.
 
 Cases: null and empty texts have an empty set and link with nothing; a text of fewer words than a shingle is one shingle.
 Rows that repeat a doc_id and set are one row; with different sets they are rows of their own, each with its component. A
@@ -29,7 +31,6 @@ null doc_id takes part and has the smallest id of its component, null if there i
 
 from __future__ import annotations
 
-from itertools import count as counting
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import map_batches, stored
+from tidemark.llm.common import drop_stored, map_batches, stored
 from tidemark.llm.components import components
 from tidemark.llm.words import SPACED, Words, each_piece, grams, mix, signed
 
@@ -46,17 +47,7 @@ WHOLE = 100
 STEP = 64
 SLOTS = 1 << 22
 GROUP_SHINGLES = 2_000_000
-
-
-def size_classes(top: int = 1 << 31) -> np.ndarray:
-    """First size of each class; sizes grow by half from class to class."""
-    out = [1]
-    while out[-1] < top:
-        out.append(max(out[-1] + 1, out[-1] * 3 // 2))
-    return np.array(out, dtype=np.int64)
-
-
-CLASS_FROM = size_classes()
+SPARE = 16
 
 
 class Likeness(NamedTuple):
@@ -65,10 +56,9 @@ class Likeness(NamedTuple):
     shingle: int
     part: int
 
-    def differ(self) -> np.ndarray:
-        """For each class the most shingles in which linked sets can differ: s - 2 i for 100 i >= part (s - i), s twice
-        the largest size."""
-        return 2 * (CLASS_FROM[1:] - 1) * (WHOLE - self.part) // (WHOLE + self.part)
+    def least(self, size):
+        """Least overlap of a set of ``size`` shingles with any set it links to."""
+        return -(-self.part * size // WHOLE)
 
 
 CONTRACT, USUAL = Likeness(4, 85), Likeness(5, 80)
@@ -101,39 +91,17 @@ def nodes_of(value: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.where(size > 0, mix((total[first[1:]] - total[first[:-1]]) ^ size.astype(np.uint64)), np.uint64(0))
 
 
-def bands_of(value: np.ndarray, first: np.ndarray, like: Likeness = CONTRACT) -> tuple[np.ndarray, np.ndarray]:
-    """Shard keys and the text of each."""
-    differ = like.differ()
-    bands = differ + 2 + differ // 10
+def spare(size):
+    """How many shingles the prefixes of two linked sets share, the smaller of ``size`` shingles."""
+    return 1 + size // SPARE
+
+
+def prefixes(value: np.ndarray, first: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of the texts' prefixes and the text of each."""
     size = np.diff(first)
-    own = np.searchsorted(CLASS_FROM, size, side="right") - 1
-    salted = mix(value + np.uint64(0x9E3779B97F4A7C15))
-    keys, owners = [], []
-    for step in counting():
-        at = own + step
-        takes = size > 0 if step == 0 else (size > 0) & (size * WHOLE >= CLASS_FROM[np.minimum(at, len(CLASS_FROM) - 2)] * like.part)
-        texts = np.flatnonzero(takes)
-        if not len(texts):
-            break
-        count = size[texts]
-        where = np.repeat(first[texts] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-        owner, class_ = np.repeat(texts, count), np.repeat(at[texts], count)
-        band = ((value[where] >> np.uint64(32)) * bands[class_].astype(np.uint64)) >> np.uint64(32)
-        head = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (band[1:] != band[:-1]))))
-        run = np.add.reduceat(salted[where], head)
-        place = mix(band[head] * np.uint64(64) + class_[head].astype(np.uint64))
-        keys.append(mix(run ^ place))
-        owners.append(owner[head])
-        # sets in which every band that is sure to agree may be empty
-        full = np.bincount(owner[head], minlength=len(size))[texts]
-        for text in texts[full <= differ[at[texts]]]:
-            held = band[head][owner[head] == text]
-            empty = np.setdiff1d(np.arange(bands[at[text]], dtype=np.uint64), held)
-            keys.append(mix(mix(empty * np.uint64(64) + np.uint64(at[text]))))
-            owners.append(np.full(len(empty), text))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+    length = np.minimum(size, size - like.least(size) + spare(size))
+    text = np.repeat(np.arange(len(size)), length)
+    return value[first[text] + np.arange(len(text)) - (np.cumsum(length) - length)[text]], text
 
 
 def document_sets(documents: DataFrame, like: Likeness = CONTRACT, keyed: bool = False) -> DataFrame:
@@ -151,29 +119,87 @@ def document_sets(documents: DataFrame, like: Likeness = CONTRACT, keyed: bool =
     return map_batches(source, work, ", ".join([f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, node long", *(f"{k} long" for k in keys)]))
 
 
-def shard_rows(documents: DataFrame, like: Likeness) -> DataFrame:
-    """key, node, mate (the batch's pivot for that key, null for the pivot itself) and, for a pivot, whether it has mates."""
+_PACKED = "bucket int, mates boolean, keys binary, at binary, nodes binary, counts binary"
+
+
+def prefix_rows(documents: DataFrame, like: Likeness, buckets: int) -> DataFrame:
+    """Prefixes, packed: of each shingle of a batch one node and the number of its nodes there, dealt by the shingle; the other
+    nodes (``mates``) dealt by themselves, since they need to meet no more."""
+    def packed(key: np.ndarray, node: np.ndarray, count: np.ndarray, bucket: np.ndarray, mates: bool):
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
+            here = order[cuts[b]:cuts[b + 1]]
+            nodes, at = np.unique(node[here], return_inverse=True)
+            yield (int(b), mates, key[here].tobytes(), at.astype(np.uint16 if len(nodes) <= 1 << 16 else np.uint32).tobytes(),
+                   nodes.tobytes(), count[here].astype(np.uint32).tobytes())
+
     def work(batch: pa.RecordBatch):
         keys, nodes = [], []
         for _, _, words in each_piece(batch.column(0), SPACED):
             value, first = shingle_sets(words, like)
-            key, text = bands_of(value, first, like)
-            keys.append(signed(key))
-            nodes.append(signed(nodes_of(value, first))[text])
+            key, text = prefixes(value, first, like)
+            keys.append(key)
+            nodes.append(nodes_of(value, first)[text])
         key, node = np.concatenate(keys), np.concatenate(nodes)
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
         if not len(key):
             return
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
         fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
         key, node = key[fresh], node[fresh]
-        head = np.concatenate(([True], key[1:] != key[:-1]))
-        pivot = node[np.flatnonzero(head)][np.cumsum(head) - 1]
-        paired = head & np.concatenate((~head[1:], [False]))
+        head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.concatenate((head, [len(key)])))
+        mate = np.ones(len(key), dtype=bool)
+        mate[head] = False
+        rows = [*packed(key[head], node[head], count, (key[head] % np.uint64(buckets)).astype(np.int64), False),
+                *packed(key[mate], node[mate], np.zeros(int(mate.sum())), (mix(node[mate]) % np.uint64(buckets)).astype(np.int64), True)]
+        bucket, mates, *data = zip(*rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(node), pa.array(pivot, mask=head), pa.array(paired)], ["key", "node", "mate", "paired"])
-
-    return map_batches(documents.select("text"), work, "key long, node long, mate long, paired boolean")
+            [pa.array(bucket, pa.int32()), pa.array(mates), *(pa.array(column, pa.binary()) for column in data)],
+            [field.split()[0] for field in _PACKED.split(", ")])
+
+    return map_batches(documents.select("text"), work, _PACKED)
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """key and node of the shingles of a bucket that several nodes have, with their number, and of mates, without."""
+    out: dict[bool, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {False: [], True: []}
+    for row in table.to_pylist():
+        keys = np.frombuffer(row["keys"], dtype=np.uint64)
+        at = np.frombuffer(row["at"], dtype=np.uint16 if len(row["at"]) == 2 * len(keys) else np.uint32)
+        out[row["mates"]].append((keys, np.frombuffer(row["nodes"], dtype=np.uint64)[at], np.frombuffer(row["counts"], dtype=np.uint32)))
+    tables = []
+    if out[True]:
+        key, node, _ = map(np.concatenate, zip(*out[True]))
+        tables.append(pa.table({"key": signed(key), "node": signed(node), "size": pa.nulls(len(key), pa.int64())}))
+    if out[False]:
+        key, node, count = map(np.concatenate, zip(*out[False]))
+        order = np.lexsort((-count.astype(np.int64), node, key))
+        key, node, count = key[order], node[order], count[order]
+        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
+        key, node, count = key[fresh], node[fresh], count[fresh].astype(np.int64)
+        head = np.concatenate(([True], key[1:] != key[:-1]))
+        size = np.add.reduceat(count, np.flatnonzero(head))[np.cumsum(head) - 1]
+        several = size > 1
+        tables.append(pa.table({"key": signed(key[several]), "node": signed(node[several]), "size": size[several]}))
+    return pa.concat_tables(tables)
+
+
+def candidates(documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
+    """key and node: the shingles that nodes which may link with others meet under."""
+    spark = documents.sparkSession
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    members = stored(prefix_rows(documents, like, buckets).groupBy("bucket").applyInArrow(_meet, "key long, node long, size long"), "jaccard_members")
+    sizes = members.filter("size IS NOT NULL").select("key", "size").distinct()
+    held = (members.select("key", "node").distinct().join(sizes, "key").groupBy("node")
+            .agg(F.sort_array(F.collect_list(F.struct("size", "key")), asc=False).alias("keys")))
+    least = F.expr(f"int(1 + ceil({like.part} * n_shingles / {WHOLE}) div {SPARE})")
+    rare = (held.join(nodes.select("node", "n_shingles"), "node").withColumn("least", least).filter(F.size("keys") >= F.col("least"))
+            .select("node", F.explode(F.slice("keys", F.col("least"), F.size("keys"))).alias("key")).select("key.key", "node"))
+    found = stored(rare, "jaccard_rare")
+    drop_stored(members)
+    return found
 
 
 def sets_for(documents: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame:
@@ -318,38 +344,36 @@ def compared(rows: DataFrame, sets: DataFrame, shingles: int, least: int) -> Dat
 
 
 def families(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """pivot, node and n_shingles: every node with the pivots of its shards; a pivot is in its own family.
+    """pivot, node, n_shingles and block of the families of several nodes: every node with the pivots of its shards; a pivot
+    is in its own family.
 
     A shard's pivot is its node that meets others in the most shards: in a group of near copies the one they were made
     from, to which most of the others link.
     """
     busy = members.groupBy("node").agg(F.count("*").alias("shards"))
-    pivots = members.join(busy, "node").groupBy("key").agg(F.max_by("node", F.struct("shards", "node")).alias("pivot"))
-    pairs = members.select("key", "node").join(pivots, "key").select("pivot", "node").distinct()
-    return pairs.join(nodes.select("node", "n_shingles"), "node").select("pivot", "node", "n_shingles")
+    pivots = (members.join(busy, "node").groupBy("key").agg(F.max_by("node", F.struct("shards", "node")).alias("pivot"), F.count("*").alias("n"))
+              .filter("n > 1").select("key", "pivot"))
+    pairs = members.join(pivots, "key").select("pivot", "node").distinct()
+    pairs = pairs.join(nodes.select("node", "n_shingles"), "node").select("pivot", "node", "n_shingles")
+    blocks = pairs.groupBy("pivot").agg(F.ceil(F.sum("n_shingles") / GROUP_SHINGLES).alias("blocks"))
+    return pairs.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
 
 
 def links(documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     """Links (a, b) between nodes, enough to connect every component."""
-    rows = shard_rows(documents, like)
-    # pivots of batches meet under their key; members that have a mate already are dealt out evenly
-    rows = rows.withColumn("deal", F.when(F.col("mate").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("node")))
-    by_key = Window.partitionBy("key", "deal")
-    members = stored(
-        rows.withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
-        .filter(F.col("mate").isNotNull() | F.col("paired") | (F.col("low") != F.col("high")))
-        .select("key", "node").distinct(), "jaccard_members")
-    family = stored(families(members, nodes), "jaccard_families")
-    sets = stored(sets_for(documents, family.select("node").distinct(), like), "jaccard_sets")
-    sizes = family.groupBy("pivot").agg(F.sum("n_shingles").alias("all"))
-    total = sizes.agg(F.sum("all")).first()[0] or 0
-    blocks = sizes.select("pivot", F.ceil(F.col("all") / GROUP_SHINGLES).alias("blocks"))
-    dealt = family.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
+    members = candidates(documents, nodes, like)
+    dealt = stored(families(members, nodes), "jaccard_families")
+    drop_stored(members)
+    total, large = dealt.agg(F.sum("n_shingles"), F.max("blocks")).first()
+    needed = dealt.select("node").distinct()
     # every block has the pivot; within a block all are compared that the pivot leaves apart
     leads = (dealt.filter("node = pivot AND blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("pivot", F.col("block").cast("long").alias("block"), "node"))
     inside = dealt.select("pivot", "block", "node").union(leads).distinct().withColumn("asks", F.lit(True))
-    found = stored(compared(inside, sets, total, like.part), "jaccard_links")
+    found = stored(compared(inside, sets_for(documents, needed, like), total or 0, like.part), "jaccard_links")
+    if not large or large == 1:
+        drop_stored(dealt)
+        return found
     # families of several blocks: what is not in the pivot's component meets the other blocks too
     labels = components(found)
     several = dealt.filter("blocks > 1").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -362,14 +386,19 @@ def links(documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     met = (several.join(open_blocks.select("pivot", "from"), "pivot").filter("from <> block")
            .select("pivot", pair(F.col("block"), F.col("from")).alias("block"), "node", F.lit(False).alias("asks")))
     across = side.union(met).groupBy("pivot", "block", "node").agg(F.max("asks").alias("asks"))
-    return found.union(compared(across, sets, total, like.part))
+    sets = sets_for(documents, dealt.filter("blocks > 1").select("node").distinct(), like)
+    all_links = stored(found.union(compared(across, sets, total, like.part)), "jaccard_all_links")
+    drop_stored(dealt, found)
+    return all_links
 
 
 def component_labels(documents: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     """node, label (of its component) and first_id (its smallest doc_id) of each set with words."""
     nodes = sets.filter("n_shingles > 0").groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("first_id"))
     nodes = stored(nodes, "jaccard_nodes")
-    labels = components(stored(links(documents, nodes, like), "jaccard_all_links"))
+    found = links(documents, nodes, like)
+    labels = components(found)
+    drop_stored(found)
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "first_id")
 
 
