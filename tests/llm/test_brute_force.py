@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -13,8 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, jaccard, mix, neighbours, ngram_lm, pii, quality, toxicity, urls
-from tidemark.llm.dom import Page, decode
+from tidemark.llm import decontaminate, html, jaccard, mix, neighbours, ngram_lm, pii, quality, toxicity, urls
+from tidemark.llm.dom import Forest, Page
 from tidemark.llm.html import op4_html, training_nodes
 from tidemark.llm.words import ALNUM, SPACED, each_piece
 
@@ -183,8 +184,17 @@ def test_html_blocks_and_decoding():
     for broken in ("", "<", "<p", "<p class='x", "</p></p>", "<!--", "<script>", "text", "<div " * 50, "<p>" * 3000 + "x"):
         Page(broken)
     # a kept node under a dropped one pulls its parent in only if it outweighs it
-    assert decode([-1, 0, 1, 1], np.array([1.0, -2.0, 1.5, -1.0])).tolist() == [True, False, False, False]
-    assert decode([-1, 0, 1, 1], np.array([1.0, -1.0, 1.5, -1.0])).tolist() == [True, True, True, False]
+    # root, p, a block in it, a second block of the root
+    forest = Forest([Page("<p>a</p>b")])
+    assert forest.parent.tolist() == [-1, 0, 1, 0]
+    kept = lambda *logit: forest.decode(np.array(logit)).tolist()
+    assert kept(1.0, -2.0, 1.5, 0.5) == [True, False, False, True]
+    assert kept(1.0, -1.0, 1.5, -1.0) == [True, True, True, False]
+    # an element is not kept without a block in it, nor its block without it
+    assert kept(1.0, 2.0, -1.0, -9.0) == [True, True, True, False] and kept(0.1, -1.0, 0.5, -3.0) == [False] * 4
+    assert kept(1.0, -1.0, 0.5, -3.0) == [True, True, True, False]
+    page = Page("<div><p></p></div>")
+    assert not Forest([page, Page("x")]).decode(np.ones(len(page.tag) + 2))[:3].any()
 
 
 def test_raw_elements_hide_no_more_than_themselves():
@@ -200,6 +210,13 @@ def test_raw_elements_hide_no_more_than_themselves():
     assert texts("<p>İ</p><SCRIPT>no</SCRIPT><p>b</p><Style>no</sTYLE><p>c</p>") == ["İ", "b", "c"]
     assert texts("<script>no</scripts></script >b") == ["b"]
     assert texts("<svg>" * 50_000 + "x") == ["x"]
+    assert texts("<div data-x=it's>Hello don't stop</div>") == ["Hello don't stop"] and texts("<a href=foo'bar>link</a>") == ["link"]
+    assert texts('<img alt="5" tall">x') == ["x"] and texts("<iframe src=x/>after") == ["after"] and texts('<a title="x>y">z</a>') == ["z"]
+    began = time.monotonic()
+    for odd in ('<a "', '<a ="', "<a ='", '<svg a="', "<!", '<a =\'"'):
+        for end in ("", ">", '">x'):
+            Page(odd * (1_000_000 // len(odd)) + end)
+    assert time.monotonic() - began < 30
 
 
 def test_html_main_text(spark, sf_dir):
@@ -214,6 +231,18 @@ def test_html_main_text(spark, sf_dir):
     assert op4_html(pages.limit(0)).count() == 0
 
 
+def test_html_main_text_of_pages_outside_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(html, "SAMPLE", 60)
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in op4_html(pages).collect()}
+    learnt = {r["draw"] for r in pages.select(F.xxhash64("page_id", "url", F.lit(4)).alias("draw")).distinct().orderBy("draw").limit(60).collect()}
+    outside = pages.select("page_id", "html", F.xxhash64("page_id", "url", F.lit(4)).alias("draw")).collect()
+    outside = [r for r in outside if r["draw"] not in learnt]
+    wrong = [r["page_id"] for r in outside
+             if got[r["page_id"]] != "\n\n".join(b[1] for b in Page(re.search(r"<article>(.*)</article>", r["html"], re.S)[1]).blocks)]
+    assert len(outside) > 150 and len(wrong) <= len(outside) // 100
+
+
 # ---- 5 personal data --------------------------------------------------------
 
 def base_spans(text):

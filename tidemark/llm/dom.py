@@ -10,7 +10,7 @@ import numpy as np
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg".split())
 # raw elements whose missing end hides nothing: only the tag is skipped
-OPEN = frozenset("svg noscript template".split())
+OPEN = frozenset("svg noscript template iframe textarea title".split())
 BLOCK = frozenset(
     "html body article main section div nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody "
     "tfoot tr td th blockquote pre figure figcaption address fieldset details summary hr center option select button label".split())
@@ -39,19 +39,24 @@ WORDS = {
 _WORD_GROUP = {w: g for g, words in WORDS.items() for w in words}
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
+# A quote opens a value only right after an equals sign, and only if it is closed; else the tag ends at the next ">". The
+# parts are possessive, so nothing is read twice.
+_VALUES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 _TOKEN = re.compile(
-    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)""", re.S)
+    rf"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|(/?)([A-Za-z][^\s/>]*+)(?:({_VALUES})>|([^>]*+)>))""", re.S)
+# one that is never closed hides the rest
+_COMMENT = re.compile(r"<[!?]")
 _END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I | re.A) for t in RAW}
-_PAIRED = {t: re.compile(rf"""<(/?){t}(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.I | re.A) for t in OPEN}
+_PAIRED = {t: re.compile(rf"""<(/?){t}(?=[\s/>])(?:({_VALUES})>|([^>]*+)>)""", re.I | re.A) for t in OPEN}
 
 
 def raw_ends(html: str, tag: str) -> dict[int, int]:
     """Where each element ``tag`` that has an end begins, and the place behind its end."""
     begun: list[int] = []
     ends: dict[int, int] = {}
-    for found in _PAIRED[tag].finditer(html):
+    for found in _PAIRED[tag].finditer(html, 0, html.rfind(">") + 1):
         if not found[1]:
-            if not _closed(tag, found[2]):
+            if not _closed(tag, found[2] or found[3] or ""):
                 begun.append(found.start())
         elif begun:
             ends[begun.pop()] = found.end()
@@ -136,19 +141,24 @@ class Page:
 
     def _read(self, html: str) -> None:
         at, ends = 0, {}
+        # behind the last ">" no tag can close, so none is looked for
+        last = html.rfind(">") + 1
         while True:
-            found = _TOKEN.search(html, at)
+            found = _TOKEN.search(html, at, last) or _COMMENT.search(html, max(at, last))
             if not found:
                 self._text(html[at:])
                 break
             self._text(html[at:found.start()])
+            if found.re is _COMMENT:
+                break
             at, tag = found.end(), (found[2] or "").lower()
             if not tag:
                 continue
+            attributes = found[3] or found[4] or ""
             if found[1]:
                 self._close(tag)
             elif tag in OPEN:
-                if not _closed(tag, found[3] or ""):
+                if not _closed(tag, attributes):
                     if tag not in ends:
                         ends[tag] = raw_ends(html, tag)
                     at = ends[tag].get(found.start(), at)
@@ -158,7 +168,7 @@ class Page:
                 if not at:
                     break
             else:
-                self._open(tag, found[3] or "")
+                self._open(tag, attributes)
         self._flush()
 
 
@@ -170,96 +180,122 @@ FEATURES = len(_COLUMNS)
 _AT = {name: i for i, name in enumerate(_COLUMNS)}
 
 
-def features(page: Page) -> tuple[np.ndarray, list[int]]:
-    """Features of the elements, then of the text blocks, and the parent of each."""
-    elements, total = len(page.tag), len(page.tag) + len(page.blocks)
-    parent = page.parent + [b[0] for b in page.blocks]
-    group = [_GROUP.get(t, "other") for t in page.tag] + ["inline"] * len(page.blocks)
-    chars, links, tags, paragraphs, blocks, stops = ([0] * total for _ in range(6))
-    children, same = [0] * elements, {}
-    order = [0] * total
-    depth = [0] * total
-    for i in range(1, total):
-        up = parent[i]
-        order[i] = children[up]
-        children[up] += 1
-        depth[i] = depth[up] + 1
-        key = (up, group[i] if i < elements else "#text")
-        same[key] = same.get(key, 0) + 1
-        if i < elements:
-            tags[i] = 1
-            paragraphs[i] = page.tag[i] == "p"
-        else:
-            _, text, link = page.blocks[i - elements]
-            chars[i], links[i], blocks[i] = len(text), link, 1
-            stops[i] = text.count(".") + text.count("!") + text.count("?") + text.count(",")
-    for i in range(total - 1, 0, -1):
-        up = parent[i]
-        for column in (chars, links, tags, paragraphs, blocks, stops):
-            column[up] += column[i]
-    x = np.zeros((total, FEATURES))
-    own = [[0] * len(WORDS) for _ in range(elements)]
-    places = {g: i for i, g in enumerate(WORDS)}
-    above = [[0] * (len(WORDS) + 2) for _ in range(elements)]
-    first_block = [len(page.blocks)] * total
-    for i in range(len(page.blocks)):
-        node = elements + i
-        while node >= 0 and first_block[node] > i:
-            first_block[node] = i
-            node = parent[node]
-    upto = [0]
-    for block in page.blocks:
-        upto.append(upto[-1] + len(block[1]))
-    all_chars = max(upto[-1], 1)
-    for i in range(total):
-        up = parent[i]
-        row = x[i]
-        if i < elements:
-            for word in page.names[i]:
-                at = _WORD_GROUP.get(word)
-                if at:
-                    own[i][places[at]] += 1
-            if up >= 0:
-                above[i] = [max(a, b) for a, b in zip(above[up], own[up] + [0, 0])]
-                above[i][-2] = max(above[up][-2], group[up] in ("nav", "footer", "aside", "form"))
-                above[i][-1] = max(above[up][-1], group[up] in ("article", "main"))
-            row[_AT["own_content"]:_AT["own_content"] + len(WORDS)] = own[i]
-            lifted = above[i]
-        else:
-            lifted = [max(a, b) for a, b in zip(above[up], own[up] + [0, 0])]
-            lifted[-2] = max(lifted[-2], group[up] in ("nav", "footer", "aside", "form"))
-            lifted[-1] = max(lifted[-1], group[up] in ("article", "main"))
-            row[_AT["leaf"]] = 1
-        row[_AT["tag_" + group[i]]] = 1
-        if up >= 0:
-            row[_AT["up_" + group[up]]] = 1
-            row[_AT["of_siblings"]] = order[i] / max(children[up], 1)
-            row[_AT["siblings"]] = min(children[up], 50)
-            row[_AT["same_siblings"]] = same[(up, group[i] if i < elements else "#text")] / children[up]
-            row[_AT["sibling_chars"]] = np.log1p((chars[up] - chars[i]) / max(children[up] - 1, 1))
-        row[_AT["above_content"]:_AT["above_content"] + len(WORDS) + 2] = lifted
-        row[_AT["depth"]] = min(depth[i], 40)
-        row[_AT["chars"]] = np.log1p(chars[i])
-        row[_AT["tags"]] = np.log1p(tags[i])
-        row[_AT["density"]] = np.log1p(chars[i] / max(tags[i], 1))
-        row[_AT["links"]] = links[i] / max(chars[i], 1)
-        row[_AT["paragraphs"]] = np.log1p(paragraphs[i])
-        row[_AT["blocks"]] = np.log1p(blocks[i])
-        row[_AT["mean_block"]] = np.log1p(chars[i] / max(blocks[i], 1))
-        row[_AT["stops"]] = min(stops[i] / max(chars[i], 1) * 50, 5)
-        row[_AT["place"]] = upto[min(first_block[i], len(page.blocks))] / all_chars
-        row[_AT["share"]] = chars[i] / all_chars
-        row[_AT["title"]] = i < elements and page.tag[i] == "h1"
-    return x, parent
+_GROUPS = {g: i for i, g in enumerate(TAGS)}
+_PLACES = {g: i for i, g in enumerate(WORDS)}
+_AROUND = np.array([g in ("nav", "footer", "aside", "form") for g in TAGS])
+_INSIDE = np.array([g in ("article", "main") for g in TAGS])
+
+
+class Forest:
+    """The nodes of several pages: of each its elements, then its blocks. ``parent`` of a root is -1."""
 
+    def __init__(self, pages: list[Page]):
+        self.elements = np.array([len(p.tag) for p in pages])
+        self.blocks = np.array([len(p.blocks) for p in pages])
+        self.first = np.concatenate(([0], np.cumsum(self.elements + self.blocks)))
+        self.page = np.repeat(np.arange(len(pages)), np.diff(self.first))
+        local = np.arange(self.first[-1]) - self.first[self.page]
+        self.leaf = local >= self.elements[self.page]
+        parent = np.array([up for p in pages for up in (*p.parent, *(b[0] for b in p.blocks))], dtype=np.int64)
+        self.parent = np.where(parent < 0, -1, parent + self.first[self.page])
+        self.has = self.parent >= 0
+        self.up = np.maximum(self.parent, 0)
+        depth = np.zeros(len(parent), dtype=np.int64)
+        self.levels = [np.flatnonzero(~self.has)]
+        # blocks come last, so elements alone make the levels above them
+        inner, below = np.flatnonzero(self.has), np.ones(len(parent), dtype=bool)
+        below[self.has] = False
+        while len(inner):
+            mine = below[self.parent[inner]]
+            here = inner[mine]
+            depth[here] = len(self.levels)
+            self.levels.append(here)
+            inner, below[here] = inner[~mine], True
+        self.depth = depth
 
-def decode(parent: list[int], logit: np.ndarray) -> np.ndarray:
-    """Which nodes are kept: of all choices in which a kept node's ancestors are kept, the likeliest."""
-    best = np.array(logit, dtype=float)
-    for i in range(len(parent) - 1, 0, -1):
-        if best[i] > 0:
-            best[parent[i]] += best[i]
-    kept = best > 0
-    for i in range(1, len(parent)):
-        kept[i] = kept[i] and kept[parent[i]]
-    return kept
+    def decode(self, logit: np.ndarray) -> np.ndarray:
+        """Which nodes are kept: of all choices in which a kept node's parent is kept and a kept element has a kept child,
+        the likeliest; an element without text below is never kept."""
+        best, gain = np.array(logit, dtype=float), np.zeros(len(logit))
+        top = np.full(len(logit), -np.inf)
+        for here in self.levels[::-1]:
+            inner = here[~self.leaf[here]]
+            best[inner] += np.where(top[inner] > 0, gain[inner], top[inner])
+            above = here[self.has[here]]
+            np.maximum.at(top, self.parent[above], best[above])
+            gaining = above[best[above] > 0]
+            np.add.at(gain, self.parent[gaining], best[gaining])
+        kept = best > 0
+        for here in self.levels[1:]:
+            up = self.parent[here]
+            # the only child of a kept element that is kept although it lowers the sum
+            forced = here[(top[up] <= 0) & (best[here] == top[up])]
+            _, first = np.unique(self.parent[forced], return_index=True)
+            kept[forced[first]] = True
+            kept[here] &= kept[up]
+        return kept
+
+
+def features(pages: list[Page]) -> tuple[np.ndarray, Forest]:
+    """Features of all nodes of the pages."""
+    forest = Forest(pages)
+    up, has, leaf, total = forest.up, forest.has, forest.leaf, len(forest.parent)
+    tags = [t for p in pages for t in (*p.tag, *([None] * len(p.blocks)))]
+    group = np.array([_GROUPS["inline"] if t is None else _GROUPS[_GROUP.get(t, "other")] for t in tags])
+    of_block = [(len(text), link, text.count(".") + text.count("!") + text.count("?") + text.count(","))
+                for p in pages for _, text, link in p.blocks]
+    # characters, characters in links, stops, tags, paragraphs and blocks of a node and all below it
+    sums = np.zeros((total, 6))
+    sums[leaf, :3] = np.array(of_block).reshape(-1, 3)
+    sums[leaf, 5] = 1
+    sums[~leaf & has, 3] = 1
+    sums[:, 4] = np.array([t == "p" for t in tags]) & has
+    size = sums[leaf, 0]
+    number = np.cumsum(leaf) - 1
+    before = np.concatenate(([0], np.cumsum(size)))
+    start = np.concatenate(([0], np.cumsum(forest.blocks)))
+    first_block = np.where(leaf, number, start[forest.page + 1])
+    for here in forest.levels[:0:-1]:
+        np.add.at(sums, up[here], sums[here])
+        np.minimum.at(first_block, up[here], first_block[here])
+    chars, links, stops, inner_tags, paragraphs, blocks = sums.T
+    own = np.zeros((total, len(WORDS)))
+    for p, low in zip(pages, forest.first):
+        for i, names in enumerate(p.names):
+            for word in names:
+                at = _WORD_GROUP.get(word)
+                if at:
+                    own[low + i, _PLACES[at]] += 1
+    above = np.zeros((total, len(WORDS) + 2))
+    told = np.column_stack((own, _AROUND[group], _INSIDE[group]))
+    for here in forest.levels[1:]:
+        above[here] = np.maximum(above[up[here]], told[up[here]])
+    # place among the children of a parent, elements before blocks
+    order = np.argsort(up + ~has * total * 2, kind="stable")
+    kin = up[order]
+    place = np.empty(total)
+    place[order] = np.arange(total) - np.searchsorted(np.where(has[order], kin, 2 * total), np.where(has[order], kin, 2 * total))
+    children = np.bincount(up[has], minlength=total)
+    kind = up * (len(TAGS) + 1) + np.where(leaf, len(TAGS), group)
+    _, alike, count = np.unique(np.where(has, kind, -1), return_inverse=True, return_counts=True)
+    all_chars = np.maximum(before[start[1:]] - before[start[:-1]], 1)[forest.page]
+    x = np.zeros((total, FEATURES))
+    rows = np.arange(total)
+    x[rows, _AT["tag_" + TAGS[0]] + group] = 1
+    x[rows[has], _AT["up_" + TAGS[0]] + group[up[has]]] = 1
+    x[:, _AT["own_content"]:_AT["own_content"] + len(WORDS)] = own
+    x[:, _AT["above_content"]:_AT["above_content"] + len(WORDS) + 2] = above
+    brothers = children[up]
+    columns = {
+        "leaf": leaf, "of_siblings": np.where(has, place / np.maximum(brothers, 1), 0), "siblings": np.where(has, np.minimum(brothers, 50), 0),
+        "same_siblings": np.where(has, count[alike] / np.maximum(brothers, 1), 0),
+        "sibling_chars": np.where(has, np.log1p((chars[up] - chars) * has / np.maximum(brothers - 1, 1)), 0),
+        "depth": np.minimum(forest.depth, 40), "chars": np.log1p(chars), "tags": np.log1p(inner_tags),
+        "density": np.log1p(chars / np.maximum(inner_tags, 1)), "links": links / np.maximum(chars, 1), "paragraphs": np.log1p(paragraphs),
+        "blocks": np.log1p(blocks), "mean_block": np.log1p(chars / np.maximum(blocks, 1)),
+        "stops": np.minimum(stops / np.maximum(chars, 1) * 50, 5),
+        "place": (before[first_block] - before[start[forest.page]]) / all_chars, "share": chars / all_chars,
+        "title": np.array([t == "h1" for t in tags])}
+    for name, values in columns.items():
+        x[:, _AT[name]] = values
+    return x, forest

@@ -3,18 +3,20 @@
 Every element and every text block of a page is a node with features: tag and parent's tag, words of class, id and role of
 the node and above it, depth, place among its siblings, subtree sizes, text density, share of link text. Boosted trees
 (Spark's) estimate whether main text lies in the node. Decoding then keeps the likeliest set of nodes in which every kept
-node's parent is kept, so a block can never be kept inside a dropped subtree, nor a subtree dropped around a kept block.
+node's parent is kept and every kept element has a kept child, so a block can never be kept inside a dropped subtree, nor a
+subtree dropped around a kept block or kept without one.
 
 There are no labelled pages, so training labels itself, on at most ``SAMPLE`` pages drawn by a hash: pages with an article
 or main element give their nodes as they are; and each page's paragraphs are laid out again in ``LAYOUTS`` random pages
 (containers with and without telling names, headers, menus, sidebars, adverts, notices, forms, comments, footers, made of
-the page's own words) of which the main text is known.
+the page's own words; short, loud and repeated blocks among the paragraphs) of which the main text is known.
 
 The text is the kept blocks in page order: character references decoded, white space inside a block turned into one blank,
 blocks joined by an empty line. Nothing is cut.
 
-Cases: null or empty html, or html without text, gives an empty text. Broken html is read as far as it goes: an
-svg, noscript or template element without an end hides nothing, a script or style without one hides the rest. If no page of
+Cases: null or empty html, or html without text, gives an empty text. Broken html is read as far as it goes, in one pass: a
+script, style or comment without an end hides the rest, an svg, noscript, template, iframe, textarea or title without one hides nothing; a
+quote opens a value only right after an equals sign and if it is closed, and a tag that does not close ends at the next ">". If no page of
 the sample has a paragraph to learn from, all blocks outside scripts and styles are kept. Rows are read one by one,
 repeated rows alike; other columns are not returned.
 """
@@ -32,11 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, stored
-from tidemark.llm.dom import FEATURES, Page, decode, features
+from tidemark.llm.dom import FEATURES, Page, features
 
 SAMPLE, LAYOUTS = 250, 4
 TREES, DEPTH = 20, 5
 PARAGRAPH = 60
+PAGES = 64
 _OUTSIDE = frozenset("nav footer aside form header".split())
 
 
@@ -117,6 +120,12 @@ def layout(blocks: list[str], draw: np.random.Generator) -> tuple[str, set[str]]
             inner = pick("<b>{}</b>", "<em>{}</em>", "<span>{}</span>", "<b>{}<br>").format(inner)
         closed = f"<{tag}>{inner}</{tag}>" if tag != "p" or draw.random() < 0.8 else f"<p>{inner}"
         body.append({"li": f"<ul>{closed}</ul>", "td": f"<table><tr>{closed}</tr></table>"}.get(tag, closed))
+        if draw.random() < 0.2:
+            # a cry, a line of figures, or a paragraph said again
+            shout = pick(short[i].upper() + pick("!!", "!", "!!!", ""), short[i] + pick(":", " 100%!!", " ..."), text)
+            tag = pick("p", "p", "p", "div", "li")
+            body.append(f"<{tag}>{_escaped(shout)}</{tag}>")
+            main.append(" ".join(shout.split()))
         if draw.random() < 0.06:
             body.append(parts[pick("ad", "share", "side", "notice", "form")])
     inner = "".join(body)
@@ -137,11 +146,11 @@ def layout(blocks: list[str], draw: np.random.Generator) -> tuple[str, set[str]]
 
 def _labelled(page: Page, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of all nodes: an element is kept with any block in it."""
-    x, parent = features(page)
-    y = np.zeros(len(parent))
+    x, forest = features([page])
+    y = np.zeros(len(x))
     y[len(page.tag):] = keep
-    for i in range(len(parent) - 1, 0, -1):
-        y[parent[i]] = max(y[parent[i]], y[i])
+    for here in forest.levels[:0:-1]:
+        np.maximum.at(y, forest.parent[here], y[here])
     return x, y
 
 
@@ -233,17 +242,16 @@ def extracted(pages: DataFrame, trees: Trees | None) -> DataFrame:
     shared = pages.sparkSession.sparkContext.broadcast(trees)
 
     def work(batch: pa.RecordBatch):
-        for low in range(0, batch.num_rows, 64):
-            part = batch.slice(low, 64)
+        for low in range(0, batch.num_rows, PAGES):
+            part = batch.slice(low, PAGES)
             read = [Page(h or "") for h in part.column(2).to_pylist()]
-            found = [features(p) for p in read]
+            x, forest = features(read)
             model = shared.value
-            logit = model.logit(np.concatenate([x for x, _ in found])) if model else np.ones(sum(len(x) for x, _ in found))
-            texts, at = [], 0
-            for page, (x, parent) in zip(read, found):
-                kept = decode(parent, logit[at:at + len(x)])[len(page.tag):]
-                at += len(x)
-                texts.append("\n\n".join(b[1] for b, k in zip(page.blocks, kept) if k))
+            kept = forest.decode(model.logit(x) if model else np.ones(len(x)))
+            texts = []
+            for page, first in zip(read, forest.first):
+                mine = kept[first + len(page.tag):]
+                texts.append("\n\n".join(b[1] for b, k in zip(page.blocks, mine) if k))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     source = pages.select("page_id", "url", "html")
