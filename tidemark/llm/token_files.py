@@ -1,10 +1,10 @@
 """Token ids in files: frequency-ranked ids, each in one to four bytes, with the lengths in control bytes of their own.
 
 Writing. Texts are tokenised once and their ids kept in a scratch table with the count of every id. The most frequent id
-has rank 0, the next rank 1 (equal counts by id), so that the frequent ids take one byte. A document is coded as a control
-stream, two bits an id for its number of bytes, four ids a byte, and a data stream of the ranks' bytes, lowest first. The
-coded documents are dealt by ranges of (doc_id, hash of the text, row of the scratch table), sorted, and packed into blocks
-of about ``BLOCK`` ids of whole documents.
+has rank 0, the next rank 1 (equal counts by id), so that the frequent ids take one byte. The documents are dealt by ranges of
+(doc_id, hash of the text, row of the scratch table), sorted, and packed into blocks of about ``BLOCK`` ids of whole
+documents. A block has a control stream, two bits an id for its number of bytes, four ids a byte, and a data stream of the
+ranks' bytes, lowest first.
 
 Format. ``path/blocks`` is a Parquet table, a row a block: part and block (ascending doc_id is ascending part, block, place
 in the block), first (ids of the part before the block), doc_ids and sizes (of each document, ids), control and data (both
@@ -15,7 +15,7 @@ Reading. The lengths of four ids come from a table of 256 control bytes at once,
 stream, and a table of the ranks gives the ids.
 
 Tokenising. The tokenizer drops white space and none of its pieces spans any, so the ids of a text are those of its runs
-between ASCII white space, one after the other; a worker keeps the ids of up to ``KNOWN`` runs it has seen. The file of the
+between ASCII white space, one after the other; a worker keeps the ids of about ``KNOWN`` runs and pieces it has seen. The file of the
 tokenizer is read by the driver and sent to the workers, whose own disks need not have it. For a tokenizer that does not
 drop white space (``spaced=False``) whole texts are given to it.
 
@@ -26,19 +26,22 @@ columns are not read. One document is coded in one task, whatever its length.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import map_batches, stored
+from tidemark.llm.common import drop_stored, map_batches, stored
 from tidemark.session import scratch_path
 
 END = 1
@@ -52,18 +55,19 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.ui
 
 # ---- the code ----------------------------------------------------------------
 
-def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data stream of unsigned 32-bit ranks."""
-    ranks = ranks.astype(np.uint32)
-    count = len(ranks)
+def encode(ranks: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data stream of the unsigned 32-bit ranks of consecutive documents of ``sizes`` ids, each of which begins
+    with a control byte of its own."""
+    ranks, sizes = ranks.astype(np.uint32), np.asarray(sizes, dtype=np.int64)
     length = 1 + (ranks >= 1 << 8).astype(np.int64) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
     place = np.cumsum(length) - length
     data = np.empty(int(length.sum()), dtype=np.uint8)
     for byte in range(4):
         has = length > byte
         data[place[has] + byte] = (ranks[has] >> np.uint32(8 * byte)) & np.uint32(255)
-    slots = np.zeros(-(-count // 4) * 4, dtype=np.uint8)
-    slots[:count] = length - 1
+    room = -(-sizes // 4) * 4
+    slots = np.zeros(int(room.sum()), dtype=np.uint8)
+    slots[np.arange(len(ranks)) + np.repeat(np.cumsum(room - sizes) - (room - sizes), sizes)] = length - 1
     four = slots.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
     return control.astype(np.uint8).tobytes(), data.tobytes()
@@ -89,52 +93,103 @@ def decode(control: bytes, data: bytes, sizes: np.ndarray) -> np.ndarray:
 # ---- tokenising --------------------------------------------------------------
 
 class Encoder:
-    """Ids of texts by a tokenizer of the tokenizers library, as bytes of little-endian unsigned 32-bit integers."""
+    """Ids of texts by a tokenizer of the tokenizers library, as bytes of little-endian unsigned integers of ``width`` bytes.
 
-    def __init__(self, model: str, spaced: bool):
+    The ids of a run between white space are those of its pieces, and a worker keeps the ids of the runs and pieces it has
+    seen. Where the file cuts texts by a pattern and lower-cases them, runs of letters that it would only lower-case (ASCII and
+    the letters of Latin-1) are cut here by its own pattern, so that only new pieces go through the merges; all other runs go
+    through the whole tokenizer.
+    """
+
+    def __init__(self, model: str, spaced: bool, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.spaced, self.known = Tokenizer.from_str(model), spaced, {}
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        self.tokenizer, self.spaced, self.kind = Tokenizer.from_str(model), spaced, f"<u{width}"
+        self.runs: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.cut = self.plain = None
+        told = json.loads(model)
+        if [step["type"] for step in (told["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
+            steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+            if [step["type"] for step in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]:
+                self.cut = regex.compile(steps[0]["pattern"]["Regex"])
+                # ASCII without white space and control characters, and letters of Latin-1; no added token can begin in it
+                first = {token["content"][:1] for token in told["added_tokens"]}
+                plain = [*map(chr, range(0x21, 0x7F)), *(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())]
+                self.plain = regex.compile("[" + "".join(regex.escape(c) for c in plain if c not in first) + "]+").fullmatch
+                self.letters = first.isdisjoint("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+                self.merges = Tokenizer.from_str(json.dumps(told | {"normalizer": None, "pre_tokenizer": steps[1]}))
+
+    def encoded(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        found = [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), dtype=self.kind).tobytes()
+        ends = np.cumsum([0, *map(len, found)]) * np.dtype(self.kind).itemsize
+        return [flat[low:high] for low, high in pairwise(ends.tolist())]
+
+    def learn(self, runs: list[bytes]) -> None:
+        """Puts the ids of new runs into ``runs``."""
+        whole, cut = [], {}
+        letters = self.plain and self.letters
+        for run in runs:
+            if letters and run.isalpha():  # of bytes: ASCII letters
+                cut[run] = (run.lower().decode(),)
+                continue
+            text = run.decode()
+            if self.plain and self.plain(text):
+                low = text.lower()
+                cut[run] = (low,) if low.isalpha() else self.cut.findall(low)
+            else:
+                whole.append(text)
+        new = list(set(filterfalse(self.pieces.__contains__, chain.from_iterable(cut.values()))))
+        if new:
+            self.pieces.update(zip(new, self.encoded(new, self.merges)))
+        known = self.pieces
+        for run, found in cut.items():
+            self.runs[run] = known[found[0]] if len(found) == 1 else b"".join([known[piece] for piece in found])
+        self.runs.update(zip((text.encode() for text in whole), self.encoded(whole)))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.spaced:
             return self.encoded(texts)
         # bytes.split() cuts at ASCII white space only
         runs = [text.encode().split() for text in texts]
-        new = list({run for of_text in runs for run in of_text} - self.known.keys())
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = list({run for of_text in runs for run in of_text})
-        self.known.update(zip(new, self.encoded([run.decode() for run in new])))
-        return [b"".join(map(self.known.__getitem__, of_text)) for of_text in runs]
+        if len(self.runs) > KNOWN:
+            self.runs.clear()
+        if len(self.pieces) > KNOWN:
+            self.pieces.clear()
+        self.learn(list(set(filterfalse(self.runs.__contains__, chain.from_iterable(runs)))))
+        return [b"".join(map(self.runs.__getitem__, of_text)) for of_text in runs]
 
 
-_ENCODERS: dict[tuple[int, bool], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(model: str, spaced: bool) -> Encoder:
+def encoder(model: str, spaced: bool, width: int) -> Encoder:
     """The worker's encoder, kept from task to task."""
-    key = (zlib.crc32(model.encode()), spaced)
+    key = (zlib.crc32(model.encode()), spaced, width)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(model, spaced)
+        _ENCODERS[key] = Encoder(model, spaced, width)
     return _ENCODERS[key]
 
 
-def tokenised(documents: DataFrame, tokenizer: str, end: int = END, spaced: bool = True) -> DataFrame:
-    """doc_id, key (hash of the text), ids (unsigned 32-bit, the end id last) and counts (null but for the last row of a
-    task, which has no document: pairs of id and count)."""
-    with open(tokenizer, encoding="utf-8") as file:
-        model = documents.sparkSession.sparkContext.broadcast(file.read())  # as large as the tokenizer's file
-    last = np.array([end], dtype="<u4").tobytes()
+def bytes_of_id(model: str, end: int) -> int:
+    """Bytes of the ids of a tokenizer and of the end id as they are kept until they are coded."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_str(model).get_vocab_size(), end + 1) <= 1 << 16 else 4
+
+
+def tokenised(documents: DataFrame, model: str, width: int, end: int = END, spaced: bool = True) -> DataFrame:
+    """doc_id, key (hash of the text), ids (unsigned, of ``width`` bytes, the end id last) and counts (null but for the last
+    row of a task, which has no document: pairs of id and count)."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # as large as the tokenizer's file
+    kind = f"<u{width}"
+    last = np.array([end], dtype=kind).tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(model.value, spaced)
+        own = encoder(shared.value, spaced, width)
         counts = np.zeros(0, dtype=np.int64)
         id_type = None
         for batch in batches:
@@ -148,7 +203,7 @@ def tokenised(documents: DataFrame, tokenizer: str, end: int = END, spaced: bool
                     high += 1
                 texts = [text or "" for text in batch.column(2).slice(low, high - low).to_pylist()]
                 ids = [found + last for found in own.ids(texts)]
-                seen = np.bincount(np.frombuffer(b"".join(ids), dtype="<u4"), minlength=len(counts))
+                seen = np.bincount(np.frombuffer(b"".join(ids), dtype=kind), minlength=len(counts))
                 seen[:len(counts)] += counts
                 counts = seen
                 yield pa.RecordBatch.from_arrays(
@@ -181,7 +236,10 @@ def counted(tokens: DataFrame) -> DataFrame:
 def write_token_files(documents: DataFrame, path: str, tokenizer: str, end: int = END, spaced: bool = True) -> None:
     """The token files of all documents below ``path``."""
     spark = documents.sparkSession
-    tokens = stored(tokenised(documents, tokenizer, end, spaced).withColumn("row", F.monotonically_increasing_id()), "token_ids")
+    with open(tokenizer, encoding="utf-8") as file:
+        model = file.read()
+    width = bytes_of_id(model, end)
+    tokens = stored(tokenised(documents, model, width, end, spaced).withColumn("row", F.monotonically_increasing_id()), "token_ids", "zstd")
     # a row an id of the vocabulary at most
     counts = counted(tokens).toArrow()
     ids, count = counts["id"].to_numpy(), counts["count"].to_numpy()
@@ -192,22 +250,9 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end: int
     rank_of[ids[order]] = np.arange(len(order))
     shared = spark.sparkContext.broadcast(rank_of)
 
-    def code(batch: pa.RecordBatch):
-        sizes, control, data = [], [], []
-        for ids_of in batch.column(3):
-            ranks_of = shared.value[np.frombuffer(ids_of.as_buffer(), dtype="<u4")]
-            one, two = encode(ranks_of)
-            sizes.append(len(ranks_of))
-            control.append(one)
-            data.append(two)
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(k) for k in range(3)), pa.array(sizes, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-            ["doc_id", "key", "row", "size", "control", "data"])
-
-    kind = dict(tokens.dtypes)["doc_id"]
-    coded = map_batches(tokens.filter("ids IS NOT NULL").select("doc_id", "key", "row", "ids"), code,
-                        f"doc_id {kind}, key long, row long, size long, control binary, data binary")
-    dealt = coded.repartitionByRange("doc_id", "key", "row").sortWithinPartitions("doc_id", "key", "row")
+    # the ids as they are: coding them first would be done twice, since ranges are found by a look at all rows
+    dealt = (tokens.filter("ids IS NOT NULL").select("doc_id", "key", "row", "ids")
+             .repartitionByRange("doc_id", "key", "row").sortWithinPartitions("doc_id", "key", "row").select("doc_id", "ids"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, first = TaskContext.get().partitionId(), 0, 0
@@ -215,16 +260,18 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end: int
         total = 0
 
         def packed() -> pa.RecordBatch:
-            doc_ids, sizes, control, data = (pa.concat_arrays([rows.column(k) for rows in held]) for k in range(4))
+            doc_ids, ids = (pa.concat_arrays([rows.column(k) for rows in held]) for k in range(2))
+            sizes = pc.binary_length(ids).to_numpy() // width
+            control, data = encode(shared.value[np.frombuffer(b"".join(ids.to_pylist()), dtype=f"<u{width}")], sizes)
             bounds = pa.array([0, len(doc_ids)], pa.int32())
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()),
-                 pa.ListArray.from_arrays(bounds, doc_ids), pa.ListArray.from_arrays(bounds, sizes),
-                 pa.array([b"".join(control.to_pylist())], pa.binary()), pa.array([b"".join(data.to_pylist())], pa.binary())],
+                 pa.ListArray.from_arrays(bounds, doc_ids), pa.ListArray.from_arrays(bounds, pa.array(sizes, pa.int64())),
+                 pa.array([control], pa.binary()), pa.array([data], pa.binary())],
                 ["part", "block", "first", "doc_ids", "sizes", "control", "data"])
 
         for batch in batches:
-            sizes = batch.column(1).to_numpy()
+            sizes = pc.binary_length(batch.column(1)).to_numpy() // width
             low = 0
             for high in range(1, batch.num_rows + 1):
                 total += int(sizes[high - 1])
@@ -237,9 +284,10 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end: int
         if held:
             yield packed()
 
-    (dealt.select("doc_id", "size", "control", "data")
-     .mapInArrow(pack, f"part int, block int, first long, doc_ids array<{kind}>, sizes array<long>, control binary, data binary")
+    kind = dict(tokens.dtypes)["doc_id"]
+    (dealt.mapInArrow(pack, f"part int, block int, first long, doc_ids array<{kind}>, sizes array<long>, control binary, data binary")
      .write.option("compression", "zstd").parquet(f"{path}/blocks"))
+    drop_stored(tokens)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
