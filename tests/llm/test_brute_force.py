@@ -231,16 +231,15 @@ def test_html_main_text(spark, sf_dir):
     assert op4_html(pages.limit(0)).count() == 0
 
 
-def test_html_main_text_of_pages_outside_the_sample(spark, monkeypatch):
-    monkeypatch.setattr(html, "SAMPLE", 60)
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+def test_html_main_text_of_pages_outside_the_sample(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     got = {r["page_id"]: r["text"] for r in op4_html(pages).collect()}
-    learnt = {r["draw"] for r in pages.select(F.xxhash64("page_id", "url", F.lit(4)).alias("draw")).distinct().orderBy("draw").limit(60).collect()}
-    outside = pages.select("page_id", "html", F.xxhash64("page_id", "url", F.lit(4)).alias("draw")).collect()
-    outside = [r for r in outside if r["draw"] not in learnt]
+    draw = F.xxhash64("page_id", "url", F.lit(4)).alias("draw")
+    learnt = {r["draw"] for r in pages.select(draw).distinct().orderBy("draw").limit(html.SAMPLE).collect()}
+    outside = [r for r in pages.select("page_id", "html", draw).collect() if r["draw"] not in learnt]
     wrong = [r["page_id"] for r in outside
              if got[r["page_id"]] != "\n\n".join(b[1] for b in Page(re.search(r"<article>(.*)</article>", r["html"], re.S)[1]).blocks)]
-    assert len(outside) > 150 and len(wrong) <= len(outside) // 100
+    assert len(outside) == 2250 and len(wrong) <= 4
 
 
 # ---- 5 personal data --------------------------------------------------------
