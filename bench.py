@@ -19,8 +19,8 @@ from statistics import median
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog.queries import catalog
-from tidemark.operators.checks import run_checks
-from tidemark.plans import build, load
+from tidemark.plans import load, refresh
+from tidemark.plans.run import publish, tests_of
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import records, tables
 from tidemark.sources.lake import Lake
@@ -44,9 +44,9 @@ def timed(action) -> float:
 
 
 def build_and_test(lake: Lake, run_id: str, snapshot_at: datetime, first: date | None = None, last: date | None = None) -> None:
-    built = build.build_all(lake, run_id, snapshot_at, first, last)
-    built["mart_daily_commerce"] = lake.read("marts", "mart_daily_commerce").drop("mart_month")
-    drain(run_checks(build.data_tests(lake.read("raw", "bronze_events"), built)))
+    one = refresh.Build(lake, run_id, snapshot_at, first, last)
+    tested = tests_of(lake, one.run(), one.changed_tables())
+    publish(lake, one, tested)
 
 
 def run_steps(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], int]:

@@ -938,3 +938,30 @@ EXPECTED["stream_resume"] = sql(
         f"count(*) FILTER (n % 2 = {half} AND invalid_reason IS NULL) AS new_bronze_events, "
         f"count(*) FILTER (n % 2 = {half} AND invalid_reason IS NOT NULL) AS new_quarantine_events, "
         f"0 AS duplicate_event_ids FROM bronze" for run, half in ((1, 0), (2, 2), (3, 1))) + ")", "bronze")
+
+# ---- kept up over several loads ----------------------------------------------
+
+for _name in TABLES:
+    EXPECTED[f"current_{_name}_incremental"] = EXPECTED[f"current_{_name}"]
+EXPECTED["incremental_build"] = sql(
+    "SELECT 'during' AS seen, * FROM daily UNION ALL SELECT 'after' AS seen, * FROM daily_now", "daily", "daily_now")
+EXPECTED["fact_orders_interleaved"] = EXPECTED["fact_orders_asof"]
+EXPECTED["stream_event_order"] = EXPECTED["event_order"]
+_PLAIN_CUSTOMER = ", ".join(ENTITIES["customers"].columns)
+EXPECTED["customer_event_history"] = sql(f"""
+  SELECT {', '.join(SHAPES['customers'])},
+         md5(CAST(customer_id AS VARCHAR) || '|' || CAST(valid_from AS VARCHAR) || '+00'
+           || CASE WHEN is_deleted THEN '|deleted' ELSE '' END) AS scd_id, {_VALIDITY}
+  FROM (
+    SELECT * REPLACE (make_timestamp(valid_from * 1000) AS valid_from, make_timestamp(valid_to * 1000) AS valid_to)
+    FROM (
+      SELECT o.*, e.source_timestamp_ms AS valid_from, lead(e.source_timestamp_ms) OVER (PARTITION BY e.customer_id ORDER BY e.source_timestamp_ms)
+               AS valid_to, e.version = 2 AS is_deleted
+      FROM customers_log e JOIN (SELECT {_PLAIN_CUSTOMER}, version FROM customers_log) o ON o.customer_id = e.customer_id
+       AND o.version = CASE WHEN e.version <> 2 THEN e.version WHEN e.customer_id % 10 = 0 THEN 1 ELSE 0 END))""", "customers_log")
+EXPECTED["offset_gaps"] = """
+  SELECT kafka_topic, kafka_partition, previous + 1 AS first_missing, kafka_offset - 1 AS last_missing, kafka_offset - previous - 1 AS missing
+  FROM (SELECT *, lag(kafka_offset) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) AS previous
+        FROM (SELECT 'TOPIC.events' AS kafka_topic, event_id % 3 AS kafka_partition, event_id // 3 AS kafka_offset
+              FROM events WHERE event_id % 89 >= 4))
+  WHERE kafka_offset - previous > 1""".replace("TOPIC", TOPIC_PREFIX)

@@ -7,6 +7,7 @@ timestamps as text, arrays joined.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 from functools import reduce
@@ -16,15 +17,17 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import parse_envelope
 from tidemark.operators import aggregates as agg
-from tidemark.operators import audit, checks, dedup, events, policy, staging, star, strict
-from tidemark.operators.current import current_from_raw, current_state
-from tidemark.plans import marts, profiles
+from tidemark.operators import audit, checks, dedup, event_history, events, policy, staging, star, strict
+from tidemark.operators.current import current_from_raw, current_state, live_rows
+from tidemark.plans import marts, profiles, refresh
 from tidemark.plans.build import HISTORY_SCHEMA, build_star
 from tidemark.schemas import ACCEPTED_VALUES, ENTITIES, REQUIRED_METADATA, SOURCE_VALUES, TABLES
 from tidemark.session import scratch_path, use_utc
 from tidemark.sources import records, tables
-from tidemark.sources.lake import HistoryTable, replace_rows, stored
+from tidemark.sources.lake import HistoryTable, Lake, drop_stored, replace_rows, stored
+from tidemark.sources.versions import StateTable, VersionedTable
 from tidemark.streaming.bronze import BronzePaths, read_bronze, read_quarantine, run_bronze_stream, stream_report
+from tidemark.streaming.lateness import start_order_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,6 +197,64 @@ def _current_query(name: str) -> Query:
     return lambda spark, sf: _current(spark, sf, name)
 
 
+def _incremental_query(name: str) -> Query:
+    """The state kept up over four loads, of which the deletes come before the updates they follow: late events lose."""
+    def query(spark, sf):
+        typed = stored(staging.typed_events(staging.normalised_events(_raw_log(spark, sf, name)), name), f"{name}_log")
+        state = StateTable(VersionedTable(spark, scratch_path(spark, f"state_{name}")), ENTITIES[name].key, 8)
+        day = F.floor((F.col("source_timestamp_ms") - tables.LOG_EPOCH_MS) / tables.DAY_MS)
+        version = None
+        for number, loaded in enumerate((0, 2, 1, 3), start=1):
+            version, changes = state.merge(version, number, typed.filter(day == loaded))
+            if changes is not None:
+                drop_stored(changes)
+        return live_rows(state.read(version), name)
+
+    return query
+
+
+class _Died(RuntimeError):
+    pass
+
+
+class _Dying(refresh.Build):
+    """A build that has written states, history, customers and orders when it dies."""
+
+    def dated(self, entity: str, key: str, fact) -> None:
+        raise _Died(entity)
+
+
+def incremental_build(spark, sf):
+    """The daily mart as readers see it while a build on changed data dies (``during``), and after the build that
+    follows (``after``)."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    moment = datetime(2024, 3, 2, tzinfo=timezone.utc)
+    day = F.floor((F.col("source_timestamp_ms") - tables.LOG_EPOCH_MS) / tables.DAY_MS)
+    log = stored(reduce(DataFrame.unionByName, [_raw_log(spark, sf, name) for name in ("customers", "orders", "payments", "shipments")]), "raw")
+
+    def load(rows: DataFrame, hours: int) -> None:
+        later = F.col("warehouse_loaded_at") + F.make_dt_interval(F.lit(0), F.lit(hours))
+        lake.append(rows.withColumn("warehouse_loaded_at", later), "raw", "bronze_events", ("source_table",))
+
+    def seen(when: str) -> DataFrame:
+        mart = lake.read("marts", refresh.DAILY).drop("orchestration_run_id", "refreshed_at")
+        return stored(mart.select(F.lit(when).alias("seen"), "*"), f"daily_{when}")
+
+    def build(run: str, kind: type[refresh.Build] = refresh.Build) -> None:
+        one = kind(lake, run, moment, only=[refresh.DAILY])
+        one.run()
+        one.publish()
+
+    load(log.filter(day == 0), 0)
+    build("first")
+    load(log.filter(day > 0), 1)
+    with contextlib.suppress(_Died):
+        build("dies", _Dying)
+    during = seen("during")
+    build("last")
+    return during.unionByName(seen("after"))
+
+
 # ---- history, dimensions, facts ---------------------------------------------
 
 def scd2_history(spark, sf):
@@ -236,6 +297,16 @@ def fact_orders_asof(spark, sf):
     return star.fact_orders(tables.current(spark, sf, "orders"), star.dim_customers(_history(spark, sf)))
 
 
+def fact_orders_interleaved(spark, sf):
+    return star.fact_orders_interleaved(tables.current(spark, sf, "orders"), star.dim_customers(_history(spark, sf)))
+
+
+def customer_event_history(spark, sf):
+    """Every version of every customer, from the change log alone."""
+    typed = staging.typed_events(staging.normalised_events(_raw_log(spark, sf, "customers")), "customers")
+    return event_history.history_from_events(typed, "customers")
+
+
 def _fact(name: str) -> Query:
     return lambda spark, sf: _facts(spark, sf)[name]
 
@@ -417,10 +488,14 @@ def schema_drift(spark, sf):
     return policy.schema_drift(tables.drifting_records(spark, sf)).drop("record_json")
 
 
-def _with_lateness(spark, sf):
+def _shifted(valid: DataFrame) -> DataFrame:
     n = F.col("kafka_offset")
     shift = F.when(n % 53 == 0, 7_200_000).when(n % 11 == 0, 240_000).otherwise(0)
-    return _valid(spark, sf).withColumn("source_timestamp_ms", F.col("source_timestamp_ms") - shift)
+    return valid.withColumn("source_timestamp_ms", F.col("source_timestamp_ms") - shift)
+
+
+def _with_lateness(spark, sf):
+    return _shifted(_valid(spark, sf))
 
 
 def event_order(spark, sf):
@@ -433,6 +508,10 @@ def out_of_order(spark, sf):
         "kafka_topic", "kafka_partition", "kafka_offset", "source_timestamp_ms", "previous_timestamp_ms")
 
 
+def offset_gaps(spark, sf):
+    return policy.offset_gaps(tables.gapped_log(spark, sf))
+
+
 def stage_latency(spark, sf):
     return policy.stage_latency(_timed(spark, sf))
 
@@ -610,6 +689,20 @@ def stream_dedup(spark, sf):
     return read_bronze(spark, paths).select("event_id", "source_table", "operation", "kafka_offset")
 
 
+def stream_event_order(spark, sf):
+    """The classes of ``event_order`` found while streaming, over three runs on one checkpoint."""
+    root = scratch_path(spark, "order")
+    arrivals = stored(tables.stream_records(spark, sf), "records")
+    last = arrivals.agg(F.max("offset")).first()[0] or 0
+    for run in range(3):
+        third = arrivals.filter(F.least(F.floor(F.col("offset") * 3 / (last + 1)), F.lit(2)) == run)
+        third.write.mode("append").parquet(f"{root}/records")
+        valid = events.valid_events(events.bronze_events(records.file_stream(spark, f"{root}/records"), RUN_ID))
+        start_order_stream(_shifted(valid), f"{root}/order", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/order/classes").select(
+        "kafka_offset", "order_status", "event_delay_seconds", "is_out_of_order", "is_late", "requires_backfill")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         event_ids, event_validity, quarantine_counts, strict_validity, record_keys, topic_summary, dedup_events,
@@ -621,10 +714,12 @@ QUERIES: dict[str, Query] = {
         source_profile, schema_drift, event_order, out_of_order, stage_latency, freshness, latency_percentiles,
         latency_percentiles_approx, reconciliation, event_reconciliation, completeness, change_sequence, slo_checks,
         bronze_profile, null_counts, raw_quality, metadata_counts, distinct_counts, warehouse_profile, audit_profile,
-        audit_checks, recovered_failures, run_audit, dashboard_cards, stream_bronze, stream_resume, stream_dedup)
+        audit_checks, recovered_failures, run_audit, dashboard_cards, stream_bronze, stream_resume, stream_dedup,
+        fact_orders_interleaved, customer_event_history, offset_gaps, stream_event_order, incremental_build)
 }
 QUERIES |= {f"typed_{name}": _typed(name) for name in TABLES}
 QUERIES |= {f"current_{name}": _current_query(name) for name in TABLES}
+QUERIES |= {f"current_{name}_incremental": _incremental_query(name) for name in TABLES}
 QUERIES |= {name: _fact(name) for name in ("fact_order_items", "fact_payments", "fact_shipments")}
 
 

@@ -38,8 +38,13 @@ def current_state(typed: DataFrame, entity: Entity | str) -> DataFrame:
     re-creation shows it again.
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
-    latest = latest_per_key(typed, [entity.key]).filter(~F.col("is_deleted"))
-    return latest.select(
+    return live_rows(latest_per_key(typed, [entity.key]), entity)
+
+
+def live_rows(newest: DataFrame, entity: Entity | str) -> DataFrame:
+    """Current state from the newest event of every key."""
+    entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    return newest.filter(~F.col("is_deleted")).select(
         *entity.columns,
         F.col("event_id").alias("current_event_id"),
         F.col("operation").alias("latest_operation"),

@@ -58,3 +58,16 @@ def with_running_max(
     inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     joined = _with_carry(blocked, keys, summary, F.max("_peak").over(earlier))
     return joined.withColumn(name, F.greatest("_carried", F.max(value).over(inside))).drop("_block", "_carried")
+
+
+def with_last(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column, name: str) -> DataFrame:
+    """The last ``value`` that is not NULL of all rows up to and with this one in its group, by ``order``."""
+    keys = list(keys)
+    blocked = rows.withColumn("_block", block)
+    place = F.when(F.col(value).isNotNull(), F.struct(*order))
+    summary = blocked.groupBy(*keys, "_block").agg(F.max_by(value, place).alias("_edge"))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = _with_carry(blocked, keys, summary, F.last("_edge", ignorenulls=True).over(earlier))
+    return joined.withColumn(
+        name, F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("_carried"))).drop("_block", "_carried")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,6 +106,20 @@ def out_of_order(
     return previous.filter(F.col(time) < F.col("previous_timestamp_ms"))
 
 
+def offset_gaps(
+    records: DataFrame, keys: tuple[str, ...] = ("kafka_topic", "kafka_partition"), offset: str = "kafka_offset",
+    block_size: int = OFFSETS_PER_BLOCK,
+) -> DataFrame:
+    """``first_missing``, ``last_missing`` and ``missing`` of every run of offsets that a topic partition lacks between its first
+    and its last; offsets that came twice make up for nothing. Records without key or offset are left out."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, offset)])
+    present = records.filter(whole).select(*keys, F.col(offset).alias("_offset")).distinct()
+    before = with_previous(present, keys, "_offset", "_offset", offset_block("_offset", block_size), "_previous")
+    return before.filter(F.col("_offset") - F.col("_previous") > 1).select(
+        *keys, (F.col("_previous") + 1).alias("first_missing"), (F.col("_offset") - 1).alias("last_missing"),
+        (F.col("_offset") - F.col("_previous") - 1).alias("missing"))
+
+
 def reconciliation(source: str, target: str) -> dict[str, Column]:
     """Difference columns of two counts; a negative count is an error."""
     a, b = F.col(source), F.col(target)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import surrogate_key, version_key
 from tidemark.functions.measures import hours_between
+from tidemark.operators.asof import as_of
 from tidemark.operators.joins import lookup
 from tidemark.schemas import STAR_TAIL
 
@@ -46,6 +47,13 @@ def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return order_facts(lookup(orders, versions, "customer_id", condition=as_of), "customer_key")
 
 
+def fact_orders_interleaved(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same where a customer may have very many versions and orders: no order
+    is compared with a version that was not the last to begin before it."""
+    versions = customers.filter(~F.col("is_deleted")).select("customer_id", "customer_key", "valid_from", "valid_to")
+    return order_facts(as_of(orders, versions, "customer_id", "ordered_at", ["customer_key"]), "customer_key")
+
+
 def order_facts(orders: DataFrame, *keys: str) -> DataFrame:
     """What the fact has without looking anything up, plus ``keys``: enough for
     daily totals, payments, shipments and reconciliation."""

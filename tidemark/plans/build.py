@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Set
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators import checks as chk
 from tidemark.operators import star
 from tidemark.operators.current import current_from_raw
 from tidemark.plans import marts
-from tidemark.schemas import (
-    ACCEPTED_VALUES, CUSTOMER_SEGMENTS, CUSTOMERS, ENTITIES, OPERATIONS, PRODUCT_SEGMENTS, TABLES)
-from tidemark.sources.lake import HistoryTable, Lake
-
-
-# What the customer history tracks: the customer and where its row came from.
-HISTORY_SCHEMA = T.StructType(CUSTOMERS.schema.fields + [
-    T.StructField("current_event_id", T.StringType()), T.StructField("latest_operation", T.StringType()),
-    T.StructField("source_event_at", T.TimestampType()), T.StructField("warehouse_loaded_at", T.TimestampType())])
-
-
-def customer_history(lake: Lake) -> HistoryTable:
-    return lake.history("snap_customers", HISTORY_SCHEMA, CUSTOMERS.key)
+from tidemark.plans.refresh import HISTORY_SCHEMA, Build, customer_history
+from tidemark.schemas import ACCEPTED_VALUES, CUSTOMER_SEGMENTS, ENTITIES, OPERATIONS, PRODUCT_SEGMENTS, TABLES
+from tidemark.sources.lake import Lake
 
 
 def build_current(raw: DataFrame) -> dict[str, DataFrame]:
@@ -58,61 +47,39 @@ def build_marts(tables: Mapping[str, DataFrame], start: date | None = None, end:
 
 def build_all(lake: Lake, run_id: str, snapshot_at: datetime, start: date | None = None,
               end: date | None = None) -> dict[str, DataFrame]:
-    """Builds and writes every table; later steps read what earlier ones wrote,
-    so no lineage grows and a lost executor costs one step."""
-    raw = lake.read("raw", "bronze_events")
-    current = build_current(raw)
-    written: dict[str, DataFrame] = {}
-    # read by the history, three facts and the tests: written once
-    for name, frame in current.items():
-        written[f"current_{name}"] = lake.overwrite(frame, "snapshots", f"current_{name}")
-    now = F.lit(snapshot_at).cast("timestamp")
-    history = customer_history(lake)
-    history.merge(written["current_customers"], now)
-    written["snap_customers"] = history.read()
-
-    states = {name: written[f"current_{name}"] for name in ENTITIES}
-    written["dim_customers"] = lake.overwrite(star.dim_customers(written["snap_customers"]), "marts", "dim_customers")
-    written["dim_products"] = lake.overwrite(star.dim_products(states["products"]), "marts", "dim_products")
-    for name, frame in {
-        "fact_orders": star.fact_orders(states["orders"], written["dim_customers"]),
-        "fact_order_items": star.fact_order_items(states["order_items"], written["dim_products"]),
-        "fact_payments": star.fact_payments(states["payments"]),
-        "fact_shipments": star.fact_shipments(states["shipments"]),
-    }.items():
-        written[name] = lake.overwrite(frame, "marts", name)
-    for name, frame in build_marts(written, start, end, run_id).items():
-        written[name] = (
-            replace_days(lake, frame) if name == "mart_daily_commerce" else lake.overwrite(frame, "marts", name))
+    """Brings every table up to date and publishes them; see :mod:`tidemark.plans.refresh`."""
+    build = Build(lake, run_id, snapshot_at, start, end)
+    written = build.run()
+    build.publish()
     return written
 
 
-def replace_days(lake: Lake, days: DataFrame) -> DataFrame:
-    """Replaces the given days of the daily mart, which is stored by month."""
-    month = F.trunc("order_date", "month")
-    return lake.replace_by_key(days, "marts", "mart_daily_commerce", "order_date", "mart_month", month).drop(
-        "mart_month")
-
-
-def data_tests(raw: DataFrame, t: Mapping[str, DataFrame]) -> list[chk.DataTest]:
-    """Every data test. ``t`` maps table names to frames: current_*,
+def data_tests(raw: DataFrame, t: Mapping[str, DataFrame], changed: Set[str] | None = None) -> list[chk.DataTest]:
+    """Every data test, or those that look at a ``changed`` table. ``t`` maps table names to frames: current_*,
     snap_customers, dim_*, fact_*, mart_*."""
+    def looked_at(*tables: str) -> bool:
+        return changed is None or not changed.isdisjoint(tables)
+
     normal = raw.withColumn("record_json", F.coalesce(
         F.nullif("after_json", F.lit("")), F.nullif("before_json", F.lit(""))))
     frames = {**t, "bronze_events": normal, "stg_bronze_events": normal}
     tests: list[chk.DataTest] = []
 
     def unique(table: str, *columns: str) -> None:
-        tests.extend(chk.DataTest("unique", table, c, frames[table]) for c in columns)
+        if looked_at(table):
+            tests.extend(chk.DataTest("unique", table, c, frames[table]) for c in columns)
 
     def filled(table: str, *columns: str) -> None:
-        tests.extend(chk.DataTest("not_null", table, c, frames[table]) for c in columns)
+        if looked_at(table):
+            tests.extend(chk.DataTest("not_null", table, c, frames[table]) for c in columns)
 
     def related(child: str, column: str, parent: str) -> None:
-        tests.append(chk.DataTest("relationships", child, column, frames[child], parent=frames[parent]))
+        if looked_at(child, parent):
+            tests.append(chk.DataTest("relationships", child, column, frames[child], parent=frames[parent]))
 
     def listed(table: str, column: str, values) -> None:
-        tests.append(chk.DataTest("accepted_values", table, column, frames[table], values=tuple(values)))
+        if looked_at(table):
+            tests.append(chk.DataTest("accepted_values", table, column, frames[table], values=tuple(values)))
 
     metadata = ("event_id", "operation", "source_table", "kafka_topic", "kafka_partition", "kafka_offset")
     unique("bronze_events", "event_id")
@@ -164,12 +131,16 @@ def data_tests(raw: DataFrame, t: Mapping[str, DataFrame]) -> list[chk.DataTest]
     listed("mart_product_performance", "product_performance_segment", [n for n, _ in PRODUCT_SEGMENTS])
 
     facts = [t[n] for n in ("fact_orders", "fact_payments", "fact_shipments", "mart_daily_commerce")]
-    for name, failing in {
-        "history_has_no_overlap": chk.history_overlaps(t["snap_customers"]),
-        "one_open_version": chk.not_one_open_version(t["snap_customers"]),
-        "item_totals_match": chk.item_totals_differ(t["fact_orders"], t["fact_order_items"]),
-        "payment_totals_match": chk.payment_totals_differ(t["fact_orders"], t["fact_payments"]),
-        "daily_mart_reconciles": chk.daily_mart_differs(*facts),
-    }.items():
-        tests.append(chk.DataTest("singular", name, None, failing))
+    singular = {
+        "history_has_no_overlap": (chk.history_overlaps(t["snap_customers"]), ["snap_customers"]),
+        "one_open_version": (chk.not_one_open_version(t["snap_customers"]), ["snap_customers"]),
+        "item_totals_match": (chk.item_totals_differ(t["fact_orders"], t["fact_order_items"]), ["fact_orders", "fact_order_items"]),
+        "payment_totals_match": (chk.payment_totals_differ(t["fact_orders"], t["fact_payments"]), ["fact_orders", "fact_payments"]),
+        "daily_mart_reconciles": (
+            chk.daily_mart_differs(*facts), ["fact_orders", "fact_payments", "fact_shipments", "mart_daily_commerce"]),
+    }
+    tests.extend(chk.DataTest("singular", name, None, failing) for name, (failing, of) in singular.items() if looked_at(*of))
     return tests
+
+
+__all__ = ["HISTORY_SCHEMA", "build_all", "build_current", "build_marts", "build_star", "customer_history", "data_tests"]

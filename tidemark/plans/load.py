@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import (
     dedup_events, in_partitions, load_audit_row, load_verification, new_events, stamped, touched_partitions)
+from tidemark.plans.refresh import built_until
 from tidemark.schemas import BRONZE_COLUMNS, RAW_SCHEMA
 from tidemark.sources.lake import Lake, require_columns, stored
 
@@ -58,7 +59,9 @@ def _load(lake: Lake, bronze: DataFrame, run_id: str, started: datetime) -> Load
     touched = stored(touched_partitions(source), "touched")
     target = in_partitions(lake.read_optional("raw", "bronze_events", RAW_SCHEMA), touched)
     before = target.count()
-    fresh = stamped(dedup_events(new_events(source, target)))
+    # later than all that was built from, whatever the clock says
+    now = F.greatest(F.current_timestamp(), F.timestamp_micros(F.lit(built_until(lake) + 1)))
+    fresh = stamped(dedup_events(new_events(source, target)), now)
     # each task writes into few partitions; large ones are shared by several tasks
     salt = F.pmod(F.xxhash64("event_id"), F.lit(WRITERS))
     lake.append(fresh.repartition(*RAW_PARTITIONS, salt), "raw", "bronze_events", RAW_PARTITIONS)

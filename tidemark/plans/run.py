@@ -16,11 +16,12 @@ from tidemark.operators import policy
 from tidemark.operators.audit import RunWindow, run_event, runs_from_log
 from tidemark.operators.checks import run_checks
 from tidemark.plans import profiles
-from tidemark.plans.build import build_all, data_tests
+from tidemark.plans.build import data_tests
 from tidemark.plans.load import load_runs
+from tidemark.plans.refresh import Build, expire
 from tidemark.schemas import ENTITIES, LOAD_AUDIT_SCHEMA, MAX_BACKFILL_DAYS, RUN_LOG_SCHEMA
 from tidemark.session import use_utc
-from tidemark.sources.lake import Lake
+from tidemark.sources.lake import Lake, existing
 from tidemark.streaming.bronze import BronzePaths, read_bronze, read_quarantine, run_bronze_stream, stream_report
 
 
@@ -104,8 +105,9 @@ def stream_problems(report: DataFrame, read: Mapping[str, int]) -> list[str]:
 def run(spark: SparkSession, config: RunConfig) -> str:
     """One run, incremental or backfill, with its audit; returns the run id.
 
-    Both modes stream, load, build everything and test it; a backfill narrows
-    only the daily mart, to its window. Every step is followed by a look at its
+    Both modes stream, load, bring all tables up to date and test what changed; a
+    backfill narrows only the daily mart, to its window. What a run builds is
+    published at its end, all tables at once. Every step is followed by a look at its
     own report, and a report that is not valid ends the run. A failing step is
     recorded with its name before the error goes on.
     """
@@ -134,14 +136,11 @@ def run(spark: SparkSession, config: RunConfig) -> str:
         gate(step, [] if loaded.report.first()["valid"] else ["the load verification failed"])
 
         step = "build"
-        built = build_all(
-            lake, run_id, config.snapshot_at or datetime.now(timezone.utc), window.first, window.last)
-        # the daily mart of a backfill is its window; tests look at the whole table
-        built["mart_daily_commerce"] = lake.read("marts", "mart_daily_commerce").drop("mart_month")
+        build = Build(lake, run_id, config.snapshot_at or datetime.now(timezone.utc), window.first, window.last)
+        built = build.run()
 
         step = "data_tests"
-        tested = lake.overwrite(
-            run_checks(data_tests(lake.read("raw", "bronze_events"), built)), "audit", "data_tests")
+        tested = tests_of(lake, built, build.changed_tables())
         failed = [r["check_name"] for r in tested.filter("NOT passed").select("check_name").collect()]
         gate(step, [name for name in failed if name not in config.reported_only])
 
@@ -152,6 +151,9 @@ def run(spark: SparkSession, config: RunConfig) -> str:
                 {n: built[f"current_{n}"] for n in ENTITIES}),
             "audit", "warehouse_profile")
         gate(step, empty_tables(metrics))
+
+        step = "publish"
+        publish(lake, build, tested)
         log.succeed(run_id, {"inserted": loaded.inserted, "reported": ",".join(failed)})
     except Exception as error:
         log.fail(run_id, step, str(error))
@@ -159,6 +161,29 @@ def run(spark: SparkSession, config: RunConfig) -> str:
     return run_id
 
 
+def tests_of(lake: Lake, built: Mapping[str, DataFrame], changed: set[str]) -> DataFrame:
+    """Results of all data tests, written down. Those that look at no changed table are what they were when the last
+    published build was tested; a row a test."""
+    raw = lake.read("raw", "bronze_events")
+    known = existing(lake.spark, lake.path("audit", "published_data_tests"))
+    again = None
+    if known is not None:
+        last = lake.publication().last()
+        known = known.filter(F.col("build") == F.lit(last)).drop("build")
+        again = data_tests(raw, built, changed) if not known.isEmpty() else None
+    if again is None:
+        return lake.overwrite(run_checks(data_tests(raw, built)), "audit", "data_tests")
+    rest = known.filter(~F.col("check_name").isin([test.name for test in again]))
+    return lake.overwrite(rest.unionByName(run_checks(again)) if again else rest, "audit", "data_tests")
+
+
+def publish(lake: Lake, build: Build, tested: DataFrame) -> None:
+    """Makes a build what readers see, keeps what its tests found, and drops what only old builds needed."""
+    build.publish()
+    lake.overwrite(tested.withColumn("build", F.lit(lake.publication().last())), "audit", "published_data_tests")
+    expire(lake)
+
+
 def empty_tables(metrics: DataFrame) -> list[str]:
     """Facts and dimensions that came out empty though their entity has rows."""
     pairs = {

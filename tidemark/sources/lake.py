@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.current import live_rows
 from tidemark.operators.scd2 import HISTORY_TAIL, merge_versions
 from tidemark.session import scratch_path
+from tidemark.sources.files import remove
 
 # Which folder holds the tables of a layer, and which layers stay views.
 LAYER_FOLDERS = {
@@ -65,8 +67,25 @@ class Lake:
         return f"{folder}/{table}" if table else folder
 
     def read(self, layer: str, table: str | None = None) -> DataFrame:
+        """A table; one that builds publish as the newest published build left it."""
+        if table and layer in ("snapshots", "marts"):
+            state = table.replace("current_", "state_")
+            known = self.publication().tables()
+            if state in known:
+                found = self.versioned(state).read(known[state][0])
+                return live_rows(found, table.removeprefix("current_")) if state != table else found
         return self.spark.read.parquet(self.path(layer, table))
 
+    def publication(self) -> "Publication":
+        from tidemark.sources.versions import Publication
+
+        return Publication(self.spark, f"{self.root}/published")
+
+    def versioned(self, table: str) -> "VersionedTable":
+        from tidemark.sources.versions import VersionedTable
+
+        return VersionedTable(self.spark, f"{self.root}/versions/{table}")
+
     def read_optional(self, layer: str, table: str | None, schema: T.StructType) -> DataFrame:
         return read_optional(self.spark, self.path(layer, table), schema)
 
@@ -167,9 +186,16 @@ class HistoryTable:
     def read(self) -> DataFrame:
         return self._committed(self.last_merge(), closed=True)
 
-    def merge(self, current: DataFrame, snapshot_at: Column, updated_at: str = "updated_at") -> int:
-        """Merges a current state; returns the number of the merge."""
-        last = self.last_merge()
+    def read_at(self, merge: int) -> DataFrame:
+        """The history as it was after a merge."""
+        return self._committed(merge, closed=True)
+
+    def merge(
+        self, current: DataFrame, snapshot_at: Column, updated_at: str = "updated_at", base: int | None = None
+    ) -> int:
+        """Merges a current state; returns the number of the merge. With ``base``, what was merged after that merge is
+        replaced: a build that did not come to its end."""
+        last = self.last_merge() if base is None else base
         tracked = current.select(*self.tracked.fieldNames())
         versions = merge_versions(
             self._committed(last, closed=False), tracked, snapshot_at, self.key, updated_at)
@@ -181,22 +207,16 @@ class HistoryTable:
         return last + 1
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``frame`` as a table in the shared scratch folder. Cuts lineage, and what
     is used several times is computed once and survives its executors."""
     path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     table = frame.sparkSession.read.schema(frame.schema).parquet(path)
     table.scratch = path
     return table
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of the shared file system, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def drop_stored(*tables: DataFrame) -> None:
     """Deletes tables that ``stored`` made, once nothing reads them any more."""
     for table in tables:

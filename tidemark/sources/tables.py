@@ -298,6 +298,16 @@ def stream_records(spark: SparkSession, sf_dir: str, replays: bool = False) -> D
     )
 
 
+def gapped_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as one topic of three partitions with consecutive offsets, of which four in every 89 events are
+    lost and every 50th came twice."""
+    number = F.col("event_id")
+    copies = F.sequence(F.lit(0), F.when(number % 50 == 0, 1).otherwise(0))
+    return table(spark, sf_dir, "events").filter(number % 89 >= 4).select(
+        F.lit(f"{TOPIC_PREFIX}.events").alias("kafka_topic"), (number % 3).cast("int").alias("kafka_partition"),
+        F.floor(number / 3).alias("kafka_offset"), F.explode(copies).alias("_copy")).drop("_copy")
+
+
 def faulty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as bare envelopes with one structural fault per id
     modulo 13; 0, 11 and 12 are sound."""
