@@ -13,7 +13,8 @@ the length turns marginals into a document score.
 Copies and near copies would pass for evidence, so of sampled documents that share one of ``SIGNS`` min-hashes of their
 four-word runs only the first is used.
 
-Training takes at most ``EACH`` labelled documents (clean, toxic), none over ``TRAIN_CHARS`` characters; every document is
+Training takes at most ``EACH`` labelled documents (clean, toxic) of ``SAMPLE_CHARS`` characters in all, the longest going first where
+there are more; every document is
 scored whole. The state recursions run over all tokens of a piece at once: every token is computed from its neighbour,
 and tokens whose neighbour changed again, until none changes by 1e-9 (they contract, so this is the exact result).
 
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.common import crc_mod, map_batches
 from tidemark.llm.linear import fit_logistic, labelled_ids, predict, sigmoid
@@ -37,7 +39,7 @@ from tidemark.llm.words import ALNUM, Words, each_piece, grams, hashes, mix, sig
 
 FEATURES = 1 << 18
 PREFIXES = (4, 5)
-EACH, TRAIN_CHARS = (2000, 1000), 20_000
+EACH, SAMPLE_CHARS = (2000, 1000), 16_000_000
 ODDS, SURE = 20.0, 25.0
 SIGNS, RUN = 8, 4
 STEPS, RATE, SHRINK = 25, 0.5, 1e-3
@@ -198,8 +200,11 @@ def train(slots: np.ndarray, first: np.ndarray, label: np.ndarray) -> Field:
 def fitted(documents: DataFrame, labels: DataFrame, allowed: Column, each: tuple[int, int] = EACH) -> Field:
     """The field, trained on a bounded sample of labelled documents."""
     chosen = labelled_ids(labels.select("doc_id", F.col("toxic")), "toxic", allowed, each, 10)
-    sample = (documents.select("doc_id", "text").filter(F.length("text") <= TRAIN_CHARS)
-              .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]))
+    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # whole texts of any length as far as the sum allows; no more rows than were chosen are put in order
+    size = F.coalesce(F.length("text"), F.lit(0))
+    sample = (sample.withColumn("_chars", F.sum(size).over(Window.orderBy(size, "doc_id").rowsBetween(Window.unboundedPreceding, 0)))
+              .filter(F.col("_chars") <= SAMPLE_CHARS).drop("_chars"))
 
     def work(batch: pa.RecordBatch):
         for low, high, words in each_piece(batch.column(1), ALNUM):
