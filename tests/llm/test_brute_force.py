@@ -154,6 +154,9 @@ def test_decontamination_finds_every_window(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.op2_decontaminate(documents(spark), empty).filter("contaminated").count() == 0
     assert decontaminate.op2_decontaminate(documents(spark, []), empty).count() == 0
+    as_text = documents(spark, rows).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    texts = decontaminate.op2_decontaminate(as_text, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["n_hit"], r["doc_id"] or "") for r in texts) == sorted((r["n_hit"], "" if r["doc_id"] is None else f"d{r['doc_id']}") for r in got)
 
 
 # ---- 3 mix ------------------------------------------------------------------

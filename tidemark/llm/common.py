@@ -27,6 +27,14 @@ def crc_mod(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("null")).cast("binary")) % modulus
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, longer if ``frame`` has a column of that name."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``work`` on every Arrow batch of ``frame``."""
 
@@ -38,4 +46,4 @@ def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.R
     return frame.mapInArrow(run, schema)
 
 
-__all__ = ["LOWER_CASE", "UPPER", "crc_mod", "drop_stored", "lower_ascii", "map_batches", "read", "stored"]
+__all__ = ["LOWER_CASE", "UPPER", "crc_mod", "drop_stored", "free_name", "lower_ascii", "map_batches", "read", "stored"]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, stored
+from tidemark.llm.common import free_name, map_batches, stored
 from tidemark.llm.words import ALNUM, Words, each_piece, grams, mix, signed
 
 WINDOW = 10
@@ -102,7 +102,8 @@ def bitmap(fingerprints: DataFrame) -> np.ndarray:
     return bits
 
 
-DOCUMENT_SCHEMA = ("doc_id long, doc_key long, n_words long, size int, fp long, "
+# behind doc_id, which keeps its type
+DOCUMENT_SCHEMA = ("doc_key long, n_words long, size int, fp long, "
                    "doc_words array<string>, doc_at int, word int")
 
 
@@ -135,7 +136,8 @@ def document_fingerprints(documents: DataFrame, bits: np.ndarray, short: list[in
                 pa.array(blank + own, pa.int32()), pa.array(blank + place, pa.int32()),
             ], ["doc_id", "doc_key", "n_words", "size", "fp", "doc_words", "doc_at", "word"])
 
-    return map_batches(documents.select("doc_id", F.xxhash64("text").alias("doc_key"), "text"), work, DOCUMENT_SCHEMA)
+    source = documents.select("doc_id", F.xxhash64("text").alias("doc_key"), "text")
+    return map_batches(source, work, f"doc_id {dict(source.dtypes)['doc_id']}, {DOCUMENT_SCHEMA}")
 
 
 # Starts, relative to the gram, of the windows in which both sides agree word for word.
@@ -173,8 +175,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a shared window, with their columns."""
-    key = "_text_key"
+    """The documents without a shared window, with their columns.
+
+    Null and empty texts share nothing and stay, repeated rows stay or go together, a null doc_id is an id like any other, and
+    columns may have any names.
+    """
+    key = free_name(documents, "_text_key")
     hit = contaminated(documents, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("hit_id"), "doc_key")
     hit = stored(hit, "contaminated")
     rows = documents.withColumn(key, F.xxhash64("text"))

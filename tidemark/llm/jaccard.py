@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import drop_stored, map_batches, stored
+from tidemark.llm.common import drop_stored, free_name, map_batches, stored
 from tidemark.llm.components import components
 from tidemark.llm.words import SPACED, Words, each_piece, grams, mix, signed
 
@@ -425,16 +425,18 @@ def one_of_each(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
     winners = placed.groupBy("label", "own").agg(first.alias("first")).select("first.doc_id", "first.text_key")
     repeated = sets.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
     kept = stored(_same(winners, repeated, "inner").select("doc_id", "text_key", "copies"), "jaccard_kept")
-    rows = documents.withColumn("_text_key", F.xxhash64("text"))
-    once = _same(rows, kept.filter("copies = 1"), "left_semi", "_text_key")
-    several = _same(rows, kept.filter("copies > 1"), "left_semi", "_text_key").dropDuplicates(["doc_id", "_text_key"])
+    key = free_name(documents, "_text_key")
+    rows = documents.withColumn(key, F.xxhash64("text"))
+    once = _same(rows, kept.filter("copies = 1"), "left_semi", key)
+    several = _same(rows, kept.filter("copies > 1"), "left_semi", key).dropDuplicates(["doc_id", key])
     return once.unionByName(several).select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def _same(rows: DataFrame, others: DataFrame, how: str, key: str = "text_key") -> DataFrame:
     """Join on doc_id, null equal to null, and the hash of the text."""
-    others = others.withColumnsRenamed({"doc_id": "_other_id", "text_key": "_other_key"})
-    return rows.join(others, rows["doc_id"].eqNullSafe(others["_other_id"]) & (rows[key] == others["_other_key"]), how)
+    id_name, key_name = free_name(rows, "_other_id"), free_name(rows, "_other_key")
+    others = others.withColumnsRenamed({"doc_id": id_name, "text_key": key_name})
+    return rows.join(others, rows["doc_id"].eqNullSafe(others[id_name]) & (rows[key] == others[key_name]), how)
 
 
 def op9_jaccard(documents: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches
+from tidemark.llm.common import free_name, map_batches
 from tidemark.llm.linear import fit_logistic, labelled_ids, predict, sigmoid
 from tidemark.llm.words import SPACED, Words, each_piece, hashes, text_buffers
 
@@ -189,8 +189,12 @@ def scored(documents: DataFrame, views: Views, carried: list[str], name: str = "
 
 
 def good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not rejected, with their columns."""
-    score = "_quality_score"
+    """The documents that are not rejected, with their columns.
+
+    Null and empty texts are scored by their metadata and the text view's value for no words; repeated rows score alike; columns may
+    have any names.
+    """
+    score = free_name(documents, "_quality_score")
     rated = scored(documents, fitted(documents, labels), documents.columns, score)
     return rated.filter(F.col(score) >= THRESHOLD).drop(score)
 
