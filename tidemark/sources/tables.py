@@ -27,11 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Rows dealt out by key: what follows is heavy per row."""
-    return frame.repartition(key)
-
-
 def _money(column: str) -> Column:
     return F.col(column).cast("decimal(14,2)")
 
@@ -163,7 +158,7 @@ def current(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = ENTITIES[name].key
     stamp = _source_ms(F.col(key), F.lit(0))
     position = (F.lit(f"{TOPIC_PREFIX}.{name}"), (F.col(key) % 3).cast("int"), F.col(key) * 4)
-    return spread(BUILDERS[name](spark, sf_dir), key).select(
+    return BUILDERS[name](spark, sf_dir).select(
         "*",
         event_id(*position).alias("current_event_id"),
         F.lit("r").alias("latest_operation"),
@@ -198,7 +193,7 @@ def versions(spark: SparkSession, sf_dir: str, name: str, last: int = 3) -> Data
     updates every 10th, 2 deletes every 25th, 3 re-creates every 100th."""
     entity, key = ENTITIES[name], F.col(ENTITIES[name].key)
     happens = {0: F.lit(True), 1: key % 10 == 0, 2: key % 25 == 0, 3: key % 100 == 0}
-    rows = spread(BUILDERS[name](spark, sf_dir), entity.key).withColumn(
+    rows = BUILDERS[name](spark, sf_dir).withColumn(
         "version",
         F.explode(F.array_compact(F.array(*[F.when(happens[v], v) for v in range(last + 1)]))))
     column, changed = CHANGES[name]
@@ -260,7 +255,7 @@ def stream_records(spark: SparkSession, sf_dir: str, replays: bool = False) -> D
     has no value, every 101st is not JSON, every 103rd has an unknown operation
     and every 107th an unknown topic. With ``replays`` every 50th is delivered
     twice."""
-    events = spread(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     if replays:
         events = events.withColumn("_copy", F.explode(F.sequence(
             F.lit(0), F.when(F.col("event_id") % 50 == 0, 1).otherwise(0)))).drop("_copy")
@@ -311,7 +306,7 @@ def gapped_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def faulty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as bare envelopes with one structural fault per id
     modulo 13; 0, 11 and 12 are sound."""
-    events = spread(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     number, fault = F.col("event_id"), F.col("event_id") % 13
     source_table = F.element_at(F.array(*[F.lit(t) for t in STREAM_TABLES]), (F.col("user_id") % 6 + 1).cast("int"))
     operation = F.when(F.col("event_type") == "error", "d").otherwise("u")
@@ -392,7 +387,7 @@ def drifting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     11th with a column more."""
     def records(name: str, lost: str) -> DataFrame:
         entity = ENTITIES[name]
-        rows, key = spread(BUILDERS[name](spark, sf_dir), entity.key), F.col(entity.key)
+        rows, key = BUILDERS[name](spark, sf_dir), F.col(entity.key)
         # to_json leaves out NULL fields, which is how a field goes missing
         fields = [
             F.when((key % 19 != 0) if c == lost else F.lit(True), _json_text(rows, c)).alias(c)
