@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by key: a given table may be one file, and what follows is
+    heavy per row."""
+    return frame.repartition(key)
+
+
 def _money(column: str) -> Column:
     return F.col(column).cast("decimal(14,2)")
 
@@ -158,7 +164,7 @@ def current(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = ENTITIES[name].key
     stamp = _source_ms(F.col(key), F.lit(0))
     position = (F.lit(f"{TOPIC_PREFIX}.{name}"), (F.col(key) % 3).cast("int"), F.col(key) * 4)
-    return BUILDERS[name](spark, sf_dir).select(
+    return spread(BUILDERS[name](spark, sf_dir), key).select(
         "*",
         event_id(*position).alias("current_event_id"),
         F.lit("r").alias("latest_operation"),
@@ -193,7 +199,7 @@ def versions(spark: SparkSession, sf_dir: str, name: str, last: int = 3) -> Data
     updates every 10th, 2 deletes every 25th, 3 re-creates every 100th."""
     entity, key = ENTITIES[name], F.col(ENTITIES[name].key)
     happens = {0: F.lit(True), 1: key % 10 == 0, 2: key % 25 == 0, 3: key % 100 == 0}
-    rows = BUILDERS[name](spark, sf_dir).withColumn(
+    rows = spread(BUILDERS[name](spark, sf_dir), entity.key).withColumn(
         "version",
         F.explode(F.array_compact(F.array(*[F.when(happens[v], v) for v in range(last + 1)]))))
     column, changed = CHANGES[name]
@@ -387,7 +393,7 @@ def drifting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     11th with a column more."""
     def records(name: str, lost: str) -> DataFrame:
         entity = ENTITIES[name]
-        rows, key = BUILDERS[name](spark, sf_dir), F.col(entity.key)
+        rows, key = spread(BUILDERS[name](spark, sf_dir), entity.key), F.col(entity.key)
         # to_json leaves out NULL fields, which is how a field goes missing
         fields = [
             F.when((key % 19 != 0) if c == lost else F.lit(True), _json_text(rows, c)).alias(c)
