@@ -4,6 +4,9 @@ sources mixed to their weights.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of documents; the last adds size, source_size, target, copies and taken
 and returns the documents that the mix takes at least once.
+
+Every stage takes nulls in any column, texts of any length, repeated rows and ids, empty tables and columns of any other name; the
+columns that the last stage adds replace given ones of the same name.
 """
 
 from __future__ import annotations
@@ -16,27 +19,30 @@ from tidemark.llm.common import read, stored
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifiers reject go."""
+    """Documents that the co-trained classifiers reject go. Null and empty texts are judged like texts without words; equal rows
+    alike."""
     return quality.good(docs, read(spark, sf_dir, "labels"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (shingles of 5 words, 0.8) stays, the one with the smallest doc_id."""
+    """One document of each group of near duplicates (shingles of 5 words, 0.8) stays, the one with the smallest doc_id; ids of
+    null come last. Texts without words have no copies but rows of the same id and text, of which one stays."""
     return jaccard.one_of_each(docs, jaccard.USUAL)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share a window of words with the benchmark go."""
+    """Documents that share a window of words with the benchmark go. Texts without words share none and stay."""
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data are replaced by their kind."""
+    """Spans of personal data are replaced by their kind. Null stays null; no row goes."""
     return pii.redacted(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the copies that the mix takes of them; those of which it takes none go."""
+    """Documents with the copies that the mix takes of them; those of which it takes none go, and so do texts without words. A null
+    source is a source like any other, the last."""
     return mix.mixed(docs).filter(F.col("copies") > 0)
 
 
