@@ -7,7 +7,7 @@ added up in whole cents.
 
 from __future__ import annotations
 
-from tidemark.catalog.queries import BACKFILL, FIRST_LOAD_UNTIL, SNAPSHOTS
+from tidemark.catalog.queries import BACKFILL, FIRST_LOAD_UNTIL, LOOKED_UP, SNAPSHOTS
 from tidemark.schemas import ACCEPTED_VALUES, ENTITIES, PRODUCT_SEGMENTS, CUSTOMER_SEGMENTS, TABLES
 from tidemark.sources.tables import DAY_MS, LOADED_AT, LOG_EPOCH_MS, STREAM_TABLES, TOPIC_PREFIX, VERSION_DAYS
 
@@ -965,3 +965,13 @@ EXPECTED["offset_gaps"] = """
         FROM (SELECT 'TOPIC.events' AS kafka_topic, event_id % 3 AS kafka_partition, event_id // 3 AS kafka_offset
               FROM events WHERE event_id % 89 >= 4))
   WHERE kafka_offset - previous > 1""".replace("TOPIC", TOPIC_PREFIX)
+EXPECTED["run_lookup"] = f"SELECT * FROM ({EXPECTED['run_audit']}) WHERE run_id = '{LOOKED_UP}'"
+EXPECTED["position_problems"] = """
+  SELECT event_id AS kafka_offset, CASE WHEN event_id % 31 = 0 THEN 'empty_topic' WHEN event_id % 37 = 0 THEN 'negative_partition'
+           ELSE 'negative_offset' END AS problem
+  FROM events WHERE event_id % 31 = 0 OR event_id % 37 = 0 OR event_id % 41 = 0"""
+EXPECTED["load_audit"] = sql("""
+  SELECT run_id, 'bronze_to_warehouse' AS pipeline_name, 'succeeded' AS status, n AS source_record_count,
+         CASE WHEN run_id = 'first' THEN n ELSE 0 END AS inserted_record_count,
+         CASE WHEN run_id = 'first' THEN 0 ELSE n END AS existing_record_count, 0 AS failed_record_count
+  FROM (VALUES ('first'), ('again')) AS r(run_id), (SELECT count(DISTINCT event_id) AS n FROM replayed)""", "replayed")

@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import parse_envelope
+from tidemark.functions.keys import position_problem
 from tidemark.operators import aggregates as agg
 from tidemark.operators import audit, checks, dedup, event_history, events, policy, staging, star, strict
 from tidemark.operators.current import current_from_raw, current_state, live_rows
 from tidemark.plans import marts, profiles, refresh
 from tidemark.plans.build import HISTORY_SCHEMA, build_star
+from tidemark.plans.load import load_bronze
 from tidemark.schemas import ACCEPTED_VALUES, ENTITIES, REQUIRED_METADATA, SOURCE_VALUES, TABLES
 from tidemark.session import scratch_path, use_utc
 from tidemark.sources import records, tables
@@ -35,6 +37,7 @@ RUN_ID = "catalog"
 # Snapshot times of the history: after the reads, updates, deletes, re-creations.
 SNAPSHOTS = ("1995-06-01", "1997-01-01", "1998-06-01", "2000-09-01")
 FIRST_LOAD_UNTIL = date(2024, 1, 16)
+LOOKED_UP = "run-7"
 BACKFILL = (date(1996, 1, 5), date(1996, 1, 20))
 CHECKED_AT = datetime(2024, 3, 2, tzinfo=timezone.utc)
 
@@ -631,6 +634,33 @@ def run_audit(spark, sf):
     return runs.withColumn("details", entries)
 
 
+def run_lookup(spark, sf):
+    """One run of the log, as an operator asks for it."""
+    run = audit.fetch_run(tables.run_log(spark, sf), LOOKED_UP)
+    entries = F.transform(F.array_sort(F.map_entries("details")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return run.withColumn("details", entries)
+
+
+def position_problems(spark, sf):
+    """Records that cannot have an id, with what is wrong with their position: every 31st has a blank topic, every 37th a
+    negative partition, every 41st a negative offset."""
+    n = F.col("offset")
+    topic = F.when(n % 31 == 0, F.lit(" ")).otherwise(F.col("topic"))
+    partition = F.when(n % 37 == 0, F.lit(-1)).otherwise(F.col("partition"))
+    offset = F.when(n % 41 == 0, F.lit(-1).cast("long")).otherwise(n)
+    problem = position_problem(topic, partition, offset)
+    return tables.stream_records(spark, sf).select(n.alias("kafka_offset"), problem.alias("problem")).filter("problem IS NOT NULL")
+
+
+def load_audit(spark, sf):
+    """What the audit table says of a load on disk and of the same load again."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    bronze = stored(_valid(spark, sf, replays=True), "bronze")
+    for run in ("first", "again"):
+        load_bronze(lake, bronze, run)
+    return lake.read("audit", "warehouse_load_runs").drop("started_at", "completed_at")
+
+
 def dashboard_cards(spark, sf):
     raw, bronze = _timed(spark, sf), _bronze(spark, sf)
     deployment = tables.table(spark, sf, "region").select(
@@ -715,7 +745,8 @@ QUERIES: dict[str, Query] = {
         latency_percentiles_approx, reconciliation, event_reconciliation, completeness, change_sequence, slo_checks,
         bronze_profile, null_counts, raw_quality, metadata_counts, distinct_counts, warehouse_profile, audit_profile,
         audit_checks, recovered_failures, run_audit, dashboard_cards, stream_bronze, stream_resume, stream_dedup,
-        fact_orders_interleaved, customer_event_history, offset_gaps, stream_event_order, incremental_build)
+        fact_orders_interleaved, customer_event_history, offset_gaps, stream_event_order, incremental_build, run_lookup,
+        position_problems, load_audit)
 }
 QUERIES |= {f"typed_{name}": _typed(name) for name in TABLES}
 QUERIES |= {f"current_{name}": _current_query(name) for name in TABLES}
