@@ -48,6 +48,7 @@ STEP = 64
 SLOTS = 1 << 22
 GROUP_SHINGLES = 2_000_000
 SPARE = 16
+PREFIX_KEYS = 1 << 19  # of an Arrow batch that are sorted at once
 
 
 class Likeness(NamedTuple):
@@ -141,9 +142,13 @@ def prefix_rows(documents: DataFrame, like: Likeness, buckets: int) -> DataFrame
             key, text = prefixes(value, first, like)
             keys.append(key)
             nodes.append(nodes_of(value, first)[text])
-        key, node = np.concatenate(keys), np.concatenate(nodes)
-        if not len(key):
-            return
+            if sum(map(len, keys)) >= PREFIX_KEYS:
+                yield from sent(np.concatenate(keys), np.concatenate(nodes))
+                keys, nodes = [], []
+        if any(map(len, keys)):
+            yield from sent(np.concatenate(keys), np.concatenate(nodes))
+
+    def sent(key: np.ndarray, node: np.ndarray):
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))

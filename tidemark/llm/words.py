@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 21
+PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -81,7 +81,7 @@ _TABLES: dict[str, np.ndarray] = {}
 
 def _power_tables(count: int) -> tuple[np.ndarray, np.ndarray]:
     if not _TABLES or len(_TABLES["up"]) < count:
-        size = 1 << max(22, int(count).bit_length())
+        size = 1 << max(21, int(count).bit_length())
         _TABLES["up"], _TABLES["down"] = _powers(_BASE, size), _powers(_INVERSE, size)
     return _TABLES["up"], _TABLES["down"]
 
