@@ -27,10 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Rows dealt out by key: a given table may be one file, and what follows is
-    heavy per row."""
-    return frame.repartition(key)
+def spread(frame: DataFrame, name: str) -> DataFrame:
+    """Rows of an entity dealt out by key: a given table may be one file, and what
+    follows is heavy per row. Lines are dealt out already, by the window that
+    numbers them."""
+    return frame if name == "order_items" else frame.repartition(ENTITIES[name].key)
 
 
 def _money(column: str) -> Column:
@@ -99,7 +100,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_linestatus", F.to_date("l_shipdate"))
     cents = (_money("l_extendedprice") * 100).cast("long")
     unit = F.floor(cents / F.col("l_quantity").cast("int")).cast("long")
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.md5(line)))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.unhex(F.md5(line))))
     return table(spark, sf_dir, "lineitem").select(
         F.when(place < LINES_PER_ORDER, F.col("l_orderkey") * LINES_PER_ORDER + place)
         .otherwise(F.raise_error(F.lit("an order has too many lines"))).cast("long").alias("order_item_id"),
@@ -164,7 +165,7 @@ def current(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = ENTITIES[name].key
     stamp = _source_ms(F.col(key), F.lit(0))
     position = (F.lit(f"{TOPIC_PREFIX}.{name}"), (F.col(key) % 3).cast("int"), F.col(key) * 4)
-    return spread(BUILDERS[name](spark, sf_dir), key).select(
+    return spread(BUILDERS[name](spark, sf_dir), name).select(
         "*",
         event_id(*position).alias("current_event_id"),
         F.lit("r").alias("latest_operation"),
@@ -199,7 +200,7 @@ def versions(spark: SparkSession, sf_dir: str, name: str, last: int = 3) -> Data
     updates every 10th, 2 deletes every 25th, 3 re-creates every 100th."""
     entity, key = ENTITIES[name], F.col(ENTITIES[name].key)
     happens = {0: F.lit(True), 1: key % 10 == 0, 2: key % 25 == 0, 3: key % 100 == 0}
-    rows = spread(BUILDERS[name](spark, sf_dir), entity.key).withColumn(
+    rows = spread(BUILDERS[name](spark, sf_dir), name).withColumn(
         "version",
         F.explode(F.array_compact(F.array(*[F.when(happens[v], v) for v in range(last + 1)]))))
     column, changed = CHANGES[name]
@@ -393,7 +394,7 @@ def drifting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     11th with a column more."""
     def records(name: str, lost: str) -> DataFrame:
         entity = ENTITIES[name]
-        rows, key = spread(BUILDERS[name](spark, sf_dir), entity.key), F.col(entity.key)
+        rows, key = spread(BUILDERS[name](spark, sf_dir), name), F.col(entity.key)
         # to_json leaves out NULL fields, which is how a field goes missing
         fields = [
             F.when((key % 19 != 0) if c == lost else F.lit(True), _json_text(rows, c)).alias(c)

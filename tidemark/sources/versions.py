@@ -46,28 +46,33 @@ class VersionedTable:
         """The table at a version, or some of its parts."""
         return self.read_parts(version, parts).drop(PART)
 
-    def read_parts(self, version: int, parts: Iterable[str] | None = None) -> DataFrame:
-        """As ``read``, with the part of every row."""
+    def read_parts(self, version: int, parts: Iterable[str] | None = None, hidden: Iterable[T.StructField] = ()) -> DataFrame:
+        """As ``read``, with the part of every row and the ``hidden`` columns asked for."""
         folders, columns = self.manifest(version)
         wanted = sorted(folders if parts is None else set(parts) & folders.keys())
-        layout = T.StructType(columns.fields + [T.StructField(PART, T.StringType())])
+        layout = T.StructType([*columns.fields, *hidden, T.StructField(PART, T.StringType())])
         if not wanted:
             return self.spark.createDataFrame([], layout)
         paths = [f"{self.path}/data/version={folders[part]}/{PART}={part}" for part in wanted]
         found = self.spark.read.schema(layout).option("basePath", f"{self.path}/data").parquet(*paths)
         return found.select(*layout.fieldNames())
 
-    def write(self, version: int, rows: DataFrame, part: Column, base: int | None = None, touched: Iterable[str] = ()) -> int:
+    def write(self, version: int, rows: DataFrame, part: Column, base: int | None = None, touched: Iterable[str] = (),
+              gathered: bool = True, hidden: Iterable[str] = ()) -> int:
         """Version ``version``: the parts of ``base`` without ``touched``, and ``rows``, which lie in touched or new parts.
 
-        A large part is written by several tasks, small ones share one.
+        A large part is written by several tasks, small ones share one. Without ``gathered``, for tables of few parts,
+        every task writes the rows it has and nothing is shuffled. ``hidden`` columns are written but are none of the table's.
         """
         kept, _ = self.manifest(base)
         names = [c for c in rows.columns if c != PART]
         folder = f"{self.path}/data/version={version}"
         placed = rows.select(*names, part.cast("string").alias(PART))
-        columns = T.StructType([f for f in placed.schema.fields if f.name != PART])
-        placed.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(folder)
+        columns = T.StructType([f for f in placed.schema.fields if f.name not in {PART, *hidden}])
+        if gathered:
+            placed = placed.hint("rebalance", PART)
+        (placed.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+         .partitionBy(PART).parquet(folder))
         written = [name.removeprefix(f"{PART}=") for name in children(self.spark, folder) if name.startswith(f"{PART}=")]
         gone = set(touched)
         live = {p: f for p, f in kept.items() if p not in gone} | {part: version for part in written}
@@ -158,6 +163,10 @@ class StateTable:
     A merge reads and rewrites the parts its batch touches. Events keep the columns
     they are ordered by, so an event that arrives after a newer one of its key changes
     nothing, in whatever order batches come.
+
+    Rows whose key is surely not in the batch, by a bitmap of hashed keys, are copied
+    where they are; the others meet the batch in one join. A rewritten row remembers
+    which event it replaced, so what a merge changed is read from the version itself.
     """
 
     def __init__(self, table: VersionedTable, key: str, parts: int):
@@ -170,23 +179,56 @@ class StateTable:
         return self.table.read(version)
 
     def merge(self, base: int | None, version: int, batch: DataFrame) -> tuple[int, DataFrame | None]:
-        """Merges a batch of events; returns the new version and, as a scratch table, the changes: ``old`` and ``new`` event
-        of every key whose newest event is another one now. A first batch changes everything, and no table says so."""
+        """Merges a batch of events; returns the new version and the changes: ``old`` and ``new`` event of every key whose
+        newest event is another one now. A first batch changes everything, and no table says so."""
         best = latest_per_key(batch, [self.key]).withColumn(PART, self.part())
         if base is None:
-            return self.table.write(version, best, F.col(PART)), None
-        newest = stored(best, "state_batch")
+            return self.table.write(version, best, F.col(PART), gathered=False), None
+        newest = stored(best, "state_batch", "zstd")
         names = [c for c in newest.columns if c != PART]
-        image = F.struct(*names)
         touched = [row[PART] for row in newest.select(PART).distinct().collect()]
-        old = self.table.read_parts(base, touched).select(*newest.columns)
-        self.table.write(version, latest_per_key(old.unionByName(newest), [self.key]), F.col(PART), base, touched)
-        keys = newest.select(F.col(self.key).alias("_key"))
+        bits = stored(key_bits(newest, self.key), "state_bits")
+        old = maybe_among(self.table.read_parts(base, touched).select(*newest.columns), self.key, bits)
+        image = F.struct(*names, PART)
         # a null key is a key like any other
-        after = self.table.read(version, touched).join(keys, F.col(self.key).eqNullSafe(F.col("_key")), "left_semi").select(image.alias("new"))
-        before = old.select(image.alias("old"))
-        both = after.join(before, F.col(f"new.{self.key}").eqNullSafe(F.col(f"old.{self.key}")), "left")
-        changed = F.col("old").isNull() | (F.col("old.event_id") != F.col("new.event_id"))
-        changes = stored(both.filter(changed).select("old", "new"), "state_changes")
-        drop_stored(newest)
-        return version, changes
+        both = old.filter(_MAYBE).select(image.alias("old")).join(
+            newest.select(image.alias("new")), F.col(f"old.{self.key}").eqNullSafe(F.col(f"new.{self.key}")), "full_outer")
+        newer = F.col("new").isNotNull() & (F.col("old").isNull() | (change_order("new") > change_order("old")))
+        changed = newer & (F.col("old").isNull() | (F.col("old.event_id") != F.col("new.event_id")))
+        met = both.select(F.when(newer, F.col("new")).otherwise(F.col("old")).alias("row"), changed.alias(_CHANGED),
+                          F.when(changed, F.col("old").dropFields(PART)).alias(_OLD)).select("row.*", _CHANGED, _OLD)
+        rows = met.unionByName(old.filter(~F.col(_MAYBE)).drop(_MAYBE), allowMissingColumns=True)
+        self.table.write(version, rows, F.col(PART), base, touched, gathered=False, hidden=(_CHANGED, _OLD))
+        drop_stored(newest, bits)
+        event = T.StructType([newest.schema[c] for c in names])
+        written = self.table.read_parts(version, touched, [T.StructField(_CHANGED, T.BooleanType()), T.StructField(_OLD, event)])
+        return version, written.filter(_CHANGED).select(F.col(_OLD).alias("old"), F.struct(*names).alias("new"))
+
+
+_MAYBE, _CHANGED, _OLD = "_maybe", "_changed", "_old"
+# half of what Spark broadcasts by itself; a fuller bitmap lets more rows through to the join
+KEY_BITS = 1 << 25
+
+
+def change_order(event: str) -> Column:
+    """What ``newest_first`` sorts by, as one value that is largest for the newest event."""
+    return F.struct(*[F.col(f"{event}.{c}") for c in ("source_timestamp_ms", "kafka_timestamp", "kafka_offset", "event_id")])
+
+
+def _bit_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BITS))
+
+
+def key_bits(rows: DataFrame, key: str) -> DataFrame:
+    """Bitmap of hashed keys, in pieces of four kilobytes."""
+    bit = _bit_of(key)
+    return rows.groupBy(F.bitmap_bucket_number(bit).alias("_piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits"))
+
+
+def maybe_among(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """``rows`` with ``_maybe``: false where the key is surely not one of those in ``bits``."""
+    at = F.bitmap_bit_position(_bit_of(key))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = rows.join(bits, F.bitmap_bucket_number(_bit_of(key)) == F.col("_piece"), "left")
+    return joined.withColumn(_MAYBE, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).select(*rows.columns, _MAYBE)
