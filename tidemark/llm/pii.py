@@ -10,8 +10,8 @@ precision is ``PRECISION``. Candidates above it that touch no base span are adde
 
 Patterns start at the beginning of a run or at the end of the last match and take runs whole (possessively), so a text
 without blanks costs no quadratic search and no deep recursion. Offsets are running sums of the lengths between matches.
-Texts without a digit, ``@`` or written-out ``at`` cannot hold a candidate and skip all of it. Training takes at most ``SAMPLE`` candidates,
-drawn by a hash.
+Texts without a digit, ``@`` or written-out ``at`` cannot hold a candidate and skip all of it. Trees and thresholds are learnt from every
+candidate; a hash decides the fold of each.
 
 Cases: a null or empty text has no spans. Every row is one result, repeated rows alike; a null doc_id is kept. With fewer
 than ``FEWEST`` candidates of either class there is no model and only base spans are returned. Other columns are not read;
@@ -47,7 +47,7 @@ MAY_HOLD = r"[0-9@]|[(\[](?:at|AT)[)\]]"
 CUES = {"email": "mail|e-mail|contact|write", "ip": r"\bip\b|host|server|address", "card": "card|visa|credit|pay|karte|tarjeta",
         "phone": "phone|tel|call|fax|mobile|anruf|ruf", "secret": "token|password|key|secret|=|\"", "version": "version|license|v\\."}
 AROUND = 24
-UNSURE, PRECISION, SAMPLE, FEWEST, FOLD = 0.3, 0.95, 20_000, 50, 4
+UNSURE, PRECISION, FEWEST, FOLD = 0.3, 0.95, 50, 4
 TREES, DEPTH = 15, 4
 BINS = 50
 
@@ -126,16 +126,15 @@ def touched(rows: DataFrame) -> DataFrame:
 def trained(rows: DataFrame) -> tuple[GBTClassificationModel, dict[str, float]] | None:
     """The trees and each kind's threshold, or nothing where there is too little to learn from."""
     same_kind = rows.withColumn("label", F.when(F.col("of_base"), 1.0).otherwise(0.0))
-    draw = F.xxhash64("uid", "start", "end", "kind")
-    known = same_kind.withColumn("draw", draw).withColumn("fold", F.pmod("draw", F.lit(FOLD)))
-    sample = stored(known.orderBy("draw").limit(SAMPLE).select("label", "kind", "fold", "features", F.when(
-        F.col("label") == 1, 1.0).otherwise(UNSURE).alias("weight")).repartition(8), "pii_sample")
-    counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    fold = F.pmod(F.xxhash64("uid", "start", "end", "kind"), F.lit(FOLD))
+    known = same_kind.select("label", "kind", fold.alias("fold"), "features", F.when(
+        F.col("label") == 1, 1.0).otherwise(UNSURE).alias("weight"))
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if min(counts.get(0.0, 0), counts.get(1.0, 0)) < FEWEST:
         return None
     trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=5)
-    model = trees.fit(sample.filter("fold > 0"))
-    held = probable(model, sample.filter("fold = 0"))
+    model = trees.fit(known.filter("fold > 0"))
+    held = probable(model, known.filter("fold = 0"))
     steps = (held.groupBy("kind", F.floor(F.col("p") * BINS).alias("bin"))
              .agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect())
     limits = {}
