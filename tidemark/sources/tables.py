@@ -93,22 +93,30 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines have no key of their own: not even order and line number are unique.
     Order and place within the order, by the whole line, make one. The unit price
-    is the line price split by the quantity."""
+    is the line price split by the quantity, worked out behind the shuffle."""
     line = F.concat_ws(
         "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"),
         _money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)"), F.col("l_tax").cast("decimal(4,2)"),
         "l_returnflag", "l_linestatus", F.to_date("l_shipdate"))
-    cents = (_money("l_extendedprice") * 100).cast("long")
-    unit = F.floor(cents / F.col("l_quantity").cast("int")).cast("long")
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.unhex(F.md5(line))))
-    return table(spark, sf_dir, "lineitem").select(
-        F.when(place < LINES_PER_ORDER, F.col("l_orderkey") * LINES_PER_ORDER + place)
-        .otherwise(F.raise_error(F.lit("an order has too many lines"))).cast("long").alias("order_item_id"),
+    lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        (unit.cast("decimal(16,0)") / 100).cast("decimal(14,2)").alias("unit_price"),
         _money("l_extendedprice").alias("line_total"),
+        F.unhex(F.md5(line)).alias("_line"),
+    )
+    place = F.row_number().over(Window.partitionBy("order_id").orderBy("_line"))
+    placed = lines.withColumn("_place", place)
+    cents = (F.col("line_total") * 100).cast("long")
+    unit = F.floor(cents / F.col("quantity")).cast("long")
+    return placed.select(
+        F.when(F.col("_place") < LINES_PER_ORDER, F.col("order_id") * LINES_PER_ORDER + F.col("_place"))
+        .otherwise(F.raise_error(F.lit("an order has too many lines"))).cast("long").alias("order_item_id"),
+        "order_id",
+        "product_id",
+        "quantity",
+        (unit.cast("decimal(16,0)") / 100).cast("decimal(14,2)").alias("unit_price"),
+        "line_total",
     )
 
 
