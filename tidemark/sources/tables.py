@@ -168,12 +168,15 @@ def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
 
 
-def current(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """An entity as current state: every row as its snapshot read (version 0)."""
+def current(spark: SparkSession, sf_dir: str, name: str, deal: bool = True) -> DataFrame:
+    """An entity as current state: every row as its snapshot read (version 0).
+    Without ``deal`` rows stay where they are read, for work that is light or
+    shuffles anyway."""
     key = ENTITIES[name].key
     stamp = _source_ms(F.col(key), F.lit(0))
     position = (F.lit(f"{TOPIC_PREFIX}.{name}"), (F.col(key) % 3).cast("int"), F.col(key) * 4)
-    return spread(BUILDERS[name](spark, sf_dir), name).select(
+    rows = BUILDERS[name](spark, sf_dir)
+    return (spread(rows, name) if deal else rows).select(
         "*",
         event_id(*position).alias("current_event_id"),
         F.lit("r").alias("latest_operation"),
