@@ -681,8 +681,17 @@ def dashboard_cards(spark, sf):
 
 # ---- streaming --------------------------------------------------------------
 
+# Readers split a file between its row groups, of which one of usual size may hold all records of a micro-batch.
+RECORD_GROUP_BYTES = 2 * 1024 * 1024
+
+
+def _arrive(records: DataFrame, path: str) -> None:
+    """Appends record files that every core can read a part of."""
+    records.write.mode("append").option("parquet.block.size", RECORD_GROUP_BYTES).parquet(path)
+
+
 def _staged_stream(spark, sf) -> tuple[str, BronzePaths]:
-    """The record files a stream reads, in three arrivals of four files."""
+    """The record files a stream reads, and what it writes."""
     root = scratch_path(spark, "stream")
     return f"{root}/records", BronzePaths.below(root)
 
@@ -690,7 +699,7 @@ def _staged_stream(spark, sf) -> tuple[str, BronzePaths]:
 def stream_bronze(spark, sf):
     """Both layers after the stream has drained its files, as one frame."""
     source, paths = _staged_stream(spark, sf)
-    tables.stream_records(spark, sf).write.parquet(source)
+    _arrive(tables.stream_records(spark, sf), source)
     run_bronze_stream(records.file_stream(spark, source), paths, RUN_ID)
     columns = ["event_id", "source_table", "operation", "kafka_offset", "event_date", "invalid_reason"]
     return read_bronze(spark, paths).select(*columns).unionByName(read_quarantine(spark, paths).select(*columns))
@@ -704,7 +713,7 @@ def stream_resume(spark, sf):
     reports = []
     for n, batch in enumerate([arrivals.filter(even), None, arrivals.filter(~even)], start=1):
         if batch is not None:
-            batch.write.mode("append").parquet(source)
+            _arrive(batch, source)
         rows = run_bronze_stream(records.file_stream(spark, source, max_files=2), paths, f"run-{n}")
         reports.append(stream_report(spark, paths, f"run-{n}").select(
             F.lit(n).cast("long").alias("run"),
@@ -718,7 +727,7 @@ def stream_resume(spark, sf):
 def stream_dedup(spark, sf):
     """Repeated deliveries dropped while streaming."""
     source, paths = _staged_stream(spark, sf)
-    tables.stream_records(spark, sf, replays=True).write.parquet(source)
+    _arrive(tables.stream_records(spark, sf, replays=True), source)
     unique = dedup.dedup_stream(
         events.valid_events(events.bronze_events(records.file_stream(spark, source), RUN_ID)))
     query = (unique.writeStream.format("parquet").option("path", paths.bronze)
@@ -734,7 +743,7 @@ def stream_event_order(spark, sf):
     last = arrivals.agg(F.max("offset")).first()[0] or 0
     for run in range(3):
         third = arrivals.filter(F.least(F.floor(F.col("offset") * 3 / (last + 1)), F.lit(2)) == run)
-        third.write.mode("append").parquet(f"{root}/records")
+        _arrive(third, f"{root}/records")
         valid = events.valid_events(events.bronze_events(records.file_stream(spark, f"{root}/records"), RUN_ID))
         # what the classes are found by; the stream writes every column it is given
         timed = _shifted(valid).select("kafka_topic", "kafka_partition", "kafka_offset", "source_timestamp_ms")
