@@ -464,7 +464,7 @@ def _after_deletes(spark, sf):
     """The source tables with the deletes of their change logs applied to
     customers and products."""
     return tables.entities(spark, sf) | {
-        name: stored(_current(spark, sf, name), name) for name in ("customers", "products")}
+        name: stored(_current(spark, sf, name).select(*ENTITIES[name].columns), name) for name in ("customers", "products")}
 
 
 def integrity_report(spark, sf):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import one_row
-from tidemark.operators.joins import missing_keys
+from tidemark.operators.joins import dealt, missing_keys
 from tidemark.operators.ordered import with_previous
 from tidemark.schemas import MONEY_TOLERANCE, SOURCE_VALUES
 
@@ -201,21 +201,27 @@ def dataset_problems(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.lit(problem).alias("problem"), F.col(key).cast("string").alias("row_key"),
             (F.col(count) if count else F.lit(1)).cast("long").alias("row_count"))
 
+    def placed(table: str, key: str) -> DataFrame:
+        return by_order[table] if key == "order_id" else tables[table]
+
     def doubled(problem: str, table: str, column: str) -> DataFrame:
-        return tagged(problem, unique(tables[table], column), column, "row_count")
+        return tagged(problem, unique(placed(table, column), column), column, "row_count")
 
     def unknown(problem: str, child: str, key: str, parent: str) -> DataFrame:
-        return tagged(problem, missing_keys(tables[child], key, tables[parent], key), "missing_key", "row_count")
-
-    orders, items, payments = tables["orders"], tables["order_items"], tables["payments"]
-    pairs = unique(items, "order_id", "product_id").withColumn("pair", F.concat_ws("/", "order_id", "product_id"))
-    sums = items.groupBy("order_id").agg(
+        return tagged(problem, missing_keys(placed(child, key), key, placed(parent, key), key), "missing_key", "row_count")
+
+    items = tables["order_items"]
+    # nearly every row is a group of its own by these keys: adding up ahead of a shuffle, and partitions put together after it, would
+    # hold as many groups as a task has rows
+    by_order = {name: dealt(tables[name], "order_id") for name in ("orders", "order_items", "payments", "shipments")}
+    pairs = unique(dealt(items, "order_id", "product_id"), "order_id", "product_id").withColumn("pair", F.concat_ws("/", "order_id", "product_id"))
+    sums = by_order["order_items"].groupBy("order_id").agg(
         F.sum((F.col("unit_price") * F.col("quantity")).cast("decimal(18,2)")).alias("line_sum"))
-    off = orders.join(sums, "order_id", "left").filter(
+    off = by_order["orders"].join(sums, "order_id", "left").filter(
         F.col("order_total") != F.coalesce("line_sum", F.lit(0)))
     # orders are unique by id, so only payments can repeat here
-    unpaid = payments.select("payment_id", "order_id", "amount").join(
-        orders.select("order_id", "order_total"), "order_id").filter(F.col("amount") != F.col("order_total"))
+    unpaid = by_order["payments"].select("payment_id", "order_id", "amount").join(
+        by_order["orders"].select("order_id", "order_total"), "order_id").filter(F.col("amount") != F.col("order_total"))
     return reduce(DataFrame.unionByName, [
         doubled("duplicate customer id", "customers", "customer_id"),
         doubled("duplicate product id", "products", "product_id"),

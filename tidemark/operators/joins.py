@@ -6,6 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows by key in as many partitions as shuffles have, which stay as they are.
+
+    Adaptive execution puts partitions together until a task a core or 64 MB of
+    compressed rows are left. A hash table of nearly as many groups as rows is a
+    multiple of that.
+    """
+    number = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(number, *keys)
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str, condition: Column | None = None, how: str = "left") -> DataFrame:
     """Join ``left`` (``l``) to ``right`` (``r``) on ``key``, plus ``condition``; columns of ``left`` first.
 
