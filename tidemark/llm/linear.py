@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ROWS = 1024  # that are multiplied at once
+
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40.0, 40.0)))
@@ -22,7 +24,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, weight: np.nd
     for _ in range(rounds):
         p = sigmoid(x @ beta)
         slope = x.T @ (weight * (y - p)) - penalty * beta
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(penalty)
+        worth = weight * np.maximum(p * (1 - p), 1e-6)
+        curve = np.diag(penalty)
+        for low in range(0, len(x), ROWS):  # no second copy of x
+            part = x[low:low + ROWS]
+            curve += (part * worth[low:low + ROWS, None]).T @ part
         step = np.linalg.solve(curve, slope)
         beta += step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:

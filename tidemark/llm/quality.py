@@ -7,8 +7,8 @@ in both classes, as pseudo-labels for the other. At the end each view is calibra
 documents kept out of its training, and the mean of the calibrated log odds scores every document.
 
 Training is bounded by parameters: at most ``EACH`` labelled documents of a class and ``POOL`` unlabelled ones, drawn by a
-hash of doc_id; their features come to the driver as ``TEXT_WIDTH`` + ``PAGE_WIDTH`` numbers each. Scoring reads every
-whole text.
+hash of doc_id; their features come to the driver as ``TEXT_WIDTH`` + ``PAGE_WIDTH`` numbers each, which are held there once
+and trained on in place. Scoring reads every whole text.
 
 Cases: a null or empty text has zero content features and is scored by them like any other. Language and source are
 hashed, null is a value of its own. Without labels of both classes every score is the share of good labels, 1 without
@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,11 +106,15 @@ def constant(rate: float) -> Views:
 
 
 def co_train(text: np.ndarray, page: np.ndarray, label: np.ndarray) -> Views:
-    """``label``: 0, 1, or -1 for unlabelled rows."""
+    """``label``: 0, 1, or -1 for unlabelled rows. ``text`` and ``page`` are standardised in place."""
     views = []
     for x in (text, page):
-        mean, spread = x.mean(axis=0), x.std(axis=0)
-        views.append(((x - mean) / np.where(spread > 1e-9, spread, 1.0), mean, np.where(spread > 1e-9, spread, 1.0)))
+        mean = x.mean(axis=0)
+        x -= mean
+        spread = np.sqrt(np.einsum("ij,ij->j", x, x) / len(x))
+        spread = np.where(spread > 1e-9, spread, 1.0)
+        x /= spread
+        views.append((x, mean, spread))
     known = np.flatnonzero(label >= 0)
     kept_out = known[::4]
     own = [label.copy(), label.copy()]
@@ -154,6 +159,15 @@ def viewed(documents: DataFrame, carried: list[str]) -> DataFrame:
     return map_batches(documents.select(*dict.fromkeys([*carried, "text", "lang", "source"])), work, schema)
 
 
+def matrix(column: pa.ChunkedArray, place: np.ndarray, width: int) -> np.ndarray:
+    """The lists of ``column``, each in the row that ``place`` names."""
+    out, low = np.empty((len(column), width)), 0
+    for chunk in column.chunks:
+        out[place[low:low + len(chunk)]] = chunk.flatten().to_numpy().reshape(-1, width)
+        low += len(chunk)
+    return out
+
+
 def fitted(documents: DataFrame, labels: DataFrame, allowed: Column | None = None) -> Views:
     """The two classifiers, co-trained on bounded samples of labelled and unlabelled documents."""
     allowed = F.lit(True) if allowed is None else allowed
@@ -161,14 +175,18 @@ def fitted(documents: DataFrame, labels: DataFrame, allowed: Column | None = Non
     ids = documents.select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti").filter(F.col("doc_id").isNotNull())
     pool = ids.distinct().orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(POOL).select("doc_id", F.lit(-1).alias("label"))
     sample = documents.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen.unionByName(pool)), "doc_id").dropDuplicates(["doc_id"])
-    rows = viewed(sample, ["doc_id", "label"]).toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    label = rows["label"].to_numpy()
+    rows = viewed(sample, ["doc_id", "label"]).toArrow()
+    order = pc.sort_indices(rows.select(["doc_id", "label"]), [("doc_id", "ascending"), ("label", "ascending")]).to_numpy()
+    label = rows["label"].to_numpy()[order]
     known = label[label >= 0]
     if len(np.unique(known)) < 2 or min(np.bincount(known)) < 8:
         return constant(float(known.mean()) if len(known) else 1.0)
-    text, page = (np.stack(rows[c].to_numpy()) for c in ("text_x", "page_x"))
     draw = np.random.default_rng(6).permutation(len(label))
-    return co_train(text[draw], page[draw], label[draw])
+    place = np.empty(len(label), dtype=np.int64)
+    place[order[draw]] = np.arange(len(label))
+    text, page = matrix(rows["text_x"], place, TEXT_WIDTH), matrix(rows["page_x"], place, PAGE_WIDTH)
+    del rows  # the driver holds the sample once
+    return co_train(text, page, label[draw])
 
 
 def scored(documents: DataFrame, views: Views, carried: list[str], name: str = "score") -> DataFrame:
