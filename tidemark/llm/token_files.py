@@ -15,8 +15,8 @@ Reading. The lengths of four ids come from a table of 256 control bytes at once,
 stream, and a table of the ranks gives the ids.
 
 Tokenising. The tokenizer drops white space and none of its pieces spans any, so the ids of a text are those of its runs
-between ASCII white space, one after the other; a worker keeps the ids of about ``KNOWN`` runs and pieces it has seen. The file of the
-tokenizer is read by the driver and sent to the workers, whose own disks need not have it. For a tokenizer that does not
+between ASCII white space, one after the other; a worker keeps the ids of the last ``KNOWN`` to twice as many runs and pieces it has
+seen. The file of the tokenizer is read by the driver and sent to the workers, whose own disks need not have it. For a tokenizer that does not
 drop white space (``spaced=False``) whole texts are given to it.
 
 Cases: a null or empty text has the end id alone. Rows that repeat a doc_id are documents of their own, ordered by a hash of
@@ -30,7 +30,8 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain, filterfalse, pairwise
+from itertools import accumulate, chain, compress, filterfalse, pairwise
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ from tidemark.session import scratch_path
 
 END = 1
 BLOCK = 1 << 17
-KNOWN = 1 << 20
+KNOWN = 1 << 19
 CHUNK = 1 << 20  # bytes of text that are tokenised at once, a longer text alone
 
 # number of bytes of the four ids of a control byte
@@ -92,6 +93,24 @@ def decode(control: bytes, data: bytes, sizes: np.ndarray) -> np.ndarray:
 
 # ---- tokenising --------------------------------------------------------------
 
+class Kept:
+    """The ids of the last ``KNOWN`` to twice as many keys that were asked for."""
+
+    def __init__(self):
+        self.fresh: dict = {}
+        self.old: dict = {}
+
+    def unknown(self, keys: set) -> set:
+        """Those of ``keys`` without ids; the others are fresh then, and remain so until the next call."""
+        if len(self.fresh) > KNOWN:
+            self.old, self.fresh = self.fresh, {}
+        missing = keys.difference(self.fresh)
+        out = missing.difference(self.old)
+        for key in missing - out:
+            self.fresh[key] = self.old[key]
+        return out
+
+
 class Encoder:
     """Ids of texts by a tokenizer of the tokenizers library, as bytes of little-endian unsigned integers of ``width`` bytes.
 
@@ -106,60 +125,82 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.spaced, self.kind = Tokenizer.from_str(model), spaced, f"<u{width}"
-        self.runs: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.runs, self.pieces = Kept(), Kept()
         self.cut = self.plain = None
         told = json.loads(model)
         if [step["type"] for step in (told["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
             steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
-            if [step["type"] for step in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]:
-                self.cut = regex.compile(steps[0]["pattern"]["Regex"])
+            if ([step["type"] for step in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+                    and not steps[1]["add_prefix_space"] and not steps[1].get("use_regex", True)):
+                # of runs in lines
+                self.cut = regex.compile(rf"(?:{steps[0]['pattern']['Regex']})|\n").findall
                 # ASCII without white space and control characters, and letters of Latin-1; no added token can begin in it
                 first = {token["content"][:1] for token in told["added_tokens"]}
                 plain = [*map(chr, range(0x21, 0x7F)), *(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())]
-                self.plain = regex.compile("[" + "".join(regex.escape(c) for c in plain if c not in first) + "]+").fullmatch
-                self.letters = first.isdisjoint("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-                self.merges = Tokenizer.from_str(json.dumps(told | {"normalizer": None, "pre_tokenizer": steps[1]}))
+                self.plain = regex.compile(r"[\n" + "".join(regex.escape(c) for c in plain if c not in first) + "]+").fullmatch
+                self.merges = self.tokenizer.model.tokenize
+                self.spelled = Tokenizer.from_str(json.dumps(told | {"pre_tokenizer": steps[1]})).pre_tokenizer.pre_tokenize_str
+                (self.line, _), = self.spelled("\n")
 
-    def encoded(self, texts: list[str], tokenizer=None) -> list[bytes]:
-        found = [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+    def packed(self, found: list[list[int]]) -> list[bytes]:
         flat = np.fromiter(chain.from_iterable(found), dtype=self.kind).tobytes()
         ends = np.cumsum([0, *map(len, found)]) * np.dtype(self.kind).itemsize
         return [flat[low:high] for low, high in pairwise(ends.tolist())]
 
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        return self.packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, none of which holds a line end: their bytes as characters, all at once, then the merges of each."""
+        (text, _), = self.spelled("\n".join(pieces))
+        return self.packed([[token.id for token in self.merges(piece)] for piece in text.split(self.line)])
+
     def learn(self, runs: list[bytes]) -> None:
         """Puts the ids of new runs into ``runs``."""
-        whole, cut = [], {}
-        letters = self.plain and self.letters
-        for run in runs:
-            if letters and run.isalpha():  # of bytes: ASCII letters
-                cut[run] = (run.lower().decode(),)
-                continue
-            text = run.decode()
-            if self.plain and self.plain(text):
-                low = text.lower()
-                cut[run] = (low,) if low.isalpha() else self.cut.findall(low)
-            else:
-                whole.append(text)
-        new = list(set(filterfalse(self.pieces.__contains__, chain.from_iterable(cut.values()))))
+        kept, whole = self.runs.fresh, []
+        if not self.plain:
+            runs, whole = [], runs
+        text = b"\n".join(runs).decode()
+        if text and not self.plain(text):
+            whole = [run for run in runs if not self.plain(run.decode())]
+            runs = list(set(runs).difference(whole))
+            text = b"\n".join(runs).decode()
+        if whole:
+            kept.update(zip(whole, self.encoded([run.decode() for run in whole])))
+        if not runs:
+            return
+        lines = text.lower().split("\n")
+        single = [line.isalpha() for line in lines]
+        mixed = list(filterfalse(str.isalpha, lines))
+        pieces = self.cut("\n".join(mixed)) if mixed else []
+        alone = list(compress(lines, single))
+        new = set(alone).union(pieces)
+        new.discard("\n")
+        new = list(self.pieces.unknown(new))
+        known = self.pieces.fresh
         if new:
-            self.pieces.update(zip(new, self.encoded(new, self.merges)))
-        known = self.pieces
-        for run, found in cut.items():
-            self.runs[run] = known[found[0]] if len(found) == 1 else b"".join([known[piece] for piece in found])
-        self.runs.update(zip((text.encode() for text in whole), self.encoded(whole)))
+            known.update(zip(new, self.merged(new)))
+        kept.update(zip(compress(runs, single), map(known.__getitem__, alone)))
+        if mixed:
+            ids = [known.get(piece) for piece in pieces]  # none for a line end
+            ends = [at for at, piece in enumerate(pieces) if piece == "\n"]
+            of = [b"".join(ids[low + 1:high]) for low, high in pairwise([-1, *ends, len(pieces)])]
+            kept.update(zip(compress(runs, map(not_, single)), of))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.spaced:
             return self.encoded(texts)
         # bytes.split() cuts at ASCII white space only
         runs = [text.encode().split() for text in texts]
-        if len(self.runs) > KNOWN:
-            self.runs.clear()
-        if len(self.pieces) > KNOWN:
-            self.pieces.clear()
-        self.learn(list(set(filterfalse(self.runs.__contains__, chain.from_iterable(runs)))))
-        return [b"".join(map(self.runs.__getitem__, of_text)) for of_text in runs]
+        flat = list(chain.from_iterable(runs))
+        # one look at each run; only those not met lately are looked at again
+        found = list(map(self.runs.fresh.get, flat))
+        gaps = [at for at, ids in enumerate(found) if ids is None]
+        if gaps:
+            self.learn(list(self.runs.unknown({flat[at] for at in gaps})))
+            for at in gaps:
+                found[at] = self.runs.fresh[flat[at]]
+        return [b"".join(found[low:high]) for low, high in pairwise(accumulate(map(len, runs), initial=0))]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
