@@ -15,8 +15,9 @@ Reading. The lengths of four ids come from a table of 256 control bytes at once,
 stream, and a table of the ranks gives the ids.
 
 Tokenising. The tokenizer drops white space and none of its pieces spans any, so the ids of a text are those of its runs
-between ASCII white space, one after the other; a worker keeps the ids of the last ``KNOWN`` to twice as many runs and pieces it has
-seen. The file of the tokenizer is read by the driver and sent to the workers, whose own disks need not have it. For a tokenizer that does not
+between ASCII white space, one after the other. Arrow cuts a chunk of texts into runs, numbers the distinct ones and puts their ids
+in the texts' places; Python looks at each distinct run of a chunk once. A worker keeps the ids of the runs and pieces it met last,
+twice ``KNOWN`` of either at most. The file of the tokenizer is read by the driver and sent to the workers, whose own disks need not have it. For a tokenizer that does not
 drop white space (``spaced=False``) whole texts are given to it.
 
 Cases: a null or empty text has the end id alone. Rows that repeat a doc_id are documents of their own, ordered by a hash of
@@ -30,7 +31,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate, chain, compress, filterfalse, pairwise
+from itertools import chain, compress, filterfalse, pairwise
 from operator import not_
 
 import numpy as np
@@ -48,7 +49,7 @@ from tidemark.session import scratch_path
 END = 1
 BLOCK = 1 << 17
 KNOWN = 1 << 19
-CHUNK = 1 << 20  # bytes of text that are tokenised at once, a longer text alone
+CHUNK = 1 << 23  # bytes of text that are tokenised at once, a longer text alone
 
 # number of bytes of the four ids of a control byte
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -94,21 +95,23 @@ def decode(control: bytes, data: bytes, sizes: np.ndarray) -> np.ndarray:
 # ---- tokenising --------------------------------------------------------------
 
 class Kept:
-    """The ids of the last ``KNOWN`` to twice as many keys that were asked for."""
+    """The ids of the keys that were asked for lately, twice ``KNOWN`` at most (or twice those of a call)."""
 
     def __init__(self):
         self.fresh: dict = {}
         self.old: dict = {}
 
-    def unknown(self, keys: set) -> set:
-        """Those of ``keys`` without ids; the others are fresh then, and remain so until the next call."""
-        if len(self.fresh) > KNOWN:
+    def known(self, keys: list) -> list:
+        """The ids of ``keys``, None where there are none yet. Those found are fresh then, and remain so until the next call."""
+        if len(self.fresh) + len(keys) > KNOWN:
             self.old, self.fresh = self.fresh, {}
-        missing = keys.difference(self.fresh)
-        out = missing.difference(self.old)
-        for key in missing - out:
-            self.fresh[key] = self.old[key]
-        return out
+        found = list(map(self.fresh.get, keys))
+        if self.old:
+            for at in [at for at, ids in enumerate(found) if ids is None]:
+                ids = self.old.get(keys[at])
+                if ids is not None:
+                    found[at] = self.fresh[keys[at]] = ids
+        return found
 
 
 class Encoder:
@@ -141,6 +144,15 @@ class Encoder:
                 self.merges = self.tokenizer.model.tokenize
                 self.spelled = Tokenizer.from_str(json.dumps(told | {"pre_tokenizer": steps[1]})).pre_tokenizer.pre_tokenize_str
                 (self.line, _), = self.spelled("\n")
+                by_line = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+                self.lines = Tokenizer.from_str(json.dumps(told | {
+                    "normalizer": None, "truncation": None, "padding": None,
+                    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [by_line, steps[1]]}}))
+                self.suffix = told["model"].get("end_of_word_suffix")
+                vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+                self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+                if self.suffix:
+                    self.last[[at for word, at in vocabulary.items() if word.endswith(self.suffix)]] = True
 
     def packed(self, found: list[list[int]]) -> list[bytes]:
         flat = np.fromiter(chain.from_iterable(found), dtype=self.kind).tobytes()
@@ -151,32 +163,44 @@ class Encoder:
         return self.packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
     def merged(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, none of which holds a line end: their bytes as characters, all at once, then the merges of each."""
-        (text, _), = self.spelled("\n".join(pieces))
+        """Ids of pieces, none of which holds a line end.
+
+        All at once, and cut behind every token of a word's end. Where the text could spell that suffix, or a piece has no
+        such token: their bytes as characters, then the merges of each.
+        """
+        text = "\n".join(pieces)
+        if self.suffix and self.suffix not in text:
+            ids = np.array(self.lines.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+            ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
+            if len(ends) == len(pieces) and ends[-1] == ids.nbytes:
+                flat = ids.tobytes()
+                return [flat[low:high] for low, high in pairwise([0, *ends.tolist()])]
+        (text, _), = self.spelled(text)
         return self.packed([[token.id for token in self.merges(piece)] for piece in text.split(self.line)])
 
-    def learn(self, runs: list[bytes]) -> None:
+    def learn(self, runs: list[str]) -> None:
         """Puts the ids of new runs into ``runs``."""
         kept, whole = self.runs.fresh, []
         if not self.plain:
             runs, whole = [], runs
-        text = b"\n".join(runs).decode()
+        text = "\n".join(runs)
         if text and not self.plain(text):
-            whole = [run for run in runs if not self.plain(run.decode())]
+            whole = [run for run in runs if not self.plain(run)]
             runs = list(set(runs).difference(whole))
-            text = b"\n".join(runs).decode()
+            text = "\n".join(runs)
         if whole:
-            kept.update(zip(whole, self.encoded([run.decode() for run in whole])))
+            kept.update(zip(whole, self.encoded(whole)))
         if not runs:
             return
         lines = text.lower().split("\n")
-        single = [line.isalpha() for line in lines]
+        single = list(map(str.isalpha, lines))
         mixed = list(filterfalse(str.isalpha, lines))
         pieces = self.cut("\n".join(mixed)) if mixed else []
         alone = list(compress(lines, single))
-        new = set(alone).union(pieces)
-        new.discard("\n")
-        new = list(self.pieces.unknown(new))
+        asked = set(alone).union(pieces)
+        asked.discard("\n")
+        asked = list(asked)
+        new = [piece for piece, ids in zip(asked, self.pieces.known(asked)) if ids is None]
         known = self.pieces.fresh
         if new:
             known.update(zip(new, self.merged(new)))
@@ -187,20 +211,27 @@ class Encoder:
             of = [b"".join(ids[low + 1:high]) for low, high in pairwise([-1, *ends, len(pieces)])]
             kept.update(zip(compress(runs, map(not_, single)), of))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def coded(self, texts: pa.Array) -> pa.Array:
+        """Ids of an array of texts without nulls."""
         if not self.spaced:
-            return self.encoded(texts)
-        # bytes.split() cuts at ASCII white space only
-        runs = [text.encode().split() for text in texts]
-        flat = list(chain.from_iterable(runs))
-        # one look at each run; only those not met lately are looked at again
-        found = list(map(self.runs.fresh.get, flat))
+            return pa.array(self.encoded(texts.to_pylist()), pa.binary())
+        # cuts at ASCII white space only; white space at an end of a text makes an empty run, which has no ids
+        cut = pc.ascii_split_whitespace(texts)
+        runs = cut.values.dictionary_encode()
+        distinct = runs.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
+        found = self.runs.known(distinct)
         gaps = [at for at, ids in enumerate(found) if ids is None]
         if gaps:
-            self.learn(list(self.runs.unknown({flat[at] for at in gaps})))
+            self.learn([distinct[at] for at in gaps])
             for at in gaps:
-                found[at] = self.runs.fresh[flat[at]]
-        return [b"".join(found[low:high]) for low, high in pairwise(accumulate(map(len, runs), initial=0))]
+                found[at] = self.runs.fresh[distinct[at]]
+        placed = pa.array(found, pa.binary()).take(runs.indices)
+        # the ids of a text's runs lie one behind the other
+        ends = np.frombuffer(placed.buffers()[1], dtype=np.int32)[cut.offsets.to_numpy()]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), placed.buffers()[2]])
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return self.coded(pa.array(texts, pa.string())).to_pylist()
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -227,7 +258,7 @@ def tokenised(documents: DataFrame, model: str, width: int, end: int = END, spac
     row of a task, which has no document: pairs of id and count)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)  # as large as the tokenizer's file
     kind = f"<u{width}"
-    last = np.array([end], dtype=kind).tobytes()
+    last, nothing = pa.scalar(np.array([end], dtype=kind).tobytes()), pa.scalar(b"")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(shared.value, spaced, width)
@@ -242,13 +273,14 @@ def tokenised(documents: DataFrame, model: str, width: int, end: int = END, spac
                 while high < batch.num_rows and (high == low or total + size[high] <= CHUNK):
                     total += size[high]
                     high += 1
-                texts = [text or "" for text in batch.column(2).slice(low, high - low).to_pylist()]
-                ids = [found + last for found in own.ids(texts)]
-                seen = np.bincount(np.frombuffer(b"".join(ids), dtype=kind), minlength=len(counts))
+                texts = pc.fill_null(batch.column(2).slice(low, high - low), "")
+                ids = pc.binary_join_element_wise(own.coded(texts), last, nothing)
+                total = int(pc.sum(pc.binary_length(ids)).as_py())
+                seen = np.bincount(np.frombuffer(ids.buffers()[2], dtype=kind, count=total // width), minlength=len(counts))
                 seen[:len(counts)] += counts
                 counts = seen
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), pa.array(ids, pa.binary()),
+                    [batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), ids,
                      pa.nulls(high - low, pa.binary())], ["doc_id", "key", "ids", "counts"])
                 low = high
         if id_type is not None:
