@@ -354,8 +354,9 @@ def mart_customer_value(spark, sf):
 def mart_customer_value_from_changes(spark, sf):
     """From change records to the mart: state, history, as-of fact, mart."""
     customers = star.dim_customers(_history(spark, sf))
-    orders = star.fact_orders(stored(_current(spark, sf, "orders"), "orders"), customers)
-    return marts.mart_customer_value(customers, orders)
+    # no more than the mart reads
+    orders = stored(star.order_facts(_current(spark, sf, "orders")).select(*marts.CUSTOMER_VALUE_COLUMNS), "orders")
+    return marts.mart_customer_value(customers, star.with_customer_key(orders, customers))
 
 
 def mart_product_performance(spark, sf):

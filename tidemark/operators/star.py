@@ -35,7 +35,12 @@ def dim_products(products: DataFrame) -> DataFrame:
 
 
 def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders with the key of the customer version valid when they were placed.
+    """Orders with the key of the customer version valid when they were placed."""
+    return order_facts(with_customer_key(orders, customers), "customer_key")
+
+
+def with_customer_key(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders, or columns of the fact, with that key.
 
     A history has at most two rows per key and merge, so the residual range
     test sees few versions per order; partitions of heavy customers are split.
@@ -44,7 +49,7 @@ def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
         "customer_id", "customer_key", "valid_from", "valid_to")
     as_of = (F.col("l.ordered_at") >= F.col("r.valid_from")) & (
         F.col("r.valid_to").isNull() | (F.col("l.ordered_at") < F.col("r.valid_to")))
-    return order_facts(lookup(orders, versions, "customer_id", condition=as_of), "customer_key")
+    return lookup(orders, versions, "customer_id", condition=as_of)
 
 
 def fact_orders_interleaved(orders: DataFrame, customers: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ DAILY_COLUMNS = {
     "fact_shipments": ("order_key", "is_packed", "is_shipped", "is_delivered", "hours_to_ship", "hours_to_deliver"),
 }
 
+# What the customer mart reads of the order fact, and what finds an order's customer version.
+CUSTOMER_VALUE_COLUMNS = ("customer_id", "ordered_at", "order_total", "is_cancelled", "is_delivered")
+
 
 def orders_in_scope(orders: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
     """Orders whose date lies in the inclusive range; no range means all."""
