@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import parse_envelope
-from tidemark.functions.keys import position_problem
+from tidemark.functions.keys import event_id, position_problem
 from tidemark.operators import aggregates as agg
 from tidemark.operators import audit, checks, dedup, event_history, events, policy, staging, star, strict
 from tidemark.operators.current import current_from_raw, current_keys, current_state, live_rows
@@ -26,7 +26,7 @@ from tidemark.plans.load import load_bronze
 from tidemark.schemas import ACCEPTED_VALUES, ENTITIES, REQUIRED_METADATA, SOURCE_VALUES, TABLES
 from tidemark.session import scratch_path, use_utc
 from tidemark.sources import records, tables
-from tidemark.sources.lake import HistoryTable, Lake, drop_stored, replace_rows, stored
+from tidemark.sources.lake import HistoryTable, Lake, drop_part, drop_stored, replace_rows, stored
 from tidemark.sources.versions import StateTable, VersionedTable
 from tidemark.streaming.bronze import BronzePaths, read_bronze, read_quarantine, run_bronze_stream, stream_report
 from tidemark.streaming.lateness import start_order_stream
@@ -204,17 +204,21 @@ def _incremental_query(name: str) -> Query:
     """The state kept up over four loads, of which the deletes come before the updates they follow: late events lose."""
     def query(spark, sf):
         typed = staging.typed_events(staging.normalised_events(_raw_log(spark, sf, name)), name)
-        # what the state of a key is made of, and what its events are ordered by
-        typed = typed.select("event_id", "operation", "is_deleted", *ENTITIES[name].columns, "event_timestamp", "source_timestamp_ms",
-                             "kafka_partition", "kafka_offset", "kafka_timestamp", "warehouse_loaded_at")
-        typed = stored(typed, f"{name}_log", "zstd")
-        state = StateTable(VersionedTable(spark, scratch_path(spark, f"state_{name}")), ENTITIES[name].key, 8)
+        # what the state of a key is made of, and what its events are ordered by; ids follow from positions
         day = F.floor((F.col("source_timestamp_ms") - tables.LOG_EPOCH_MS) / tables.DAY_MS)
+        typed = typed.select("operation", "is_deleted", *ENTITIES[name].columns, "event_timestamp", "source_timestamp_ms",
+                             "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "warehouse_loaded_at", day.alias("_day"))
+        log = stored(typed, f"{name}_log", "zstd", "_day")
+        state = StateTable(VersionedTable(spark, scratch_path(spark, f"state_{name}")), ENTITIES[name].key, 8, {
+            "event_id": lambda c: event_id(c("kafka_topic"), c("kafka_partition"), c("kafka_offset"))})
         version = None
         for number, loaded in enumerate((0, 2, 1, 3), start=1):
-            version, _ = state.merge(version, number, typed.filter(day == loaded))
-        drop_stored(typed)
-        state.table.expire([version], range(1, version))
+            before, (version, _) = version, state.merge(version, number, log.filter(F.col("_day") == loaded).drop("_day"))
+            # a load that is merged and a state that is followed by another are not read again
+            drop_part(log, "_day", loaded)
+            if before is not None:
+                state.table.expire([version], [before])
+        drop_stored(log)
         return live_rows(state.read(version), name)
 
     return query
